@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from corpusflow.config import CorpusConfig
 from corpusflow.functions import text as tx
 from corpusflow.operators import filters
+from corpusflow.operators.rows import keep_where
 
 # Splits any text into comments, string, raw string and rune literals, and the rest.
 # Joined back together the tokens give the input. Possessive, so no deep recursion.
@@ -32,10 +33,9 @@ LEXER = (
     r"""|[^/"`']++"""
     r"|."
 )
-_LITERAL_START = r"""^(?://|/\*|["`'])"""
 
 # Line classes.
-BLANK, COMMENT, FUNC, TYPE, OTHER = 0, 1, 2, 3, 4
+OTHER, BLANK, COMMENT, FUNC, TYPE = 0, 1, 2, 3, 4
 
 # Text before the body brace of a function; braces of type literals belong to it.
 _TYPE_BRACES = r"(?<=\b(?:struct|interface)[ \t]{0,8})\{(?:[^{}]++|\{(?:[^{}]++|\{[^{}]*+\})*+\})*+\}"
@@ -57,15 +57,23 @@ def tokens(content: Column) -> Column:
     return F.regexp_extract_all(content, F.lit(LEXER), F.lit(0))
 
 
+def _blank(token: Column) -> Column:
+    """Spaces in place of everything but newlines; most literals have none."""
+    return F.when(F.contains(token, F.lit("\n")), F.regexp_replace(token, r"[^\n]", " ")).otherwise(
+        F.repeat(F.lit(" "), F.length(token))
+    )
+
+
 def mask(content: Column) -> Column:
     """Blank every literal and comment; length and newlines are kept."""
-    blanked = F.transform(
-        tokens(content),
-        lambda t: F.when(
-            F.rlike(t, F.lit(_LITERAL_START)), F.regexp_replace(t, r"[^\n]", " ")
-        ).otherwise(t),
-    )
-    return F.array_join(blanked, "")
+
+    def shown(token: Column) -> Column:
+        first = F.substring(token, 1, 1)
+        # A lone slash is an operator, a longer token that starts with one is a comment.
+        literal = first.isin('"', "`", "'") | ((first == "/") & (F.length(token) > 1))
+        return F.when(literal, _blank(token)).otherwise(token)
+
+    return F.array_join(F.transform(tokens(content), shown), "")
 
 
 def package_name(content: Column) -> Column:
@@ -93,36 +101,33 @@ def _line_class(line: Column, masked_line: Column) -> Column:
     )
 
 
-_SPAN = "struct<start:int,stop:int,doc:int>"
-_STATE = f"struct<line:int,depth:int,start:int,doc:int,top:int,after:boolean,spans:array<{_SPAN}>>"
-
-
 def _step(state: Column, line: Column) -> Column:
-    """Advance the scan by one line. Line numbers are 0-based, -1 means none.
+    """Advance the scan to the next listed line. Line numbers are 0-based, -1 means none.
 
-    `top` is the first line of the running comment block, `after` whether the line before
-    was a comment: one blank line keeps the block open, a second one closes it.
+    `top` is the first line of the running comment block. One blank line keeps the block
+    open; a second one, or any line of code, closes it. A block is also closed when lines
+    were left out of the list, which `seen` (the line listed before) tells.
     """
-    here = state["line"]
-    opens = (state["start"] < 0) & (state["depth"] == 0) & line["kind"].isin(FUNC, TYPE)
+    here, kind = line["at"], line["kind"]
+    adjacent = state["seen"] + 1 == here
+    opens = (state["start"] < 0) & (state["depth"] == 0) & (kind >= FUNC)
     start = F.when(opens, here).otherwise(state["start"])
-    doc = F.when(opens, state["top"]).otherwise(state["doc"])
+    doc = F.when(opens, F.when(adjacent, state["top"]).otherwise(F.lit(-1))).otherwise(state["doc"])
     depth = F.greatest(state["depth"] + line["change"], F.lit(0))
-    closes = (start >= 0) & (depth == 0)
+    closes = (depth == 0) & (start >= 0)
     span = F.struct(start.alias("start"), here.alias("stop"), doc.alias("doc"))
-    is_comment = line["kind"] == COMMENT
     top = (
-        F.when(is_comment, F.when(state["top"] < 0, here).otherwise(state["top"]))
-        .when((line["kind"] == BLANK) & state["after"], state["top"])
+        F.when(kind == COMMENT, F.when(adjacent & (state["top"] >= 0), state["top"]).otherwise(here))
+        .when((kind == BLANK) & state["after"] & adjacent, state["top"])
         .otherwise(F.lit(-1))
     )
     return F.struct(
-        (here + 1).alias("line"),
+        here.alias("seen"),
         depth.alias("depth"),
         F.when(closes, F.lit(-1)).otherwise(start).alias("start"),
         doc.alias("doc"),
         top.alias("top"),
-        is_comment.alias("after"),
+        (kind == COMMENT).alias("after"),
         F.when(closes, F.concat(state["spans"], F.array(span)))
         .otherwise(state["spans"])
         .alias("spans"),
@@ -130,7 +135,11 @@ def _step(state: Column, line: Column) -> Column:
 
 
 def declaration_spans(lines: Column, masked_lines: Column) -> Column:
-    """Array of (start, stop, doc) line spans of the top-level declarations."""
+    """Array of (start, stop, doc) line spans of the top-level declarations.
+
+    Plain code lines that change no nesting are left out before the scan; in most files
+    these are the majority.
+    """
     classified = F.zip_with(
         lines,
         masked_lines,
@@ -138,12 +147,20 @@ def declaration_spans(lines: Column, masked_lines: Column) -> Column:
             _line_class(raw, code).alias("kind"), _nesting_change(code).alias("change")
         ),
     )
+    placed = F.transform(
+        classified, lambda line, at: F.struct(line["kind"].alias("kind"), line["change"].alias("change"), at.alias("at"))
+    )
+    listed = F.filter(placed, lambda line: (line["kind"] != OTHER) | (line["change"] != 0))
+    none = F.lit(-1)
+    no_spans = F.filter(
+        F.array(F.struct(none.alias("start"), none.alias("stop"), none.alias("doc"))),
+        lambda s: s["start"] >= 0,
+    )
     begin = F.struct(
-        F.lit(0).alias("line"), F.lit(0).alias("depth"), F.lit(-1).alias("start"),
-        F.lit(-1).alias("doc"), F.lit(-1).alias("top"), F.lit(False).alias("after"),
-        F.array().cast(f"array<{_SPAN}>").alias("spans"),
-    ).cast(_STATE)
-    return F.aggregate(classified, begin, lambda s, x: _step(s, x).cast(_STATE), lambda s: s["spans"])
+        none.alias("seen"), F.lit(0).alias("depth"), none.alias("start"), none.alias("doc"),
+        none.alias("top"), F.lit(False).alias("after"), no_spans.alias("spans"),
+    )
+    return F.aggregate(listed, begin, _step, lambda s: s["spans"])
 
 
 def _cut(lines: Column, start: Column, stop: Column) -> Column:
@@ -223,9 +240,10 @@ def _finish(pieces: DataFrame) -> DataFrame:
     )
     brace = F.length("head") + 1
     has_body = (F.length("head") > 0) & (F.col("last") > F.length("head"))
-    shaped = headed.filter(~F.col("is_func") | has_body).select(
+    shaped = headed.select(
         "source", "path", "module_path", "package_name", "line_number", "doc_comment", "is_func",
         "keyword",
+        has_body.alias("has_body"),
         F.when(has_body, F.substring(raw, F.lit(1), F.col("last")))
         .otherwise(tx.strip(first_line))
         .alias("text"),
@@ -237,26 +255,27 @@ def _finish(pieces: DataFrame) -> DataFrame:
         .alias("body"),
     )
     method_name = F.regexp_extract("signature", METHOD_NAME, 2)
-    plain = F.when(F.col("is_func"), F.regexp_extract("signature", FUNC_NAME, 1)).otherwise(
-        F.regexp_extract("signature", TYPE_NAME, 1)
-    )
-    is_method = F.col("is_func") & (method_name != "")
     named = shaped.select(
         "*",
-        F.when(is_method, method_name).otherwise(plain).alias("name"),
-        F.when(is_method, F.regexp_extract("signature", METHOD_NAME, 1))
-        .otherwise(F.lit(""))
-        .alias("receiver_type"),
+        F.when(F.col("is_func"), method_name).otherwise(F.lit("")).alias("method_name"),
+        F.when(F.col("is_func"), F.regexp_extract("signature", FUNC_NAME, 1))
+        .otherwise(F.regexp_extract("signature", TYPE_NAME, 1))
+        .alias("plain_name"),
     )
+    is_method = F.col("method_name") != ""
     kind = (
-        F.when(~F.col("is_func"), F.when(F.col("keyword") == "", F.lit("type_alias"))
-               .otherwise(F.concat(F.lit("type_"), F.col("keyword"))))
-        .when(F.col("receiver_type") != "", F.lit("method"))
+        F.when(~F.col("is_func"), F.concat(F.lit("type_"), F.coalesce(F.nullif("keyword", F.lit("")), F.lit("alias"))))
+        .when(is_method, F.lit("method"))
         .otherwise(F.lit("func"))
     )
-    return named.filter(F.col("name") != "").select(
+    name = F.when(is_method, F.col("method_name")).otherwise(F.col("plain_name"))
+    # A function without a body is declared elsewhere and gives no unit.
+    valid = (F.col("has_body") | ~F.col("is_func")) & (name != "")
+    return keep_where(
+        named,
+        valid,
         kind.alias("kind"),
-        "name",
+        name.alias("name"),
         "package_name",
         "module_path",
         F.col("path").alias("file_path"),
@@ -265,7 +284,9 @@ def _finish(pieces: DataFrame) -> DataFrame:
         with_doc(F.col("doc_comment"), F.col("text")).alias("code"),
         "signature",
         "body",
-        "receiver_type",
+        F.when(is_method, F.regexp_extract("signature", METHOD_NAME, 1))
+        .otherwise(F.lit(""))
+        .alias("receiver_type"),
         F.col("line_number").cast("int").alias("line_number"),
-        tx.starts_upper(F.col("name")).alias("exported"),
+        tx.starts_upper(name).alias("exported"),
     )
