@@ -135,10 +135,17 @@ class CorpusConfig:
             for s in raw.get("sources") or []
         )
         names = {f.name for f in fields(DatasetConfig)}
-        datasets = tuple(
-            DatasetConfig(**{"name": "unknown", **{k: v for k, v in d.items() if k in names}})
-            for d in raw.get("datasets") or []
-        )
+        listed = raw.get("datasets") or raw.get("golang_datasets") or []
+        landing = (raw.get("landing") or {}).get("dir", "./datasets")
+        datasets = []
+        for entry in listed:
+            known = {k: v for k, v in entry.items() if k in names and v is not None}
+            known.setdefault("name", "unknown")
+            # Hub datasets are landed first; a row of theirs then reads like any table.
+            if known.get("type") == "huggingface":
+                known["type"] = "table"
+            known.setdefault("path", f"{landing}/{known['name']}")
+            datasets.append(DatasetConfig(**known))
         plain = {
             k: data[k]
             for k in ("max_code_chars", "min_code_chars", "include_tests", "skip_generated")
@@ -151,7 +158,7 @@ class CorpusConfig:
         return cls(
             system_prompt=raw.get("system_prompt", DEFAULT_PROMPT),
             sources=sources,
-            datasets=datasets,
+            datasets=tuple(datasets),
             weights=dict(data.get("weights") or {}),
             skip_patterns=tuple(data.get("skip_patterns") or ()),
             **plain,

@@ -183,16 +183,25 @@ def with_doc(doc: Column, code: Column) -> Column:
     return F.when(doc == "", code).otherwise(F.concat(tx.comment_lines(doc), F.lit("\n"), code))
 
 
-def select_files(files: DataFrame, config: CorpusConfig) -> DataFrame:
-    """Code files worth reading: path rules, then the generated marker, then blank files."""
-    kept = files.filter(
+def select_paths(files: DataFrame, config: CorpusConfig) -> DataFrame:
+    """Code files by path alone; their contents need not be read for it."""
+    return files.filter(
         filters.is_code_path(
             F.col("path"), config.include_tests, config.skip_patterns, config.skip_patterns_at_root
         )
     )
+
+
+def select_contents(files: DataFrame, config: CorpusConfig) -> DataFrame:
+    """Drop blank files and, if configured, files with a generator marker."""
+    keep = ~tx.is_blank(F.col("content"))
     if config.skip_generated:
-        kept = kept.filter(~filters.is_generated(F.col("content")))
-    return kept.filter(~tx.is_blank(F.col("content")))
+        keep = keep & ~filters.is_generated(F.col("content"))
+    return files.filter(keep)
+
+
+def select_files(files: DataFrame, config: CorpusConfig) -> DataFrame:
+    return select_contents(select_paths(files, config), config)
 
 
 def extract_units(files: DataFrame) -> DataFrame:

@@ -1,13 +1,15 @@
 """One overview example per package.
 
-A package may hold any share of the units, so its members are never collected. Counts and
-the doc are map-side combined aggregates; the short lists come from a ranked window whose
-limit Spark applies before the shuffle, so each task sends at most a dozen rows per package.
+A package may hold any share of the units, so its members are never collected. Units are
+first summed up per file, in one pass; a file is a single input row and therefore bounded.
+Packages then combine file summaries: counts and the doc are map-side combined, and the
+short lists come from a ranked window whose limit Spark applies before the shuffle, so each
+task sends at most a handful of rows per package.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -25,49 +27,73 @@ from corpusflow.operators.examples import fill
 PACKAGE = ["project_name", "module_path", "package_name"]
 
 
-def package_summary(units: DataFrame) -> DataFrame:
-    """Package keys with member counts, chosen doc, first files and first public names."""
+def file_summary(units: DataFrame) -> DataFrame:
+    """Per package and file: counts, the preferred doc, the first public names in line order."""
     is_type = F.startswith("kind", F.lit("type_")) & F.col("exported")
     is_func = F.col("kind").isin("func", "method") & F.col("exported")
-    # The doc of a documented init function goes first, then (path, line) order.
+    # The doc of a documented init function goes first, then line order.
     is_init = (F.col("kind") == "func") & (F.col("name") == "init")
-    place = F.struct((~is_init).alias("later"), "file_path", "line_number")
+    rank = F.struct((~is_init).alias("later"), "file_path", "line_number")
     doc = F.when(F.col("doc_comment") != "", F.substring("doc_comment", 1, MAX_PACKAGE_DOC_CHARS))
-    counts = units.groupBy(*PACKAGE).agg(
+
+    def first_names(which: Column) -> Column:
+        named = F.array_sort(F.collect_list(F.when(which, F.struct("line_number", "name"))))
+        return F.transform(F.slice(named, 1, MAX_PACKAGE_NAMES), lambda e: e["name"])
+
+    return units.groupBy(*PACKAGE, "file_path").agg(
         F.count("*").alias("n_units"),
         F.count_if(is_type).alias("n_types"),
         F.count_if(is_func).alias("n_functions"),
-        F.min_by(doc, F.when(doc.isNotNull(), place)).alias("doc"),
-    ).filter(F.col("n_units") >= MIN_PACKAGE_UNITS)
-
-    public = units.filter(is_type | is_func).select(
-        *PACKAGE,
-        F.when(is_type, F.lit("types")).otherwise(F.lit("functions")).alias("list"),
-        "file_path", "line_number", "name",
+        F.min(F.when(doc.isNotNull(), F.struct(rank.alias("rank"), doc.alias("doc")))).alias("doc"),
+        first_names(is_type).alias("types"),
+        first_names(is_func).alias("functions"),
     )
-    names = _first(public, MAX_PACKAGE_NAMES, "file_path", "line_number")
-    paths = units.select(*PACKAGE, F.lit("files").alias("list"), "file_path").distinct()
-    files = _first(paths, MAX_PACKAGE_FILES, "file_path").select(
-        *PACKAGE, "list", "file_path", F.lit(0).alias("line_number"),
-        tx.basename(F.col("file_path")).alias("name"),
+
+
+def package_summary(units: DataFrame) -> DataFrame:
+    """Package keys with member counts, chosen doc, first files and first public names."""
+    files = file_summary(units)
+    counts = (
+        files.groupBy(*PACKAGE)
+        .agg(
+            F.sum("n_units").alias("n_units"),
+            F.sum("n_types").alias("n_types"),
+            F.sum("n_functions").alias("n_functions"),
+            F.min("doc")["doc"].alias("doc"),
+        )
+        .filter(F.col("n_units") >= MIN_PACKAGE_UNITS)
     )
-    entry = F.struct("file_path", "line_number", "name")
 
-    def joined(which: str):
-        ordered = F.array_sort(F.collect_list(F.when(F.col("list") == which, entry)))
-        return F.array_join(F.transform(ordered, lambda e: e["name"]), ", ").alias(which)
+    def entry(which: str, names: Column) -> Column:
+        return F.struct(F.lit(which).alias("list"), names.alias("names"))
 
-    lists = (
-        names.unionByName(files)
-        .groupBy(*PACKAGE)
-        .agg(joined("files"), joined("types"), joined("functions"))
+    shown = F.array(
+        entry("files", F.array(tx.basename(F.col("file_path")))),
+        entry("types", F.col("types")),
+        entry("functions", F.col("functions")),
+    )
+    listed = files.select(
+        *PACKAGE, "file_path", F.inline(F.filter(shown, lambda e: F.size(e["names"]) > 0))
+    )
+    # Each listed file has a name, so the first files hold all names that can be shown.
+    ranked = W.partitionBy(*PACKAGE, "list").orderBy("file_path")
+    first = listed.withColumn("rank", F.row_number().over(ranked)).filter(
+        F.col("rank") <= max(MAX_PACKAGE_FILES, MAX_PACKAGE_NAMES)
     )
-    return counts.join(lists, PACKAGE)
 
+    def joined(which: str, limit: int) -> Column:
+        ordered = F.array_sort(
+            F.collect_list(F.when(F.col("list") == which, F.struct("file_path", "names")))
+        )
+        names = F.flatten(F.transform(ordered, lambda e: e["names"]))
+        return F.array_join(F.slice(names, 1, limit), ", ").alias(which)
 
-def _first(rows: DataFrame, limit: int, *order: str) -> DataFrame:
-    ranked = W.partitionBy(*PACKAGE, "list").orderBy(*order)
-    return rows.withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= limit).drop("rank")
+    lists = first.groupBy(*PACKAGE).agg(
+        joined("files", MAX_PACKAGE_FILES),
+        joined("types", MAX_PACKAGE_NAMES),
+        joined("functions", MAX_PACKAGE_NAMES),
+    )
+    return counts.join(lists, PACKAGE)
 
 
 def package_examples(units: DataFrame, config: CorpusConfig) -> DataFrame:

@@ -32,9 +32,13 @@ _SECTIONS = T.StructType([*schemas.SECTION.fields, T.StructField("position", T.I
 
 
 def units_from_files(code_files: DataFrame, manifests: DataFrame, config: CorpusConfig) -> DataFrame:
-    """Code files (source, path, content) and manifests to units."""
-    chosen = code_units.select_files(code_files, config)
-    return code_units.extract_units(modules.attach_modules(chosen, manifests))
+    """Code files (source, path, content) and manifests to units.
+
+    Modules are looked up between the path rules and the content rules, so that the list of
+    directories needs no file contents.
+    """
+    placed = modules.attach_modules(code_units.select_paths(code_files, config), manifests)
+    return code_units.extract_units(code_units.select_contents(placed, config))
 
 
 def read_sources(spark: SparkSession, config: CorpusConfig) -> tuple[DataFrame, DataFrame]:
@@ -132,6 +136,26 @@ def run_corpus(spark: SparkSession, config: CorpusConfig, out: str) -> dict[str,
     return dict(written.get)
 
 
+def run_training_views(spark: SparkSession, corpus: str, out: str) -> dict[str, int]:
+    """Re-shape written train/val rows for training: role/content rows and rendered text.
+
+    Returns the row count of each part.
+    """
+    parts = [
+        rows.read_chats(spark, f"{corpus}/examples/split={name}").withColumn("split", F.lit(name))
+        for name in ("train", "val")
+    ]
+    written = Observation("converted")
+    both = parts[0].unionByName(parts[1]).observe(
+        written,
+        F.count_if(F.col("split") == "train").alias("train"),
+        F.count_if(F.col("split") == "val").alias("val"),
+    )
+    sinks.write_messages(both, f"{out}/messages")
+    sinks.write_text(parts[0].unionByName(parts[1]), f"{out}/text")
+    return dict(written.get)
+
+
 def run_stats(spark: SparkSession, config: CorpusConfig) -> tuple[DataFrame, DataFrame]:
     """Unit and section counts per source; generates and writes nothing."""
     units, found = read_sources(spark, config)

@@ -438,7 +438,8 @@ def tree_scan(spark, sf_dir):
 def split_sink(spark, sf_dir):
     """Split examples written as JSON lines and read back."""
     path = scratch_dir(spark, "split")
-    sinks.write_split(sampling.holdout(_chats(spark, sf_dir), "example_id", CONFIG.seed), path)
+    staged = stage(_chats(spark, sf_dir), "examples")
+    sinks.write_split(sampling.holdout(staged, "example_id", CONFIG.seed), path)
     parts = []
     for name in ("train", "val"):
         part = rows.read_chats(spark, f"{path}/split={name}")
@@ -450,7 +451,8 @@ def split_sink(spark, sf_dir):
 def messages_sink(spark, sf_dir):
     """The same split in role/content form, written and read back."""
     path = scratch_dir(spark, "messages")
-    sinks.write_messages(sampling.holdout(_chats(spark, sf_dir), "example_id", CONFIG.seed), path)
+    staged = stage(_chats(spark, sf_dir), "examples")
+    sinks.write_messages(sampling.holdout(staged, "example_id", CONFIG.seed), path)
     parts = []
     for name in ("train", "valid"):
         part = rows.read_jsonl(spark, f"{path}/split={name}", schemas.MESSAGES)
@@ -470,8 +472,9 @@ def messages_sink(spark, sf_dir):
 def unit_sink(spark, sf_dir):
     """Units written as JSON lines and read back."""
     path = scratch_dir(spark, "units")
-    sinks.write_units(_units(spark, sf_dir), path)
-    return rows.read_jsonl(spark, path, _units(spark, sf_dir).select(*schemas.UNIT_SINK_COLUMNS).schema)
+    units = _units(spark, sf_dir)
+    sinks.write_units(units, path)
+    return rows.read_jsonl(spark, path, units.select(*schemas.UNIT_SINK_COLUMNS).schema)
 
 
 # ---- logs and streams ----

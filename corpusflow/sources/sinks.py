@@ -26,3 +26,12 @@ def write_messages(examples: DataFrame, path: str) -> None:
         .write.partitionBy("split")
         .json(path)
     )
+
+
+def write_text(examples: DataFrame, path: str) -> None:
+    """The split as rendered text rows."""
+    (
+        examples.select("split", chat.render(F.col("conversations")).alias("text"))
+        .write.partitionBy("split")
+        .json(path)
+    )
