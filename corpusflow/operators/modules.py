@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusflow.functions import text as tx
+from corpusflow.sources.scratch import stage
 
 MANIFEST = "go.mod"
 MODULE_LINE = rf"(?m)^module{tx.WS}+({tx.NOT_WS}+)"
@@ -58,10 +59,14 @@ def directory_modules(directories: DataFrame, manifests: DataFrame) -> DataFrame
 def attach_modules(files: DataFrame, manifests: DataFrame) -> DataFrame:
     """Add module_path to files (source, path, …); without a manifest above, the directory.
 
-    The lookup runs over distinct directories, so file contents never enter it.
+    The lookup runs over distinct directories, so file contents never enter it. It is
+    written to the shared folder before the join: Spark then knows its size, broadcasts it
+    below the session's threshold (file contents stay where they are), and above it
+    shuffles both sides, where adaptive execution can split a hot directory.
     """
     placed = files.withColumn("dir", tx.dirname(F.col("path")))
-    lookup = directory_modules(placed.select("source", "dir").distinct(), manifests)
+    directories = placed.select("source", "dir").distinct()
+    lookup = stage(directory_modules(directories, manifests), "modules")
     own = F.when(F.col("dir") == "", F.lit(".")).otherwise(F.col("dir"))
     return (
         placed.join(lookup, ["source", "dir"], "left")

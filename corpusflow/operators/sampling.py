@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from corpusflow.config import VALIDATION_SHARE
 from corpusflow.functions.hashing import bucket, stable_hash
+from corpusflow.sources.scratch import stage
 
 
 def _hashed(df: DataFrame, key: str, seed: int, tag: str, by: tuple[str, ...]) -> DataFrame:
@@ -72,14 +73,15 @@ def cap(df: DataFrame, key: str, limit: int, seed: int) -> DataFrame:
 def cap_per_group(df: DataFrame, by: str, key: str, limit: int, seed: int) -> DataFrame:
     """At most `limit` rows of each group, chosen by hash.
 
-    Both joins have one row per group on their right; Spark broadcasts it if it is small
-    and otherwise splits a hot group over tasks (adaptive skew join).
+    Edges and cuts have one row per group. They are written to the shared folder, so Spark
+    knows their size: below its threshold it broadcasts them and no row of `df` moves,
+    above it adaptive execution splits a hot group over tasks.
     """
     if not limit:
         return df
     narrow = _hashed(df, key, seed, "cap", (by,))
-    edges = _edges(narrow, F.lit(limit), (by,))
-    cuts = _cut(narrow.join(edges, [by, "b"]), (by,))
+    edges = stage(_edges(narrow, F.lit(limit), (by,)), "edges")
+    cuts = stage(_cut(narrow.join(edges, [by, "b"]), (by,)), "cuts")
     joined = df.join(cuts, by, "left")
     keep = F.col("cut").isNull() | (_place(key, seed, "cap") <= F.col("cut"))
     return joined.filter(keep).drop("cut")

@@ -273,7 +273,10 @@ def document_type(spark, sf_dir):
 
 @query
 def package_overview(spark, sf_dir):
-    return _question_answer(packages.package_examples(_units(spark, sf_dir), CONFIG))
+    # Two branches read the units; staging the narrow columns keeps it at one extraction.
+    needed = [*packages.PACKAGE, "file_path", "line_number", "kind", "name", "exported", "doc_comment"]
+    units = stage(_units(spark, sf_dir).select(*needed), "units")
+    return _question_answer(packages.package_examples(units, CONFIG))
 
 
 # ---- paths, sources ----
