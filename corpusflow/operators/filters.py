@@ -62,7 +62,7 @@ def field_equals(df: DataFrame, field: str | None, value: str | None) -> DataFra
     if not field:
         return df
     actual = F.col(field) if field in df.columns else F.lit(None).cast("string")
-    return df.filter(actual.eqNullSafe(F.lit(value)))
+    return df.filter(actual.isNull() if value is None else actual == F.lit(value))
 
 
 def size_between(code: Column, low: int, high: int) -> Column:
