@@ -35,7 +35,10 @@ LEXER = (
 )
 
 # Line classes.
-OTHER, BLANK, COMMENT, FUNC, TYPE = 0, 1, 2, 3, 4
+OTHER, BLANK, COMMENT, DECLARATION = 0, 1, 2, 3
+# Stands for the start of a function or of a type that is not a group.
+MARK = "\x01"
+DECLARATION_START = rf"(?md)^{tx.WS_INLINE}*(?:func |type (?!\())"
 
 # Text before the body brace of a function; braces of type literals belong to it.
 _TYPE_BRACES = r"(?<=\b(?:struct|interface)[ \t]{0,8})\{(?:[^{}]++|\{(?:[^{}]++|\{[^{}]*+\})*+\})*+\}"
@@ -80,23 +83,29 @@ def package_name(content: Column) -> Column:
     return F.regexp_extract(content, PACKAGE_NAME, 1)
 
 
-def _nesting_change(masked_line: Column) -> Column:
-    without_closers = F.length(F.translate(masked_line, "})]", ""))
-    without_openers = F.length(F.translate(masked_line, "{([", ""))
-    return without_closers - without_openers
+def skeleton(masked: Column) -> Column:
+    """What the scan needs of masked text: brackets, newlines and declaration marks.
+
+    Whole-text replacements leave almost nothing of a file, so the work per line is small.
+    """
+    marked = F.regexp_replace(masked, DECLARATION_START, MARK)
+    return F.regexp_replace(marked, rf"[^\n{MARK}(){{}}\[\]]++", "")
 
 
-def _line_class(line: Column, masked_line: Column) -> Column:
-    shown, code = tx.lstrip(line), tx.lstrip(masked_line)
+def _nesting_change(bones: Column) -> Column:
+    without_closers = F.length(F.translate(bones, f"}})]{MARK}", ""))
+    without_openers = F.length(F.translate(bones, f"{{([{MARK}", ""))
+    return F.when(bones == "", F.lit(0)).otherwise(without_closers - without_openers)
 
-    def starts(word: str) -> Column:
-        return F.startswith(code, F.lit(word)) & F.startswith(shown, F.lit(word))
 
+def _line_class(shown: Column, bones: Column) -> Column:
+    """Class of a line from its text without indent and its part of the skeleton."""
+    # A mark behind a blanked comment does not count: the line itself has to start so.
+    starts = F.startswith(shown, F.lit("func ")) | F.startswith(shown, F.lit("type "))
     return (
         F.when(shown == "", F.lit(BLANK))
         .when(F.startswith(shown, F.lit("//")), F.lit(COMMENT))
-        .when(starts("func "), F.lit(FUNC))
-        .when(starts("type ") & ~F.startswith(code, F.lit("type (")), F.lit(TYPE))
+        .when(F.startswith(bones, F.lit(MARK)) & starts, F.lit(DECLARATION))
         .otherwise(F.lit(OTHER))
     )
 
@@ -110,7 +119,7 @@ def _step(state: Column, line: Column) -> Column:
     """
     here, kind = line["at"], line["kind"]
     adjacent = state["seen"] + 1 == here
-    opens = (state["start"] < 0) & (state["depth"] == 0) & (kind >= FUNC)
+    opens = (state["start"] < 0) & (state["depth"] == 0) & (kind == DECLARATION)
     start = F.when(opens, here).otherwise(state["start"])
     doc = F.when(opens, F.when(adjacent, state["top"]).otherwise(F.lit(-1))).otherwise(state["doc"])
     depth = F.greatest(state["depth"] + line["change"], F.lit(0))
@@ -134,17 +143,17 @@ def _step(state: Column, line: Column) -> Column:
     )
 
 
-def declaration_spans(lines: Column, masked_lines: Column) -> Column:
+def declaration_spans(lines: Column, masked: Column) -> Column:
     """Array of (start, stop, doc) line spans of the top-level declarations.
 
     Plain code lines that change no nesting are left out before the scan; in most files
     these are the majority.
     """
     classified = F.zip_with(
-        lines,
-        masked_lines,
-        lambda raw, code: F.struct(
-            _line_class(raw, code).alias("kind"), _nesting_change(code).alias("change")
+        F.transform(lines, tx.lstrip),
+        F.split(skeleton(masked), "\n", -1),
+        lambda shown, bones: F.struct(
+            _line_class(shown, bones).alias("kind"), _nesting_change(bones).alias("change")
         ),
     )
     placed = F.transform(
@@ -214,9 +223,13 @@ def extract_units(files: DataFrame) -> DataFrame:
             "source", "path", "module_path",
             package_name(F.col("content")).alias("package_name"),
             F.split("content", "\n", -1).alias("lines"),
-            F.split(mask(F.col("content")), "\n", -1).alias("masked"),
+            mask(F.col("content")).alias("masked"),
+        )
+        .select(
+            "source", "path", "module_path", "package_name", "lines",
+            F.split("masked", "\n", -1).alias("masked"),
+            declaration_spans(F.col("lines"), F.col("masked")).alias("spans"),
         )
-        .select("*", declaration_spans(F.col("lines"), F.col("masked")).alias("spans"))
     )
     cut = F.transform(
         F.col("spans"),

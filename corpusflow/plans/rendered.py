@@ -81,10 +81,14 @@ def source_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     A file takes a bounded range of part keys, so larger tables give more files and never
     larger ones.
     """
+    # Rendered text compresses so well that adaptive execution would put all files into one
+    # task; a fixed count keeps the rendering and the parsing that follows spread out.
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     named = (
         table(spark, sf_dir, "part")
         .withColumn("brand", F.substring_index("p_brand", "#", -1))
         .withColumn("file_no", F.expr(f"p_partkey div {PART_KEYS_PER_FILE}"))
+        .repartition(tasks, "p_type", "brand", "file_no")
         .withColumn(
             "name",
             F.expr(
@@ -108,12 +112,8 @@ def source_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("brand") == "25", F.lit(GENERATED_LINE)).otherwise(F.lit("")),
         F.replace(F.lit(CODE_HEAD), F.lit("{package}"), F.concat(F.lit("brand"), F.col("brand"))),
     )
-    # Rendered text compresses so well that adaptive execution would put all files into one
-    # task; a fixed count keeps the parsing that follows spread out.
-    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     return (
-        blocks.repartition(tasks, "source", "brand", "file_no")
-        .groupBy("source", "brand", "file_no")
+        blocks.groupBy("source", "brand", "file_no")
         .agg(F.array_sort(F.collect_list(F.struct("p_partkey", "block"))).alias("blocks"))
         .select(
             "source",
