@@ -58,14 +58,13 @@ def header(role: Column) -> Column:
     return F.concat(F.lit(TURN_START), role, F.lit("\n"))
 
 
+def render_turn(who: Column, value: Column) -> Column:
+    return F.concat(header(map_role(who, TO_MESSAGE_ROLE)), value, F.lit(TURN_END + "\n"))
+
+
 def render_turns(conversations: Column) -> Column:
     """Array of rendered turns, in order."""
-    return F.transform(
-        conversations,
-        lambda t: F.concat(
-            header(map_role(t["from"], TO_MESSAGE_ROLE)), t["value"], F.lit(TURN_END + "\n")
-        ),
-    )
+    return F.transform(conversations, lambda t: render_turn(t["from"], t["value"]))
 
 
 def render(conversations: Column) -> Column:

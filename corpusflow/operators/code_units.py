@@ -43,7 +43,7 @@ DECLARATION_START = rf"(?md)^{tx.WS_INLINE}*(?:func |type (?!\())"
 # Text before the body brace of a function; braces of type literals belong to it.
 _TYPE_BRACES = r"(?<=\b(?:struct|interface)[ \t]{0,8})\{(?:[^{}]++|\{(?:[^{}]++|\{[^{}]*+\})*+\})*+\}"
 FUNC_HEAD = rf"^((?:[^{{}}]++|{_TYPE_BRACES})*+)\{{"
-_TYPE_PARAMS = rf"(?:\[{tx.WS}*{tx.WORD}+[\s,](?:[^\[\]]|\[[^\[\]]*\])*\])?"
+_TYPE_PARAMS = rf"(?:\[{tx.WS}*{tx.WORD}+[\s,](?:[^\[\]]++|\[[^\[\]]*+\])*+\])?"
 TYPE_HEAD = rf"^({tx.WS}*type{tx.WS}+{tx.WORD}+{_TYPE_PARAMS}{tx.WS}*=?{tx.WS}*(struct|interface){tx.WS}*)\{{"
 
 _NAME = f"({tx.WORD}+)"

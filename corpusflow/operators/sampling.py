@@ -101,10 +101,14 @@ def holdout(df: DataFrame, key: str, seed: int, share: float = VALIDATION_SHARE)
     return df.withColumn("split", F.when(is_val, F.lit("val")).otherwise(F.lit("train")))
 
 
-def shuffled(df: DataFrame, key: str, seed: int) -> DataFrame:
-    """Seeded random order as a range sort on the hash, which spreads evenly by itself."""
+def shuffled(df: DataFrame, key: str, seed: int, *first: str) -> DataFrame:
+    """Seeded random order as a range sort on the hash, which spreads evenly by itself.
+
+    Columns in `first` sort before the hash. A writer that partitions by them then keeps
+    the order inside each of its files.
+    """
     place = _place(key, seed, "order")
-    return df.orderBy(place["h"], place["k"])
+    return df.orderBy(*first, place["h"], place["k"])
 
 
 def with_position(df: DataFrame, key: str, seed: int) -> DataFrame:

@@ -126,7 +126,7 @@ def run_corpus(spark: SparkSession, config: CorpusConfig, out: str) -> dict[str,
     staged = stage(build_examples(units, found, config), "examples")
     split = sampling.holdout(staged, "example_id", config.seed)
     written = Observation("written")
-    observed = sampling.shuffled(split, "example_id", config.seed).observe(
+    observed = sampling.shuffled(split, "example_id", config.seed, "split").observe(
         written,
         F.count_if(F.col("split") == "train").alias("train"),
         F.count_if(F.col("split") == "val").alias("val"),

@@ -128,6 +128,9 @@ CHAT_SQL = {
         FROM ({split_of('example_id', 'tail')})""",
 }
 
+for _name in ("messages", "response_spans", "length_profile", "message_filter"):
+    CHAT_SQL[f"nested_{_name}"] = CHAT_SQL.get(_name) or CHAT_SQL[f"chat_{_name}"]
+
 # ---- dataset rows ----
 
 

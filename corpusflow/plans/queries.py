@@ -23,6 +23,7 @@ from corpusflow.operators import (
     sampling,
     sections,
     stats,
+    turns,
 )
 from corpusflow.plans import corpus, rendered
 from corpusflow.sources import catalog, files, rows, sinks
@@ -71,9 +72,9 @@ def _bigint(df: DataFrame) -> DataFrame:
 
 
 def _question_answer(made: DataFrame) -> DataFrame:
-    turns = F.col("conversations")
+    said = F.col("conversations")
     return made.select(
-        "example_id", turns[1]["value"].alias("question"), turns[2]["value"].alias("answer")
+        "example_id", said[1]["value"].alias("question"), said[2]["value"].alias("answer")
     )
 
 
@@ -90,14 +91,19 @@ def _turn_rows(df: DataFrame, column: str) -> DataFrame:
 
 
 def _chats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    turns = rendered.table(spark, sf_dir, "conversations")
-    nested = normalize.nest_turns(turns, "conv_id", "turn", "role", "text")
+    landed = rendered.table(spark, sf_dir, "conversations")
+    nested = normalize.nest_turns(landed, "conv_id", "turn", "role", "text")
     return normalize.normalize(nested, "messages", CONFIG, "chats", F.col("conv_id"))
 
 
+def _chat_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows_in = rendered.table(spark, sf_dir, "conversations")
+    return turns.normalize_turns(rows_in, "conv_id", "turn", "role", "text", CONFIG, "chats")
+
+
 @query
 def chat_normalize(spark, sf_dir):
-    return _turn_rows(_chats(spark, sf_dir), "conversations")
+    return _chat_turns(spark, sf_dir).withColumnRenamed("from", "role")
 
 
 @query
@@ -107,7 +113,7 @@ def chat_render(spark, sf_dir):
 
 @query
 def chat_messages(spark, sf_dir):
-    return _turn_rows(chat_views.to_messages(_chats(spark, sf_dir)), "messages")
+    return turns.message_turns(_chat_turns(spark, sf_dir)).withColumnRenamed("content", "value")
 
 
 @query
@@ -118,26 +124,52 @@ def chat_prompt(spark, sf_dir):
 
 @query
 def response_spans(spark, sf_dir):
-    return _bigint(chat_views.response_spans(_chats(spark, sf_dir)))
+    return turns.response_spans(_chat_turns(spark, sf_dir))
 
 
 @query
 def length_profile(spark, sf_dir):
+    return turns.length_profile(_chat_turns(spark, sf_dir), CONFIG)
+
+
+@query
+def nested_messages(spark, sf_dir):
+    """The same views on chats that are one row each, without a shuffle of their own."""
+    return _turn_rows(chat_views.to_messages(_chats(spark, sf_dir)), "messages")
+
+
+@query
+def nested_response_spans(spark, sf_dir):
+    return _bigint(chat_views.response_spans(_chats(spark, sf_dir)))
+
+
+@query
+def nested_length_profile(spark, sf_dir):
     return _bigint(chat_views.length_profile(_chats(spark, sf_dir), CONFIG))
 
 
 @query
 def message_filter(spark, sf_dir):
-    nested = rendered.gapped_messages(spark, sf_dir)
-    kept = normalize.normalize(nested, "messages", CONFIG, "gapped", F.col("conv_id"))
+    """Turns that stay and turns dropped for a null field, where enough turns stay."""
+    counted = turns.turn_counts(rendered.gapped_turns(spark, sf_dir), "conv_id", "role", "text")
+    return counted.filter(F.col("kept") >= 2).select(
+        F.concat(F.lit("gapped|"), F.col("conv_id").cast("string")).alias("example_id"),
+        (F.col("kept") + 1).alias("turns"),
+        F.col("null_turns").alias("null_messages"),
+    )
+
+
+@query
+def nested_message_filter(spark, sf_dir):
+    nested = normalize.nest_turns(
+        rendered.gapped_turns(spark, sf_dir), "conv_id", "turn", "role", "text"
+    ).withColumn("null_messages", normalize.dropped_messages(F.col("messages")))
+    made = normalize.with_chats(nested, "messages", CONFIG).filter(F.col("conversations").isNotNull())
     return _bigint(
-        kept.select("example_id", F.size("conversations").alias("turns"))
-        .join(
-            nested.select(
-                F.concat(F.lit("gapped|"), F.col("conv_id").cast("string")).alias("example_id"),
-                normalize.dropped_messages(F.col("messages")).alias("null_messages"),
-            ),
-            "example_id",
+        made.select(
+            F.concat(F.lit("gapped|"), F.col("conv_id").cast("string")).alias("example_id"),
+            F.size("conversations").alias("turns"),
+            "null_messages",
         )
     )
 
@@ -173,13 +205,13 @@ def jsonl_dataset(spark, sf_dir):
     code = rendered.code_rows(spark, sf_dir)
     code.select(*schemas.JSONL_CODE_KEYS, *schemas.JSONL_DOC_KEYS).write.mode("append").json(path)
     made = corpus.dataset_examples(spark, DatasetConfig(name="landed", path=path), CONFIG)
-    turns = F.col("conversations")
+    said = F.col("conversations")
     return _bigint(
         made.select(
             "origin",
-            F.size(turns).alias("turns"),
-            turns[0]["value"].alias("first"),
-            F.element_at(turns, -1)["value"].alias("last"),
+            F.size(said).alias("turns"),
+            said[0]["value"].alias("first"),
+            F.element_at(said, -1)["value"].alias("last"),
         )
     )
 
@@ -507,8 +539,8 @@ def stream_log_metrics(spark, sf_dir):
 def stream_normalize(spark, sf_dir):
     """Conversations landed as JSON files, normalised as a stream."""
     root = scratch_dir(spark, "chat-stream")
-    turns = rendered.table(spark, sf_dir, "conversations")
-    nested = normalize.nest_turns(turns, "conv_id", "turn", "role", "text")
+    landed = rendered.table(spark, sf_dir, "conversations")
+    nested = normalize.nest_turns(landed, "conv_id", "turn", "role", "text")
     nested.write.json(f"{root}/in")
     stream = jobs.normalize_stream(
         spark, f"{root}/in", nested.schema, "messages", CONFIG, "chats", "conv_id"

@@ -206,20 +206,17 @@ def code_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def gapped_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """conversations with nested messages; some texts and roles blanked or set to null."""
-    from corpusflow.operators.normalize import nest_turns
-
+def gapped_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """conversations with some texts and roles blanked or set to null."""
     place = F.col("conv_id") + F.col("turn")
     text = (
         F.when(place % 7 == 3, F.lit(" \t\n"))
         .when(place % 11 == 5, F.lit(None))
         .otherwise(F.col("text"))
     )
-    turns = table(spark, sf_dir, "conversations").select(
+    return table(spark, sf_dir, "conversations").select(
         "conv_id", "turn", F.when(place % 13 != 6, F.col("role")).alias("role"), text.alias("text")
     )
-    return nest_turns(turns, "conv_id", "turn", "role", "text")
 
 
 def page_files(spark: SparkSession, sf_dir: str) -> DataFrame:

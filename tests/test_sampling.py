@@ -90,3 +90,14 @@ def test_pick_is_even(spark):
 
 def test_prefix_cap(spark):
     assert [r.id for r in sampling.first_rows(ids(spark, 50), 3, "id").collect()] == [0, 1, 2]
+
+
+def test_shuffled_rows_keep_their_order_in_partitioned_files(spark, tmp_path):
+    rows = sampling.holdout(ids(spark, 900), "key", SEED, share=0.3)
+    sampling.shuffled(rows, "key", SEED, "split").select("split", "key").write.partitionBy("split").json(str(tmp_path / "o"))
+    for split, size in (("train", 630), ("val", 270)):
+        keys = []
+        for part in sorted((tmp_path / "o" / f"split={split}").glob("part-*")):
+            keys += [line.split('"')[3] for line in part.read_text().splitlines()]
+        assert len(keys) == size
+        assert keys == sorted(keys, key=lambda k: (python_hash(k, "order"), k))
