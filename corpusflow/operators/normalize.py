@@ -89,10 +89,11 @@ def with_chats(df: DataFrame, style: str, config: CorpusConfig) -> DataFrame:
 
 def with_jsonl_chats(df: DataFrame, config: CorpusConfig) -> DataFrame:
     """Rows that hold a chat keep it unchanged, the others are code rows."""
-    own = F.col("__own")
+    if "conversations" not in df.columns:
+        return _chats_of_code(df, schemas.JSONL_CODE_KEYS, schemas.JSONL_DOC_KEYS, config)
     landed = df.withColumnRenamed("conversations", "__own")
     made = _chats_of_code(landed, schemas.JSONL_CODE_KEYS, schemas.JSONL_DOC_KEYS, config)
-    return made.withColumn("conversations", F.coalesce(own, "conversations")).drop("__own")
+    return made.withColumn("conversations", F.coalesce("__own", "conversations")).drop("__own")
 
 
 def _as_examples(df: DataFrame, origin: str, key: Column, example_type: str) -> DataFrame:

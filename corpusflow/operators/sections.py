@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from corpusflow.config import MAX_SECTION_CHARS, MIN_SECTION_CHARS
 from corpusflow.functions import text as tx
 
-# Fixed pattern: headings of level 2 and 3. The gap after the marks may span lines.
+# Fixed patterns: headings of level 2 and 3, whose gap after the marks may span lines, and
+# the marks taken out of titles.
 HEADING = rf"(?md)^(#{{2,3}}){tx.WS}+(.+)$"
 _TITLE_MARKS = r"[`*\[\]()]"
 

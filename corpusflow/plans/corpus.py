@@ -115,8 +115,10 @@ def build_examples(
     return reduce(DataFrame.unionByName, [*parts, *[m for m in made if m is not None]])
 
 
-def run_corpus(spark: SparkSession, config: CorpusConfig, out: str) -> dict[str, int]:
-    """Extract, generate, split and write train/val examples and units; returns the counts.
+def run_corpus(spark: SparkSession, config: CorpusConfig, out: str) -> dict[str, dict[str, int]]:
+    """Extract, generate, split and write train/val examples and units.
+
+    Returns the rows written per part and the examples per origin with their total.
 
     Units and examples are staged once: the split needs two narrow passes over the example
     ids, and a lost executor then costs a re-read, not a re-extraction.
@@ -132,8 +134,14 @@ def run_corpus(spark: SparkSession, config: CorpusConfig, out: str) -> dict[str,
         F.count_if(F.col("split") == "val").alias("val"),
     )
     sinks.write_split(observed, f"{out}/examples")
-    sinks.write_units(units, f"{out}/units")
-    return dict(written.get)
+    counted = Observation("units")
+    sinks.write_units(units.observe(counted, F.count("*").alias("units")), f"{out}/units")
+    # One row per configured origin.
+    origins = stats.totals(staged, "origin", "examples").collect()
+    return {
+        "written": {**written.get, **counted.get},
+        "examples": {row["origin"]: row["examples"] for row in origins},
+    }
 
 
 def run_training_views(spark: SparkSession, corpus: str, out: str) -> dict[str, int]:

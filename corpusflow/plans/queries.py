@@ -30,7 +30,7 @@ from corpusflow.sources import catalog, files, rows, sinks
 from corpusflow.sources.scratch import scratch_dir, stage
 from corpusflow.streaming import jobs
 
-# Settings of all queries.
+# Settings of all queries. The path globs and weights of the standard settings.
 CONFIG = CorpusConfig(
     include_tests=False,
     skip_patterns=(

@@ -1,6 +1,7 @@
 """Hand-written source files with explicit expected units."""
 
 import random
+import re
 
 from pyspark.sql import functions as F
 
@@ -188,16 +189,14 @@ def test_long_literals_do_not_overflow(spark):
 
 
 def _python_doc(lines, decl):
-    """Independent statement of the doc rule: walk up, crossing single blank lines."""
-    out, j = [], decl - 1
-    while j >= 0:
-        text = lines[j].strip()
-        if text.startswith("//"):
-            out.append(text[2:].lstrip())
-        elif text or j == 0 or not lines[j - 1].strip().startswith("//"):
-            break
-        j -= 1
-    return "\n".join(reversed(out))
+    """The doc rule as a pattern over line kinds: comments, each with at most one blank after."""
+    kinds = ""
+    for line in lines[:decl]:
+        text = line.strip()
+        kinds += "c" if text.startswith("//") else "x" if text else "b"
+    block = re.search("(?:cb?)*$", kinds).start()
+    shown = [line.strip() for line in lines[block:decl]]
+    return "\n".join(text[2:].lstrip() for text in shown if text)
 
 
 def test_doc_comments_match_the_rule(spark):

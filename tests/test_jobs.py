@@ -86,11 +86,13 @@ def read_lines(path):
 def test_corpus_job(spark, trees):
     root, config = trees
     out = str(root / "out")
-    counts = corpus.run_corpus(spark, config, out)
+    result = corpus.run_corpus(spark, config, out)
+    assert result["examples"] == {"code": 5, "section": 2, "chats": 10, "own": 2, "total": 19}
+    counts = result["written"]
     train = read_lines(f"{out}/examples/split=train")
     val = read_lines(f"{out}/examples/split=val")
     # 2 explanations or docs, 2 completions, 1 overview, 2 sections, 10 chats, 2 landed rows
-    assert counts == {"train": len(train), "val": len(val)} and len(val) == 1
+    assert counts == {"train": len(train), "val": len(val), "units": 4} and len(val) == 1
     examples = train + val
     own = [e for e in examples if e["conversations"][0] == {"from": "human", "value": "own é"}]
     assert len(own) == 1
@@ -107,13 +109,13 @@ def test_corpus_job(spark, trees):
         assert "\\u" not in f.read()
 
     again = str(root / "again")
-    assert corpus.run_corpus(spark, config, again) == counts
+    assert corpus.run_corpus(spark, config, again) == result
     key = json.dumps
     assert sorted(map(key, read_lines(f"{again}/examples/split=val"))) == sorted(map(key, val))
     assert sorted(map(key, read_lines(f"{again}/examples/split=train"))) == sorted(map(key, train))
 
     views = corpus.run_training_views(spark, out, str(root / "views"))
-    assert views == counts
+    assert views == {"train": len(train), "val": len(val)}
     messages = read_lines(f"{root}/views/messages/split=train")
     assert {m["role"] for e in messages for m in e["messages"]} == {"system", "user", "assistant"}
     assert len(read_lines(f"{root}/views/messages/split=valid")) == 1

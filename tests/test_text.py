@@ -48,13 +48,12 @@ def test_globs_match_fnmatch(spark):
 
 
 def test_camel_words(spark):
-    def python(name):
-        split = re.sub(r"([A-Z]+)([A-Z][a-z])", r"\1 \2", re.sub(r"([a-z0-9])([A-Z])", r"\1 \2", name))
-        return split.lower()
-
-    rng = random.Random(4)
-    names = [random_text(rng, "abAB2_", 10) for _ in range(300)] + ["HTTPServer", "parseURLFast"]
-    assert apply(spark, names, tx.camel_words) == [python(n) for n in names]
+    expected = {
+        "HTTPServer": "http server", "parseURLFast": "parse url fast", "a2B": "a2 b", "ABC": "abc",
+        "getHTTP2Conn": "get http2 conn", "snake_Case": "snake_case", "X": "x", "": "", "aBcD": "a bc d",
+        "AbCd": "ab cd", "JSONToXMLMap": "json to xml map",
+    }
+    assert apply(spark, list(expected), tx.camel_words) == list(expected.values())
 
 
 def test_paths(spark):
@@ -106,13 +105,38 @@ def test_field_filter(spark):
     assert kept(None, "go") == [1, 2, 3]
 
 
-def _python_sections(content):
-    heads = list(re.finditer(r"^(#{2,3})\s+(.+)$", content, re.MULTILINE))
-    for i, m in enumerate(heads):
-        title = re.sub(r"[`*\[\]()]", "", m.group(2).strip()).strip()
-        end = heads[i + 1].start() if i + 1 < len(heads) else len(content)
-        body = content[m.end() : end].strip()
-        yield i, len(m.group(1)), title, body
+def _heading_at(text, start):
+    """(level, title, end) of a heading that begins at a line start, by hand."""
+    level = 0
+    while text[start + level : start + level + 1] == "#":
+        level += 1
+    gap = at = start + level
+    while at < len(text) and text[at].isspace():
+        at += 1
+    if level not in (2, 3) or at == gap:
+        return None
+    if at == len(text):
+        # Only white space is left: its last character that is no newline is the title.
+        rest = [p for p in range(gap + 1, at) if text[p] != "\n"]
+        if not rest:
+            return None
+        at = rest[-1]
+    end = text.find("\n", at)
+    end = len(text) if end < 0 else end
+    return level, text[at:end], end
+
+
+def _python_sections(text):
+    found, at = [], 0
+    while at <= len(text):
+        head = _heading_at(text, at) if at == 0 or text[at - 1] == "\n" else None
+        if head:
+            found.append((at, *head))
+        at = head[2] if head and head[2] > at else at + 1
+    for i, (_, level, title, end) in enumerate(found):
+        stop = found[i + 1][0] if i + 1 < len(found) else len(text)
+        clean = "".join(c for c in title.strip() if c not in "`*[]()").strip()
+        yield i, level, clean, text[end:stop].strip()
 
 
 def test_sections_match_a_python_splitter(spark):
