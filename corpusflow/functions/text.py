@@ -77,8 +77,7 @@ def comment_lines(text: Column) -> Column:
 
 def position_of_last(text: Column, char: str) -> Column:
     """1-based position of the last occurrence, 0 if there is none."""
-    back = F.instr(F.reverse(text), char)
-    return F.when(back > 0, F.length(text) - back + 1).otherwise(F.lit(0))
+    return F.length(text) - F.length(F.substring_index(text, char, -1))
 
 
 def before_first(text: Column, char: str) -> Column:

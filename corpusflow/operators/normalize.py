@@ -96,11 +96,15 @@ def with_jsonl_chats(df: DataFrame, config: CorpusConfig) -> DataFrame:
     return made.withColumn("conversations", F.coalesce("__own", "conversations")).drop("__own")
 
 
+def example_id(origin: str, key: Column) -> Column:
+    return F.concat_ws("|", F.lit(origin), key.cast("string")).alias("example_id")
+
+
 def _as_examples(df: DataFrame, origin: str, key: Column, example_type: str) -> DataFrame:
     return keep_where(
         df,
         F.col("conversations").isNotNull(),
-        F.concat_ws("|", F.lit(origin), key.cast("string")).alias("example_id"),
+        example_id(origin, key),
         F.lit(origin).alias("origin"),
         F.lit(example_type).alias("example_type"),
         "conversations",

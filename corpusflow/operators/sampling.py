@@ -58,16 +58,22 @@ def _global_cut(df: DataFrame, key: str, k: Column, seed: int, tag: str) -> Colu
     return _cut(inside, ()).select("cut").scalar()
 
 
-def _place(key: str, seed: int, tag: str) -> Column:
-    return F.struct(stable_hash(F.col(key), seed, tag).alias("h"), F.col(key).cast("string").alias("k"))
+def _place(key: Column, seed: int, tag: str) -> Column:
+    return F.struct(stable_hash(key, seed, tag).alias("h"), key.cast("string").alias("k"))
+
+
+def is_capped_in(key: Column, among: DataFrame, limit: int, seed: int) -> Column:
+    """Whether a key is one of the `limit` keys that a cap on `among` (one column) keeps.
+
+    For rows that are costly to make: stage their keys, cap those, and make only the kept rows.
+    """
+    cut = _global_cut(among, among.columns[0], F.lit(limit), seed, "cap")
+    return F.coalesce(_place(key, seed, "cap") <= cut, F.lit(True))
 
 
 def cap(df: DataFrame, key: str, limit: int, seed: int) -> DataFrame:
     """At most `limit` rows, chosen by hash; 0 means no cap."""
-    if not limit:
-        return df
-    cut = _global_cut(df, key, F.lit(limit), seed, "cap")
-    return df.filter(F.coalesce(_place(key, seed, "cap") <= cut, F.lit(True)))
+    return df.filter(is_capped_in(F.col(key), df.select(key), limit, seed)) if limit else df
 
 
 def cap_per_group(df: DataFrame, by: str, key: str, limit: int, seed: int) -> DataFrame:
@@ -83,7 +89,7 @@ def cap_per_group(df: DataFrame, by: str, key: str, limit: int, seed: int) -> Da
     edges = stage(_edges(narrow, F.lit(limit), (by,)), "edges")
     cuts = stage(_cut(narrow.join(edges, [by, "b"]), (by,)), "cuts")
     joined = df.join(cuts, by, "left")
-    keep = F.col("cut").isNull() | (_place(key, seed, "cap") <= F.col("cut"))
+    keep = F.col("cut").isNull() | (_place(F.col(key), seed, "cap") <= F.col("cut"))
     return joined.filter(keep).drop("cut")
 
 
@@ -97,7 +103,7 @@ def holdout(df: DataFrame, key: str, seed: int, share: float = VALIDATION_SHARE)
     size = F.greatest(F.lit(1), F.floor(F.col("n") * F.lit(share)))
     cut = _global_cut(df, key, size, seed, "order")
     # No cut: all rows fit into the validation set.
-    is_val = F.coalesce(_place(key, seed, "order") <= cut, F.lit(True))
+    is_val = F.coalesce(_place(F.col(key), seed, "order") <= cut, F.lit(True))
     return df.withColumn("split", F.when(is_val, F.lit("val")).otherwise(F.lit("train")))
 
 
@@ -107,7 +113,7 @@ def shuffled(df: DataFrame, key: str, seed: int, *first: str) -> DataFrame:
     Columns in `first` sort before the hash. A writer that partitions by them then keeps
     the order inside each of its files.
     """
-    place = _place(key, seed, "order")
+    place = _place(F.col(key), seed, "order")
     return df.orderBy(*first, place["h"], place["k"])
 
 
@@ -117,7 +123,7 @@ def with_position(df: DataFrame, key: str, seed: int) -> DataFrame:
     Ranks run inside a hash bucket; bucket offsets come from the histogram, whose size is
     bounded by 2**16 rows, so it is safe to broadcast.
     """
-    place = _place(key, seed, "order")
+    place = _place(F.col(key), seed, "order")
     rows = df.withColumn("__h", place["h"]).withColumn("__b", bucket(place["h"]))
     counts = rows.groupBy("__b").agg(F.count("*").alias("__c"))
     before = F.sum("__c").over(W.partitionBy(F.lit(0)).orderBy("__b")) - F.col("__c")

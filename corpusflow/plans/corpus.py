@@ -95,12 +95,22 @@ def dataset_examples(
         return None
     table = rows.read_dataset(spark, dataset)
     key = F.col(rows.ROW_KEY)
-    if dataset.type == "jsonl":
-        made = normalize.normalize_jsonl(table, config, dataset.name, key)
-    else:
-        kept = filters.field_equals(table, dataset.filter_field, dataset.filter_value)
-        made = normalize.normalize(kept, dataset.format, config, dataset.name, key)
-    return sampling.cap(made, "example_id", dataset.max_samples, config.seed)
+    if dataset.type == "table":
+        table = filters.field_equals(table, dataset.filter_field, dataset.filter_value)
+
+    def made_from(landed: DataFrame) -> DataFrame:
+        if dataset.type == "jsonl":
+            return normalize.normalize_jsonl(landed, config, dataset.name, key)
+        return normalize.normalize(landed, dataset.format, config, dataset.name, key)
+
+    if not dataset.max_samples:
+        return made_from(table)
+    # Only ids are staged for the cap, and only kept rows are converted in the end.
+    ids = stage(made_from(table).select("example_id"), "ids")
+    kept = sampling.is_capped_in(
+        normalize.example_id(dataset.name, key), ids, dataset.max_samples, config.seed
+    )
+    return made_from(table.filter(kept))
 
 
 def build_examples(
