@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusflow.llm import byte_bpe, language_id, piece_counts
+from corpusflow.llm import byte_bpe, language_id, piece_counts, quality, toxicity
 from corpusflow.llm.runtime import documents, fold
 
 
@@ -21,6 +21,29 @@ def _pattern() -> str:
     return public_tokenizers.PATTERN
 
 
+def _scored(df: DataFrame, folds: int, held_out: int) -> DataFrame:
+    return df.select(
+        "doc_id",
+        F.coalesce(fold(F.col("doc_id"), folds) == held_out, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir, "doc_id", "text")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = quality.fit(docs, labels, taught=fold(F.col("k"), 4) != 2)
+    return _scored(quality.score(docs, model), 4, 2)
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir, "doc_id", "text")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = toxicity.fit(docs, labels, taught=fold(F.col("k"), 3) != 1)
+    return _scored(toxicity.score(docs, model), 3, 1)
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = _path("byte_bpe_multi_50k.tiktoken")
     coded = byte_bpe.encode(documents(spark, sf_dir, "doc_id", "text"), ranks, _pattern()).drop("text")
@@ -57,6 +80,8 @@ def op10_piece_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_quality": op3_quality,
+    "op4_toxicity": op4_toxicity,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_language_id": op8_language_id,
     "op10_piece_counts": op10_piece_counts,
