@@ -20,9 +20,13 @@ def _places(key: Column) -> list[Column]:
 
 def build(df: DataFrame, key: str) -> np.ndarray:
     """Words of 64 bits. At most 131,072 rows reach the driver. Null keys count as keys."""
+    return from_places(df.select(F.explode(F.array(*_places(F.col(key)))).alias("p")))
+
+
+def from_places(places: DataFrame) -> np.ndarray:
+    """The filter with the bits at `p` (int) set."""
     words = (
-        df.select(F.explode(F.array(*_places(F.col(key)))).alias("p"))
-        .select(F.shiftright("p", 6).alias("w"), F.col("p").bitwiseAND(63).alias("b"))
+        places.select(F.shiftright("p", 6).alias("w"), F.col("p").bitwiseAND(63).alias("b"))
         .groupBy("w")
         .agg(F.bit_or(F.expr("shiftleft(1L, b)")).alias("m"))
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusflow.llm import byte_bpe, language_id, piece_counts, quality, toxicity
+from corpusflow.llm import byte_bpe, language_id, order_minhash, piece_counts, quality, sharding, toxicity, winnowing
 from corpusflow.llm.runtime import documents, fold
 
 
@@ -21,6 +21,41 @@ def _pattern() -> str:
     return public_tokenizers.PATTERN
 
 
+def op1_hash_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir, "doc_id", "text").select(
+        "doc_id",
+        (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("bigint").alias("size"),
+        F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("text_crc32"),
+    )
+    order = [F.col("doc_id"), F.col("text_crc32"), F.col("size")]
+    return sharding.assign(docs, 8, [F.col("doc_id")], order).select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op5_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.with_edits(documents(spark, sf_dir, "doc_id", "text"))
+
+
+def op6_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir, "doc_id", "text")
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return winnowing.contamination(docs, items).select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("item_ids").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def _scored(df: DataFrame, folds: int, held_out: int) -> DataFrame:
     return df.select(
         "doc_id",
@@ -80,6 +115,9 @@ def op10_piece_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_hash_ring": op1_hash_ring,
+    "op5_order_minhash": op5_order_minhash,
+    "op6_winnowing": op6_winnowing,
     "op3_quality": op3_quality,
     "op4_toxicity": op4_toxicity,
     "op7_byte_bpe": op7_byte_bpe,
@@ -87,4 +125,38 @@ QUERIES = {
     "op10_piece_counts": op10_piece_counts,
 }
 
-ORACLE: dict[str, str] = {}
+#: Words of both tables, the windows of the items (all words of an item with fewer), and where
+#: they occur in documents.
+OP6_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), i AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark
+), iw AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS n,
+    array_to_string(list_slice(w, p, p + least(len(w), 10) - 1), ' ') AS g
+  FROM (SELECT item_id, w, unnest(generate_series(1, greatest(len(w) - 9, 1))) AS p FROM i WHERE len(w) > 0)
+), dw AS (
+  SELECT doc_id, p, n, array_to_string(list_slice(w, p, p + n - 1), ' ') AS g
+  FROM (SELECT doc_id, w, n, unnest(generate_series(1, len(w) - n + 1)) AS p
+        FROM d, (SELECT DISTINCT n FROM iw) AS sizes WHERE len(w) >= n)
+), h AS (
+  SELECT doc_id, p, dw.n, item_id FROM dw JOIN iw USING (n, g)
+), c AS (
+  SELECT doc_id, count(DISTINCT q) AS n_hit
+  FROM (SELECT doc_id, unnest(generate_series(p, p + n - 1)) AS q FROM h) GROUP BY doc_id
+), k AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS items
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item_id FROM h) GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+  CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN c USING (doc_id) LEFT JOIN k USING (doc_id)
+"""
+
+ORACLE: dict[str, str] = {"op6_winnowing": OP6_SQL}

@@ -22,8 +22,23 @@ def importable_on_workers(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join([PACKAGE_ROOT, *paths])
 
 
-def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+#: Rows and bytes that a Python worker gets at once. Spark's default of 10,000 rows suits short rows.
+BATCH_SETTINGS = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "500"),
+    "spark.sql.execution.arrow.maxBytesPerBatch": (None, "8m"),
+}
+
+
+def prepare(spark: SparkSession) -> None:
+    """Make workers ready for texts. Settings that the user changed stay as they are."""
     importable_on_workers(spark)
+    for name, (default, value) in BATCH_SETTINGS.items():
+        if spark.conf.get(name, default) == default:
+            spark.conf.set(name, value)
+
+
+def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet").select(*columns)
 
 
