@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusflow.llm import byte_bpe, language_id, order_minhash, piece_counts, quality, sharding, toxicity, winnowing
+from corpusflow.llm import bag_minhash, byte_bpe, language_id, order_minhash, piece_counts, quality, sharding, toxicity, winnowing
 from corpusflow.llm.runtime import documents, fold
 
 
@@ -39,6 +39,12 @@ def op1_hash_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_bag_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bag_minhash.near_duplicates(documents(spark, sf_dir, "doc_id", "text")).select(
+        "doc_id", "class_id", (F.col("doc_id") == F.col("class_id")).alias("kept")
+    )
+
+
 def op5_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.with_edits(documents(spark, sf_dir, "doc_id", "text"))
 
@@ -116,6 +122,7 @@ def op10_piece_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_hash_ring": op1_hash_ring,
+    "op2_bag_minhash": op2_bag_minhash,
     "op5_order_minhash": op5_order_minhash,
     "op6_winnowing": op6_winnowing,
     "op3_quality": op3_quality,
