@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusflow.llm import bag_minhash, byte_bpe, language_id, order_minhash, piece_counts, quality, sharding, toxicity, winnowing
+from corpusflow.llm import bag_minhash, byte_bpe, language_id, order_minhash, piece_counts, quality, sharding, suffix_buckets, toxicity, winnowing
 from corpusflow.llm.runtime import documents, fold
 
 
@@ -108,6 +108,14 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_suffix_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir, "doc_id", "text")
+    sized = docs.withColumn("n_bytes", F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint"))
+    return suffix_buckets.without_repeats(sized).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op10_piece_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = piece_counts.count_tokens(
         documents(spark, sf_dir, "doc_id", "text"), _path("piece_bpe_32k.model")
@@ -129,6 +137,7 @@ QUERIES = {
     "op4_toxicity": op4_toxicity,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_language_id": op8_language_id,
+    "op9_suffix_buckets": op9_suffix_buckets,
     "op10_piece_counts": op10_piece_counts,
 }
 
