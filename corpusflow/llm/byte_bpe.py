@@ -17,15 +17,16 @@ from __future__ import annotations
 import base64
 import functools
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 LEAF_BYTES = 8
-CACHE_ENTRIES = 250_000
+CACHE_ENTRIES = 150_000
+PIECE_ENTRIES = 400_000
 CACHED_BYTES = 64
 
 
@@ -77,7 +78,7 @@ class BytePairTree:
         i = j = 1
         while True:
             i, j = min(i, len(left)), min(j, len(right))
-            window = self.merge(self.decode(left[len(left) - i :] + right[:j]))
+            window = self.leaves[self.decode(left[len(left) - i :] + right[:j])]
             left_settled = i == len(left) or apart[left[-i - 1], window[0]]
             right_settled = j == len(right) or apart[window[-1], right[j]]
             if left_settled and right_settled:
@@ -119,11 +120,17 @@ def tree_of(path: str) -> BytePairTree:
 
 @functools.lru_cache(maxsize=4)
 def encoder_of(path: str, pattern: str):
+    """Text to ids, each an int32 of a byte string."""
     import regex
 
     tree = tree_of(path)
-    split, ids = regex.compile(pattern).findall, Memo(lambda piece: tree.encode(piece.encode("utf-8")))
-    return lambda text: np.fromiter(chain.from_iterable(map(ids.__getitem__, split(text))), np.int32)
+    split = regex.compile(pattern).findall
+    known = Memo(lambda piece: np.array(tree.encode(piece.encode("utf-8")), np.int32).tobytes(), PIECE_ENTRIES)
+    return lambda text: b"".join(map(known.__getitem__, split(text)))
+
+
+def offsets_of(lengths: list[int]) -> pa.Array:
+    return pa.array(np.concatenate(([0], np.cumsum(lengths))), pa.int32())
 
 
 def encode(df: DataFrame, ranks_path: str, pattern: str, text: str = "text", into: str = "ids") -> DataFrame:
@@ -133,11 +140,13 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, text: str = "text", int
     replaced; all others pass through. Row-local: no shuffle, memory bounded by one batch.
     """
 
-    @F.pandas_udf("array<int>")
-    def ids_of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("array<int>")
+    def ids_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encode_text = encoder_of(ranks_path, pattern)
         for texts in batches:
-            yield pd.Series([encode_text(t or "") for t in texts], dtype=object)
+            ids = [encode_text(t) if t else b"" for t in texts.to_pylist()]
+            values = pa.array(np.frombuffer(b"".join(ids), np.int32))
+            yield pa.ListArray.from_arrays(offsets_of([len(i) // 4 for i in ids]), values)
 
     return df.withColumn(into, ids_of(F.col(text)))
 
@@ -145,10 +154,12 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, text: str = "text", int
 def decode(df: DataFrame, ranks_path: str, ids: str = "ids", into: str = "bytes") -> DataFrame:
     """Add the bytes that the ids stand for. A null array gives no bytes."""
 
-    @F.pandas_udf("binary")
-    def bytes_of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("binary")
+    def bytes_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tree = tree_of(ranks_path)
         for arrays in batches:
-            yield pd.Series([b"" if a is None else tree.decode(a.tolist()) for a in arrays], dtype=object)
+            values = arrays.flatten().to_pylist()
+            ends = np.cumsum([0 if n is None else n for n in pc.list_value_length(arrays).to_pylist()]).tolist()
+            yield pa.array([tree.decode(values[a:b]) for a, b in zip([0, *ends], ends)], pa.binary())
 
     return df.withColumn(into, bytes_of(F.col(ids)))
