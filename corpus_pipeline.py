@@ -1,16 +1,107 @@
-"""From raw documents to token ids: stages that run one after another, each on what is left."""
+"""From raw documents to token ids: stages that run one after another, each on what is left.
+
+Each stage takes (spark, docs, sf_dir) and returns the columns of documents, the last one token
+ids. `run` writes each stage's result to the shared folder and reads it again, so a stage is
+computed once and a lost executor costs no earlier stage.
+
+Nulls: a null text is an empty one for the classifier, the removal of repeats, decontamination and
+tokens; the near-duplicate stage keeps every null text. Rows with a null doc_id pass that stage
+unchanged, since they can't be named in a class. Further columns of documents pass through.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from corpusflow.llm import bag_minhash, byte_bpe, quality, suffix_buckets, winnowing
+from corpusflow.llm.runtime import fold, prepare
+from corpusflow.sources.scratch import stage
+
+ACCEPTED = 0.7
+
+
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier scores at 0.7 or more."""
+    prepare(spark)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = quality.fit(docs, labels, taught=fold(F.col("k"), 4) != 2)
+    return quality.score(docs, model, into="_score").filter(F.col("_score") >= ACCEPTED).select(*docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near-duplicates: the one with the smallest id.
+
+    Rows that repeat a doc_id and its text are one document. A doc_id that names different texts
+    is in no class; all its rows stay.
+    """
+    prepare(spark)
+    found = bag_minhash.near_duplicates(docs)
+    gone = stage(found.filter("doc_id <> class_id").select("doc_id"), "duplicates")
+    left = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    ids = docs.filter("doc_id is not null").select("doc_id")
+    if ids.groupBy("doc_id").count().filter("count > 1").isEmpty():
+        return left
+    return left.filter("doc_id is null").unionByName(left.filter("doc_id is not null").dropDuplicates(["doc_id", "text"]))
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the runs of 200 bytes that occur elsewhere too. All rows stay.
+
+    Bytes of a character that is cut in two are dropped with it; n_chars is counted anew.
+    """
+    prepare(spark)
+    cut = suffix_buckets.without_repeats(docs)
+    text = F.when(F.col("n_removed") == 0, F.col("text")).otherwise(F.col("kept_text"))
+    fresh = {"text": text}
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        fresh["n_chars"] = F.when(F.col("n_removed") == 0, F.col("n_chars")).otherwise(F.length("text").cast(kind))
+    for name, column in fresh.items():
+        cut = cut.withColumn(name, column)
+    return cut.select(*docs.columns)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no ten words in a row of a benchmark item (or all of a shorter item)."""
+    prepare(spark)
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    numbered = docs.withColumns({"_text": F.col("text")})
+    return winnowing.contamination(numbered, items, text="_text").filter("n_hit = 0").select(*docs.columns)
+
+
+def encode_bytes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every text, with digests of the ids and of the bytes they decode to."""
+    import public_tokenizers
+
+    prepare(spark)
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    coded = byte_bpe.decode(byte_bpe.encode(docs, ranks, public_tokenizers.PATTERN), ranks)
+    return coded.select(
+        "doc_id",
+        "lang",
+        "source",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        "ids",
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2(F.col("bytes"), 256).alias("decoded_sha256"),
+    )
+
 
-STAGES: list = []
+STAGES = [
+    ("quality classifier", keep_quality),
+    ("near-duplicates", drop_near_duplicates),
+    ("repeated substrings", cut_repeats),
+    ("decontamination", drop_contaminated),
+    ("byte-level BPE", encode_bytes),
+]
 
+#: The classifier is fitted, and the substring stage works on bytes: no SQL.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    for _, work in STAGES:
+        docs = stage(work(spark, docs, sf_dir), "stage")
     return docs

@@ -196,13 +196,18 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     return whole.unionByName(partly.select("d", "t", F.col("p").alias("s"), (F.col("p") + LENGTH).alias("e")))
 
 
+NEW = ("kept", "kept_text", "n_removed", "n_spans")
+
+
 def cutter(kept: list[str]):
-    """Adds the bytes outside the spans, how many are gone, and how many runs of them."""
+    """Adds the bytes outside the spans, the characters wholly outside, how many bytes are gone,
+    and how many runs of them."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, spans = batch.column(len(kept)), batch.column(len(kept) + 1)
             out: list[bytes] = []
+            whole: list[bytes] = []
             gone, runs = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
             for i in range(len(texts)):
                 data = texts[i].as_buffer()
@@ -213,25 +218,32 @@ def cutter(kept: list[str]):
                     np.add.at(covered, inside.field("e").to_numpy(), -1)
                     hit = np.cumsum(covered)[:-1] > 0
                     gone[i], runs[i] = hit.sum(), np.count_nonzero(np.diff(hit.astype(np.int8), prepend=0) == 1)
-                    out.append(np.frombuffer(data, np.uint8)[~hit].tobytes())
+                    raw = np.frombuffer(data, np.uint8)
+                    out.append(raw[~hit].tobytes())
+                    begins = np.flatnonzero((raw & 0xC0) != 0x80)
+                    broken = np.maximum.reduceat(hit, begins) if len(raw) else hit
+                    whole.append(raw[~np.repeat(broken, np.diff(np.append(begins, len(raw))))].tobytes())
                 else:
                     out.append(data.to_pybytes())
+                    whole.append(out[-1])
             columns = [batch.column(i) for i in range(len(kept))]
-            columns += [pa.array(out, pa.binary()), pa.array(gone), pa.array(runs)]
-            yield pa.RecordBatch.from_arrays(columns, [*kept, "kept", "n_removed", "n_spans"])
+            columns += [pa.array(out, pa.binary()), pa.array(whole, pa.binary()).cast(pa.string())]
+            columns += [pa.array(gone), pa.array(runs)]
+            yield pa.RecordBatch.from_arrays(columns, [*kept, *NEW])
 
     return cut
 
 
 def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """All columns, with kept (binary), n_removed and n_spans (bigint, maximal removed runs).
+    """All columns, with kept (binary), kept_text (string: without characters cut in two),
+    n_removed and n_spans (bigint, maximal removed runs).
 
     Every byte covered by a run of 200 bytes that also begins elsewhere is removed, from all its
     places; runs are judged on the input. Null and empty texts keep nothing. Columns that have the
     names of the new ones are replaced. Texts that hold no repeat (or only seem to, by a Bloom
     filter of fixed size) stay where they are; only the others are shuffled to their spans.
     """
-    columns = [c for c in docs.columns if c not in ("kept", "n_removed", "n_spans")]
+    columns = [c for c in docs.columns if c not in NEW]
     spans = stage(repeated_spans(docs, key, text), "spans")
     source = _keyed(docs.select(*columns), key, text)
     marked = bloom.may_hold(bloom.build(spans.select("t").distinct(), "t"), F.col("_t"))
@@ -243,7 +255,7 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     clean = source.filter(~F.col("_m")).select(*columns, "_x", none)
     other = source.filter("_m").join(lists, ["_d", "_t"], "left").select(*columns, "_x", "_spans")
     schema = docs.select(*columns).schema
-    for name, kind in (("kept", T.BinaryType()), ("n_removed", T.LongType()), ("n_spans", T.LongType())):
+    for name, kind in zip(NEW, (T.BinaryType(), T.StringType(), T.LongType(), T.LongType())):
         schema = schema.add(name, kind)
     return clean.unionByName(other).mapInArrow(cutter(columns), schema)
 
