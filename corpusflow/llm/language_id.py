@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 UNDETERMINED = "und"
+LEAST_BYTES = 16_384
 
 
 def learn(
@@ -48,7 +49,10 @@ def learn(
     parts: dict[str, list[str]] = {name: [] for name in rows}
     for row in sorted(sample.collect(), key=lambda r: (r["l"], r["d"], r["t"])):
         parts[row["l"]].append(row["t"])
-    return {name: "\n".join(texts).lower().encode("utf-8") for name, texts in sorted(parts.items())}
+    contents = {name: "\n".join(texts).lower().encode("utf-8") for name, texts in sorted(parts.items())}
+    # A longer dictionary holds more of any text, so all get the size of the smallest.
+    size = max(LEAST_BYTES, min(map(len, contents.values())))
+    return {name: content[:size] for name, content in contents.items()}
 
 
 @functools.lru_cache(maxsize=4)
@@ -71,7 +75,7 @@ def identify(
     contents: dict[str, bytes],
     text: str = "text",
     into: str = "language",
-    level: int = 3,
+    level: int = 5,
     least_margin: float = 0.01,
 ) -> DataFrame:
     """Add a struct (lang string, score double, rejected boolean).
