@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,15 +14,22 @@ from corpusflow.llm import bloom
 from corpusflow.llm.runtime import slices
 from corpusflow.llm.wordhash import BLOCK_BYTES, LOWER, MARK, Words, mix, ngrams, read_words, run_hashes
 
-#: Texts to (text number, feature) pairs, ascending and without repeats.
-Extractor = Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]
+#: Texts to (text number, feature) pairs, ascending and without repeats. A second argument, a
+#: boolean per feature, leaves out the others before anything is sorted.
+Extractor = Callable[..., tuple[np.ndarray, np.ndarray]]
 
 
-def indicators(groups: list[tuple[np.ndarray, np.ndarray]], bits: int) -> tuple[np.ndarray, np.ndarray]:
+def indicators(
+    groups: list[tuple[np.ndarray, np.ndarray]], bits: int, known: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
     """Distinct (text number, bucket) pairs of hashes with their text numbers."""
-    keys = [
-        (owner.astype(np.uint64) << np.uint64(bits)) | (hashes >> np.uint64(64 - bits)) for hashes, owner in groups
-    ]
+    keys = []
+    for hashes, owner in groups:
+        found = hashes >> np.uint64(64 - bits)
+        if known is not None:
+            used = known[found.view(np.int64)]
+            found, owner = found[used], owner[used]
+        keys.append((owner.astype(np.uint64) << np.uint64(bits)) | found)
     keys = np.unique(np.concatenate(keys)) if keys else np.zeros(0, np.uint64)
     return (keys >> np.uint64(bits)).astype(np.int64), (keys & np.uint64((1 << bits) - 1)).astype(np.int64)
 
@@ -41,12 +49,12 @@ def shapes(words: Words) -> np.ndarray:
 def quality_features(bits: int) -> Extractor:
     """Words and word pairs; single, double and triple token shapes."""
 
-    def extract(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    def extract(texts: list[bytes], known: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         words = read_words(texts, marks=True)
         looks = shapes(words)
         groups = [ngrams(words.hashes, words.owner, o, 1 + i) for i, o in enumerate(((0,), (0, 1)))]
         groups += [ngrams(looks, words.owner, o, 11 + i) for i, o in enumerate(((0,), (0, 1), (0, 1, 2)))]
-        return indicators(groups, bits)
+        return indicators(groups, bits, known)
 
     return extract
 
@@ -54,7 +62,7 @@ def quality_features(bits: int) -> Extractor:
 def toxicity_features(bits: int, stem_bytes: tuple[int, ...] = (4, 6, 8)) -> Extractor:
     """Words, word pairs, and pairs that skip one or two words; the words also cut to stems."""
 
-    def extract(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    def extract(texts: list[bytes], known: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         words = read_words(texts)
         gaps = ((0,), (0, 1), (0, 2), (0, 3))
         groups = [ngrams(words.hashes, words.owner, o, 21 + i) for i, o in enumerate(gaps)]
@@ -62,7 +70,7 @@ def toxicity_features(bits: int, stem_bytes: tuple[int, ...] = (4, 6, 8)) -> Ext
         for i, most in enumerate(stem_bytes):
             stems = run_hashes(lower, words.starts, np.minimum(words.ends, words.starts + most))
             groups.append(ngrams(stems, words.owner, (0,), 31 + i))
-        return indicators(groups, bits)
+        return indicators(groups, bits, known)
 
     return extract
 
@@ -71,8 +79,10 @@ def encoded(texts: pd.Series) -> list[bytes]:
     return [b"" if t is None else t.encode("utf-8") for t in texts]
 
 
-def scored(df: DataFrame, text: str, into: str, extract: Extractor, weights: np.ndarray, link) -> DataFrame:
-    """Add `link(sums, norms)` of every text; sums: of the weights of its features. Row-local."""
+def scored(
+    df: DataFrame, text: str, into: str, extract: Extractor, weights: np.ndarray, link, known: np.ndarray | None = None
+) -> DataFrame:
+    """Add `link(text numbers, features, weights, texts)` of every text. Row-local."""
 
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -80,7 +90,7 @@ def scored(df: DataFrame, text: str, into: str, extract: Extractor, weights: np.
             data = encoded(texts)
             out = np.zeros(len(data))
             for a, b in slices([len(t) for t in data], BLOCK_BYTES):
-                owner, found = extract(data[a:b])
+                owner, found = extract(data[a:b], known)
                 out[a:b] = link(owner, found, weights, b - a)
             yield pd.Series(out)
 
@@ -119,8 +129,12 @@ def drawn(rows: DataFrame, extract: Extractor, per_class: int, sizes: dict[int,
             yield pd.Series([extract([t])[1].astype(np.int32).tobytes() for t in encoded(texts)], dtype=object)
 
     chosen = rows.withColumn("d", draw).filter(F.col("d") < share)
-    found = chosen.select("d", "k", "y", features("t").alias("f")).collect()
-    return [(r["y"], np.frombuffer(r["f"], np.int32)) for r in sorted(found, key=lambda r: (r["d"], r["k"], r["f"]))]
+    table = chosen.select("d", "k", "y", features("t").alias("f")).toArrow()
+    order = np.lexsort([table[c].to_numpy() for c in ("k", "d")])
+    label, found = table["y"].to_numpy(), table["f"].combine_chunks()
+    found = found.chunk(0) if isinstance(found, pa.ChunkedArray) else found
+    starts, data = np.frombuffer(found.buffers()[1], np.int32), np.frombuffer(found.buffers()[2] or b"", np.int32)
+    return [(int(label[i]), data[starts[i + found.offset] // 4 : starts[i + found.offset + 1] // 4]) for i in order]
 
 
 def class_sizes(rows: DataFrame) -> dict[int, int]:

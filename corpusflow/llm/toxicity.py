@@ -56,7 +56,7 @@ def fit(
     label: str = "toxic",
     taught: Column | None = None,
     bits: int = 20,
-    sample_per_class: int = 6000,
+    sample_per_class: int = 4000,
     epochs: int = 3,
     rate: float = 1.0,
     smooth: float = 1.0,
@@ -88,11 +88,11 @@ def fit(
 
 def score(df: DataFrame, model: ToxicityModel, text: str = "text", into: str = "score") -> DataFrame:
     """Add P(label 1) from 0 to 1. Null and empty texts are scored by the constant alone."""
-    buckets, values, constant, bits = model.buckets, model.weights, model.constant, model.bits
+    weights, constant = np.zeros(1 << model.bits), model.constant
+    weights[model.buckets] = model.weights
 
     def link(owner: np.ndarray, found: np.ndarray, weights: np.ndarray, texts: int) -> np.ndarray:
-        at = np.minimum(np.searchsorted(buckets, found), max(0, len(buckets) - 1))
-        hit = buckets[at] == found if len(buckets) else np.zeros(len(found), bool)
-        return features.sigmoid(np.bincount(owner[hit], weights[at[hit]], texts) + constant)
+        return features.sigmoid(np.bincount(owner, weights[found], texts) + constant)
 
-    return features.scored(df, text, into, features.toxicity_features(bits), values, link)
+    extract = features.toxicity_features(model.bits)
+    return features.scored(df, text, into, extract, weights, link, weights != 0)
