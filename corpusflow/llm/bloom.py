@@ -36,6 +36,17 @@ def from_places(places: DataFrame) -> np.ndarray:
     return bitmap
 
 
+def from_hashes(df: DataFrame, column: str) -> np.ndarray:
+    """The filter of a column of 64-bit hashes, see `held_hashes`."""
+    top, low = F.shiftrightunsigned(column, 41), F.col(column).bitwiseAND(BITS - 1)
+    return from_places(df.select(F.explode(F.array(top.cast("int"), low.cast("int"))).alias("p")))
+
+
+def held_hashes(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    top, low = hashes >> np.uint64(41), hashes & np.uint64(BITS - 1)
+    return held(bitmap, top.astype(np.int64)) & held(bitmap, low.astype(np.int64))
+
+
 def held(bitmap: np.ndarray, places: np.ndarray) -> np.ndarray:
     return (bitmap[places >> 6] >> (places & 63)) & 1 != 0
 

@@ -61,3 +61,12 @@ def slices(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+#: A side of a join up to this size (as written to Parquet) goes to every worker.
+BROADCAST_BYTES = 16 << 20
+
+
+def is_small(table: DataFrame) -> bool:
+    """Whether a staged table may be broadcast, by the size of its files."""
+    return int(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) <= BROADCAST_BYTES

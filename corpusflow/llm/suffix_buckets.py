@@ -7,7 +7,7 @@ and 200, each step using the identifiers of the step before. Identifiers are mad
 (64 bits each), so equal buckets of different documents have equal identifiers and nothing has to
 be numbered globally.
 
-Sorting all suffixes of a corpus would move many times its size. Three steps settle almost all of
+Sorting all suffixes of a corpus would move many times its size. These steps settle almost all of
 them first, and lose nothing:
 
 1. Each run of 200 bytes is filed under its anchor: the suffix in it whose 50-byte bucket has the
@@ -15,8 +15,11 @@ them first, and lose nothing:
    An anchor whose 50-byte bucket has no other member settles all its runs: they aren't repeated.
 2. The runs filed under one anchor are consecutive. Together they are a block, identified by the
    200-byte buckets of its first and last suffix. Equal blocks settle all their runs: repeated.
-3. Where an anchor's bucket holds different blocks, one copy of each block is opened, and its
-   suffixes are grouped by their 200-byte buckets, the pair of 100-byte identifiers 100 apart.
+3. Where an anchor's bucket holds different blocks, one copy of each is opened into cells of up to
+   32 runs, cut at fixed offsets from the anchor. All runs of a cell share a core of 169 bytes. A
+   core that no other cell has settles its runs, and so do equal cells.
+4. Where a core is shared by different cells, one copy of each is opened into its suffixes, which
+   are grouped by their 200-byte buckets, the pair of 100-byte identifiers 100 apart.
 
 Only a text's own bytes are looked at in a task; matches never cross documents.
 """
@@ -32,13 +35,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusflow.llm import bloom
-from corpusflow.llm.runtime import slices
+from corpusflow.llm.runtime import is_small, slices
 from corpusflow.llm.wordhash import mix, seeded
 from corpusflow.sources.scratch import stage
 
 LENGTH = 200
 HALF = 100
 GRAM = 50
+CELL = 32
+CORE = LENGTH - CELL + 1
 BLOCK_BYTES = 1 << 19
 NO_KEY = -(1 << 62)
 
@@ -84,12 +89,12 @@ def sliding_last_minimum(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def anchors(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, ...]:
-    """For each anchor: text number, 50-byte bucket, two block identifiers, first and last start
-    of the runs filed under it, counted from the beginning of the text."""
+    """For each anchor: text number, 50-byte bucket, two block identifiers, its place, and the
+    first and last start of the runs filed under it, counted from the beginning of the text."""
     sizes = np.diff(bounds)
     runs = np.maximum(sizes - LENGTH + 1, 0)
     if not runs.any():
-        return tuple(np.zeros(0, np.int64) for _ in range(6))
+        return tuple(np.zeros(0, np.int64) for _ in range(7))
     gram, half = buckets(data)
     owner = np.repeat(np.arange(len(sizes)), runs)
     start = np.arange(len(owner)) - np.repeat(np.cumsum(runs) - runs, runs) + bounds[owner]
@@ -97,14 +102,18 @@ def anchors(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, ...]:
     new = np.flatnonzero(np.append(True, (place[1:] != place[:-1]) | (owner[1:] != owner[:-1])))
     first, last = start[new], start[np.append(new[1:], len(start)) - 1]
     owner, place = owner[new], place[new]
+    base = bounds[owner]
+    b1, b2 = block_names(half, first, last, place)
+    return owner, gram[place], b1, b2, place - base, first - base, last - base
+
+
+def block_names(half: np.ndarray, first: np.ndarray, last: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Identifiers of consecutive runs: the buckets of the first and the last, and where they lie."""
 
     def name(p: np.ndarray, extra: np.ndarray, seed: int) -> np.ndarray:
-        return mix(half[p] * seeded(seed) + half[p + HALF] * seeded(seed + 1) + extra.astype(np.uint64))
+        return mix(half[p] * seeded(seed) + half[p + HALF] * seeded(seed + 1) + extra.astype(np.uint64)).view(np.int64)
 
-    return (
-        owner, gram[place].view(np.int64), name(first, place - first, 820).view(np.int64),
-        name(last, last - first, 822).view(np.int64), first - bounds[owner], last - bounds[owner],
-    )
+    return name(first, place - first, 820), name(last, last - first, 822)
 
 
 def text_blocks(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -115,42 +124,115 @@ def text_blocks(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.nda
         yield a, b, data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
 
 
-ANCHOR = "d bigint, t bigint, g bigint, b1 bigint, b2 bigint, s int, e int"
+UNIT = "d bigint, t bigint, g bigint, b1 bigint, b2 bigint, x int, s int, e int, w int"
+NAMES = ["d", "t", "g", "b1", "b2", "x", "s", "e", "w"]
+
+
+def batch_of(d: np.ndarray, t: np.ndarray, names: list[np.ndarray], places: list[np.ndarray]) -> pa.RecordBatch:
+    columns = [d, t, *names, *(x.astype(np.int32) for x in places)]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], NAMES)
+
+
+def anchor_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The 50-byte buckets of all anchors, with how many anchors each batch has of them."""
+    for batch in batches:
+        found = [anchors(data, bounds)[1] for _, _, data, bounds in text_blocks(batch.column(0))]
+        grams, number = np.unique(np.concatenate(found) if found else np.zeros(0, np.uint64), return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(grams.view(np.int64)), pa.array(number)], ["g", "n"])
+
+
+def shared_anchors(bitmap: np.ndarray):
+    """The blocks of the anchors whose 50-byte bucket may have another member."""
+
+    def file(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            d, t = (batch.column(i).to_numpy() for i in (0, 1))
+            for a, b, data, bounds in text_blocks(batch.column(2)):
+                found = anchors(data, bounds)
+                some = bloom.held_hashes(bitmap, found[1].view(np.uint64))
+                owner, g, b1, b2, x, s, e = (c[some] for c in found)
+                yield batch_of(d[a:b][owner], t[a:b][owner], [g.view(np.int64), b1, b2], [x, s, e, np.ones(len(x))])
+
+    return file
+
+
+def opened_parts(lists: pa.Array, i: int) -> tuple[np.ndarray, ...]:
+    inside = lists[i].values
+    return tuple(inside.field(f).to_numpy().astype(np.int64) for f in ("x", "s", "e", "w"))
+
+
+def spread(first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """first, first + 1, … for each size, one after another."""
+    return np.arange(sizes.sum()) + np.repeat(first - (np.cumsum(sizes) - sizes), sizes)
 
 
-def file_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def open_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Cells of the opened blocks, grouped by their cores."""
     for batch in batches:
         d, t = (batch.column(i).to_numpy() for i in (0, 1))
         for a, b, data, bounds in text_blocks(batch.column(2)):
-            owner, *rest = anchors(data, bounds)
-            columns = [d[a:b][owner], t[a:b][owner], *rest[:3], *(x.astype(np.int32) for x in rest[3:])]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["d", "t", "g", "b1", "b2", "s", "e"])
+            _, half = buckets(data)
+            for i in range(a, b):
+                x, s, e, w = opened_parts(batch.column(3), i)
+                low = (x - e) // CELL
+                number = (x - s) // CELL - low + 1
+                cell = spread(low, number)
+                x, s, e, w = (np.repeat(c, number) for c in (x, s, e, w))
+                first, last = np.maximum(s, x - cell * CELL - CELL + 1), np.minimum(e, x - cell * CELL)
+                base = bounds[i - a]
+                core = base + x - cell * CELL
+                g = mix(half[core] * seeded(830) + half[core + CORE - HALF] * seeded(831) + cell.astype(np.uint64))
+                b1, b2 = block_names(half, base + first, base + last, base + x)
+                yield batch_of(np.full(len(x), d[i]), np.full(len(x), t[i]), [g.view(np.int64), b1, b2], [x, first, last, w])
 
 
 RUN = "d bigint, t bigint, p int, w int, k1 bigint, k2 bigint"
 
 
-def open_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All runs of the opened blocks (s, e, n), with their 200-byte buckets."""
+def open_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All runs of the opened cells, with their 200-byte buckets."""
     for batch in batches:
         d, t = (batch.column(i).to_numpy() for i in (0, 1))
-        lists = batch.column(3)
         for a, b, data, bounds in text_blocks(batch.column(2)):
             _, half = buckets(data)
-            out = []
             for i in range(a, b):
-                inside = lists[i].values
-                s, e, n = (inside.field(f).to_numpy() for f in ("s", "e", "n"))
-                runs = e - s + 1
-                at = np.arange(runs.sum()) + np.repeat(s - (np.cumsum(runs) - runs), runs)
+                _, s, e, w = opened_parts(batch.column(3), i)
+                at = spread(s, e - s + 1)
                 here = bounds[i - a] + at
-                weight = np.repeat(np.minimum(n, 2), runs)
-                out.append((
-                    np.full(len(at), d[i]), np.full(len(at), t[i]), at.astype(np.int32), weight.astype(np.int32),
-                    half[here].view(np.int64), half[here + HALF].view(np.int64),
-                ))
-            columns = [pa.array(np.concatenate(c)) for c in zip(*out)]
-            yield pa.RecordBatch.from_arrays(columns, ["d", "t", "p", "w", "k1", "k2"])
+                columns = [
+                    np.full(len(at), d[i]), np.full(len(at), t[i]), at.astype(np.int32),
+                    np.repeat(w, e - s + 1).astype(np.int32), half[here].view(np.int64), half[here + HALF].view(np.int64),
+                ]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["d", "t", "p", "w", "k1", "k2"])
+
+
+def settle(units: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Spans (d, t, s, e) of units that have an equal, and what has to be opened, by text.
+
+    A unit of weight 2 stands for two or more; only units of weight 1 give spans. Of a group that
+    holds a unit without an equal and others, one of each kind is opened.
+    """
+    kinds = units.groupBy("g", "b1", "b2").agg(F.sum("w").alias("n"), F.min(F.struct("d", "t", "x", "s", "e")).alias("one"))
+    kinds = stage(kinds, "kinds")
+    again = kinds.filter("n > 1").select("g", "b1", "b2")
+    whole = units.filter("w = 1").join(again, ["g", "b1", "b2"], "left_semi")
+    mixed = kinds.groupBy("g").agg(F.count("*").alias("kinds"), F.min("n").alias("least"))
+    mixed = stage(mixed.filter("kinds > 1 and least = 1").select("g"), "mixed")
+    weight = F.least(F.col("n"), F.lit(2)).cast("int").alias("w")
+    opened = kinds.join(mixed, "g", "left_semi").groupBy("one.d", "one.t").agg(
+        F.collect_list(F.struct("one.x", "one.s", "one.e", weight)).alias("parts")
+    )
+    return whole.select("d", "t", "s", (F.col("e") + LENGTH).alias("e")), stage(opened, "opened")
+
+
+def with_parts(source: DataFrame, opened: DataFrame) -> DataFrame:
+    """(d, t, x, parts): the texts that hold something to open. A small table of parts goes to the
+    texts; otherwise texts are shuffled, most of those without parts left out."""
+    texts = source.select(F.col("_d").alias("d"), F.col("_t").alias("t"), F.col("_x").alias("x"))
+    if is_small(opened):
+        return texts.join(F.broadcast(opened), ["d", "t"]).select("d", "t", "x", "parts")
+    texts = texts.filter(bloom.may_hold(bloom.build(opened, "t"), F.col("t")))
+    return texts.join(opened, ["d", "t"]).select("d", "t", "x", "parts")
 
 
 def _keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -162,38 +244,41 @@ def _keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(d, t, s, e): bytes s to e - 1 of the text with key d (null: NO_KEY) and hash t are covered
-    by runs of 200 bytes that also begin elsewhere, in the same text or another. Spans of a text
-    may overlap or repeat. Rows alike in key and text share their spans.
+    """(d, t, spans): bytes s to e - 1 of the text with key d (null: NO_KEY) and hash t are covered
+    by runs of 200 bytes that also begin elsewhere, in the same text or another. Rows alike in key
+    and text share their spans, which are maximal. What is gathered for a text is its own.
     """
     source = _keyed(docs, key, text)
-    filed = stage(
-        source.filter(F.octet_length("_x") >= LENGTH).select("_d", "_t", "_x").mapInArrow(file_anchors, ANCHOR), "anchors"
-    )
-    shared = stage(filed.groupBy("g").agg(F.count("*").alias("n")).filter("n > 1").select("g"), "shared-grams")
-    # What passes by chance is alone in its bucket and is settled with its block.
-    some = filed.filter(bloom.may_hold(bloom.build(shared, "g"), F.col("g")))
-    blocks = stage(
-        some.groupBy("g", "b1", "b2").agg(F.count("*").alias("n"), F.min(F.struct("d", "t", "s", "e")).alias("one")),
-        "blocks",
-    )
-    again = blocks.filter("n > 1").select("g", "b1", "b2")
-    whole = some.join(again, ["g", "b1", "b2"], "left_semi").select("d", "t", "s", (F.col("e") + LENGTH).alias("e"))
-    mixed = blocks.groupBy("g").agg(F.count("*").alias("blocks"), F.min("n").alias("least"))
-    mixed = stage(mixed.filter("blocks > 1 and least = 1").select("g"), "mixed-grams")
-    opened = stage(
-        blocks.join(mixed, "g", "left_semi")
-        .groupBy("one.d", "one.t")
-        .agg(F.collect_list(F.struct("one.s", "one.e", "n")).alias("parts")),
-        "opened-blocks",
-    )
-    texts = source.filter(bloom.may_hold(bloom.build(opened, "t"), F.col("_t"))).select(
-        F.col("_d").alias("d"), F.col("_t").alias("t"), F.col("_x").alias("x")
-    )
-    runs = stage(texts.join(opened, ["d", "t"]).select("d", "t", "x", "parts").mapInArrow(open_blocks, RUN), "runs")
+    long = source.filter(F.octet_length("_x") >= LENGTH)
+    grams = long.select("_x").mapInArrow(anchor_grams, "g bigint, n bigint")
+    shared = stage(grams.groupBy("g").agg(F.sum("n").alias("n")).filter("n > 1").select("g"), "shared-grams")
+    # What passes the filter by chance is alone in its bucket: it has no equal and is not opened.
+    bitmap = bloom.from_hashes(shared, "g")
+    blocks = stage(long.select("_d", "_t", "_x").mapInArrow(shared_anchors(bitmap), UNIT), "blocks")
+    whole, opened = settle(blocks)
+    cells = stage(with_parts(source, opened).mapInArrow(open_blocks, UNIT), "cells")
+    more, opened = settle(cells)
+    runs = stage(with_parts(source, opened).mapInArrow(open_cells, RUN), "runs")
     twice = runs.groupBy("k1", "k2").agg(F.sum("w").alias("n")).filter("n > 1").select("k1", "k2")
     partly = runs.filter("w = 1").join(stage(twice, "repeated-runs"), ["k1", "k2"])
-    return whole.unionByName(partly.select("d", "t", F.col("p").alias("s"), (F.col("p") + LENGTH).alias("e")))
+    partly = partly.select("d", "t", F.col("p").alias("s"), (F.col("p") + LENGTH).alias("e"))
+    every = whole.unionByName(more).unionByName(partly).groupBy("d", "t").agg(F.collect_set(F.struct("s", "e")).alias("all"))
+    return every.select("d", "t", F.arrow_udf(merged, "array<struct<s:int,e:int>>")("all").alias("spans"))
+
+
+def merged(lists: pa.Array) -> pa.Array:
+    """Spans joined where they overlap or touch, in order."""
+    starts, ends, sizes = [], [], [0]
+    for spans in lists:
+        s, e = (spans.values.field(f).to_numpy() for f in ("s", "e"))
+        order = np.argsort(s, kind="stable")
+        s, e = s[order], np.maximum.accumulate(e[order])
+        new = np.flatnonzero(np.append(True, s[1:] > e[:-1]))
+        starts.append(s[new])
+        ends.append(e[np.append(new[1:], len(s)) - 1])
+        sizes.append(len(new))
+    parts = [pa.array(np.concatenate(c) if c else np.zeros(0, np.int32), pa.int32()) for c in (starts, ends)]
+    return pa.ListArray.from_arrays(pa.array(np.cumsum(sizes), pa.int32()), pa.StructArray.from_arrays(parts, ["s", "e"]))
 
 
 NEW = ("kept", "kept_text", "n_removed", "n_spans")
@@ -240,23 +325,24 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
     Every byte covered by a run of 200 bytes that also begins elsewhere is removed, from all its
     places; runs are judged on the input. Null and empty texts keep nothing. Columns that have the
-    names of the new ones are replaced. Texts that hold no repeat (or only seem to, by a Bloom
-    filter of fixed size) stay where they are; only the others are shuffled to their spans.
+    names of the new ones are replaced. A small table of spans goes to the texts. Otherwise texts
+    that hold no repeat, by a Bloom filter of fixed size, stay where they are, and the others are
+    shuffled to their spans.
     """
     columns = [c for c in docs.columns if c not in NEW]
     spans = stage(repeated_spans(docs, key, text), "spans")
     source = _keyed(docs.select(*columns), key, text)
-    marked = bloom.may_hold(bloom.build(spans.select("t").distinct(), "t"), F.col("_t"))
-    source = source.withColumn("_m", marked)
-    none = F.lit(None).cast("array<struct<s:int,e:int>>").alias("_spans")
-    lists = spans.groupBy(F.col("d").alias("_d"), F.col("t").alias("_t")).agg(
-        F.collect_set(F.struct("s", "e")).alias("_spans")
-    )
-    clean = source.filter(~F.col("_m")).select(*columns, "_x", none)
-    other = source.filter("_m").join(lists, ["_d", "_t"], "left").select(*columns, "_x", "_spans")
+    lists = spans.select(F.col("d").alias("_d"), F.col("t").alias("_t"), F.col("spans").alias("_spans"))
+    if is_small(spans):
+        found = source.join(F.broadcast(lists), ["_d", "_t"], "left").select(*columns, "_x", "_spans")
+    else:
+        source = source.withColumn("_m", bloom.may_hold(bloom.build(spans, "t"), F.col("_t")))
+        none = F.lit(None).cast("array<struct<s:int,e:int>>").alias("_spans")
+        found = source.filter(~F.col("_m")).select(*columns, "_x", none)
+        found = found.unionByName(source.filter("_m").join(lists, ["_d", "_t"], "left").select(*columns, "_x", "_spans"))
     schema = docs.select(*columns).schema
     for name, kind in zip(NEW, (T.BinaryType(), T.StringType(), T.LongType(), T.LongType())):
         schema = schema.add(name, kind)
-    return clean.unionByName(other).mapInArrow(cutter(columns), schema)
+    return found.mapInArrow(cutter(columns), schema)
 
 

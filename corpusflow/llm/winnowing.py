@@ -120,8 +120,7 @@ def of_documents(bitmap: np.ndarray, sizes: list[int]) -> Choice:
     """Winnowed k-grams, and all runs as long as a short item, that the Bloom filter lets pass."""
 
     def passed(hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        known = bloom.held(bitmap, (hashes >> np.uint64(41)).astype(np.int64))
-        known &= bloom.held(bitmap, (hashes & np.uint64(bloom.BITS - 1)).astype(np.int64))
+        known = bloom.held_hashes(bitmap, hashes)
         return hashes[known], first[known]
 
     def choose(words: Words, counts: np.ndarray) -> list[tuple[int, np.ndarray, np.ndarray]]:
@@ -132,13 +131,6 @@ def of_documents(bitmap: np.ndarray, sizes: list[int]) -> Choice:
     return choose
 
 
-def bloom_of(items: DataFrame) -> np.ndarray:
-    """The filter of all fingerprint hashes: at most 131,072 rows reach the driver."""
-    top = F.shiftrightunsigned("h", 41)
-    low = F.col("h").bitwiseAND(bloom.BITS - 1)
-    return bloom.from_places(items.select(F.explode(F.array(top.cast("int"), low.cast("int"))).alias("p")))
-
-
 def common(left: str, right: str) -> Column:
     """Length of the common beginning of two arrays."""
     differs = f"array_position(zip_with({left}, {right}, (x, y) -> coalesce(x = y, false)), false)"
@@ -156,7 +148,7 @@ def hits(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "
     known = fingerprints(named, "t", of_items).select("item_id", F.inline("marks"))
     known = stage(known, "item-fingerprints")
     sizes = sorted(r["g"] for r in known.filter("g < 0").select("g").distinct().collect())
-    choose = of_documents(bloom_of(known), [-g for g in sizes])
+    choose = of_documents(bloom.from_hashes(known, "h"), [-g for g in sizes])
     numbered = docs.withColumn("row", F.monotonically_increasing_id())
     rows = stage(fingerprints(numbered, text, choose), "document-fingerprints")
     met = rows.select("row", F.inline("marks")).alias("d").join(
