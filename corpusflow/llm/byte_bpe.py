@@ -54,7 +54,9 @@ class BytePairTree:
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
-        self.bytes_of = {rank: token for token, rank in ranks.items()}
+        self.bytes_of = np.full(max(ranks.values()) + 1, None, object)
+        for token, rank in ranks.items():
+            self.bytes_of[rank] = token
         self.leaves = Memo(self.merge)
         self.kept_apart = Memo(self.merges_apart)
 
@@ -78,7 +80,7 @@ class BytePairTree:
         i = j = 1
         while True:
             i, j = min(i, len(left)), min(j, len(right))
-            window = self.leaves[self.decode(left[len(left) - i :] + right[:j])]
+            window = self.leaves[b"".join(map(self.bytes_of.__getitem__, left[len(left) - i :] + right[:j]))]
             left_settled = i == len(left) or apart[left[-i - 1], window[0]]
             right_settled = j == len(right) or apart[window[-1], right[j]]
             if left_settled and right_settled:
@@ -107,9 +109,9 @@ class BytePairTree:
                 pairs[k - 1] = ranks.get(parts[k - 1] + parts[k], np.inf)
         return tuple(ranks[p] for p in parts)
 
-    def decode(self, ids) -> bytes:
-        """The concatenation of the tokens' bytes. Raises KeyError for an unknown id."""
-        return b"".join(map(self.bytes_of.__getitem__, ids))
+    def decode(self, ids: np.ndarray) -> bytes:
+        """The concatenation of the tokens' bytes. Raises IndexError for an id beyond the table."""
+        return b"".join(self.bytes_of[ids].tolist())
 
 
 @functools.lru_cache(maxsize=4)
@@ -158,7 +160,7 @@ def decode(df: DataFrame, ranks_path: str, ids: str = "ids", into: str = "bytes"
     def bytes_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tree = tree_of(ranks_path)
         for arrays in batches:
-            values = arrays.flatten().to_pylist()
+            values = arrays.flatten().to_numpy()
             ends = np.cumsum([0 if n is None else n for n in pc.list_value_length(arrays).to_pylist()]).tolist()
             yield pa.array([tree.decode(values[a:b]) for a, b in zip([0, *ends], ends)], pa.binary())
 
