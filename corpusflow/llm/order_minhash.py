@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from corpusflow.llm.wordhash import mix, seeded
 
 KMER = 6
-FUNCTIONS = 32
+FUNCTIONS = 64
 #: Hash values computed at once.
 BLOCK = 1 << 16
 ROWS_PER_BUCKET = 200
