@@ -8,7 +8,9 @@ no shuffle, no window, and a hot source costs no more than its files.
 2. Each line gets a class (blank, comment, declaration start, other) and a nesting change
    over all three bracket kinds.
 3. One pass over the lines finds the declarations: a start at depth 0 up to the first line
-   that ends at depth 0, with the start of the comment block above it.
+   that ends at depth 0, with the start of the comment block above it. In a file whose
+   brackets don't balance, a declaration at the beginning of a line starts anew at depth 0,
+   so one stray bracket costs one declaration and not the rest of the file.
 4. Only the cut-out declarations leave the row, as an exploded array of small structs.
 """
 
@@ -35,12 +37,15 @@ LEXER = (
 )
 
 # Line classes.
-OTHER, BLANK, COMMENT, DECLARATION = 0, 1, 2, 3
+OTHER, BLANK, COMMENT, DECLARATION, RESTART = 0, 1, 2, 3, 4
+# Lines per part of the scan; the list of spans grows once per part.
+SCAN_LINES = 256
 # Stands for the start of a function or of a type that is not a group.
 MARK = "\x01"
 DECLARATION_START = rf"(?md)^{tx.WS_INLINE}*(?:func |type (?!\())"
 
 # Text before the body brace of a function; braces of type literals belong to it.
+# Deeper nesting than this expression covers leaves an uneven head; then brackets are counted.
 _TYPE_BRACES = r"(?<=\b(?:struct|interface)[ \t]{0,8})\{(?:[^{}]++|\{(?:[^{}]++|\{[^{}]*+\})*+\})*+\}"
 FUNC_HEAD = rf"^((?:[^{{}}]++|{_TYPE_BRACES})*+)\{{"
 _TYPE_PARAMS = rf"(?:\[{tx.WS}*{tx.WORD}+[\s,](?:[^\[\]]++|\[[^\[\]]*+\])*+\])?"
@@ -98,13 +103,14 @@ def _nesting_change(bones: Column) -> Column:
     return F.when(bones == "", F.lit(0)).otherwise(without_closers - without_openers)
 
 
-def _line_class(shown: Column, bones: Column) -> Column:
+def _line_class(shown: Column, bones: Column, restarts: Column) -> Column:
     """Class of a line from its text without indent and its part of the skeleton."""
     # A mark behind a blanked comment does not count: the line itself has to start so.
     starts = F.startswith(shown, F.lit("func ")) | F.startswith(shown, F.lit("type "))
     return (
         F.when(shown == "", F.lit(BLANK))
         .when(F.startswith(shown, F.lit("//")), F.lit(COMMENT))
+        .when(F.startswith(bones, F.lit(MARK)) & starts & restarts, F.lit(RESTART))
         .when(F.startswith(bones, F.lit(MARK)) & starts, F.lit(DECLARATION))
         .otherwise(F.lit(OTHER))
     )
@@ -119,10 +125,10 @@ def _step(state: Column, line: Column) -> Column:
     """
     here, kind = line["at"], line["kind"]
     adjacent = state["seen"] + 1 == here
-    opens = (state["start"] < 0) & (state["depth"] == 0) & (kind == DECLARATION)
+    opens = (kind == RESTART) | ((state["start"] < 0) & (state["depth"] == 0) & (kind == DECLARATION))
     start = F.when(opens, here).otherwise(state["start"])
     doc = F.when(opens, F.when(adjacent, state["top"]).otherwise(F.lit(-1))).otherwise(state["doc"])
-    depth = F.greatest(state["depth"] + line["change"], F.lit(0))
+    depth = F.greatest(F.when(opens, F.lit(0)).otherwise(state["depth"]) + line["change"], F.lit(0))
     closes = (depth == 0) & (start >= 0)
     span = F.struct(start.alias("start"), here.alias("stop"), doc.alias("doc"))
     top = (
@@ -143,23 +149,55 @@ def _step(state: Column, line: Column) -> Column:
     )
 
 
-def declaration_spans(lines: Column, masked: Column) -> Column:
-    """Array of (start, stop, doc) line spans of the top-level declarations.
+def bound(value: Column, use) -> Column:
+    """use(value), with the value computed once however often it is used. A column of an inner
+    select can be inlined by the optimizer, also into a lambda that runs per line."""
+    return F.transform(F.array(value), use)[0]
+
+
+def is_uneven(bones: Column) -> Column:
+    """Whether a skeleton has more brackets of one direction."""
+    return F.length(F.translate(bones, f"{{([{MARK}", "")) != F.length(F.translate(bones, f"}})]{MARK}", ""))
+
 
-    Plain code lines that change no nesting are left out before the scan; in most files
-    these are the majority.
+def listed_lines(lines: Column, masked: Column) -> Column:
+    """The lines the scan looks at: (kind, change, at).
+
+    Plain code lines that change no nesting are left out; in most files these are the majority.
     """
+    return bound(
+        skeleton(masked), lambda bones: bound(is_uneven(bones), lambda uneven: _listed(lines, bones, uneven))
+    )
+
+
+def _listed(lines: Column, bones: Column, uneven: Column) -> Column:
+    shown = F.transform(
+        lines,
+        lambda line: F.struct(
+            tx.lstrip(line).alias("shown"),
+            (F.startswith(line, F.lit("func ")) | F.startswith(line, F.lit("type "))).alias("flush"),
+        ),
+    )
     classified = F.zip_with(
-        F.transform(lines, tx.lstrip),
-        F.split(skeleton(masked), "\n", -1),
-        lambda shown, bones: F.struct(
-            _line_class(shown, bones).alias("kind"), _nesting_change(bones).alias("change")
+        shown,
+        F.split(bones, "\n", -1),
+        lambda line, part: F.struct(
+            _line_class(line["shown"], part, line["flush"] & uneven).alias("kind"),
+            _nesting_change(part).alias("change"),
         ),
     )
     placed = F.transform(
         classified, lambda line, at: F.struct(line["kind"].alias("kind"), line["change"].alias("change"), at.alias("at"))
     )
-    listed = F.filter(placed, lambda line: (line["kind"] != OTHER) | (line["change"] != 0))
+    return F.filter(placed, lambda line: (line["kind"] != OTHER) | (line["change"] != 0))
+
+
+def declaration_spans(listed: Column) -> Column:
+    """Array of (start, stop, doc) line spans of the top-level declarations.
+
+    The scan runs over parts of bounded length, so a span is copied once per part behind it
+    and not once per declaration.
+    """
     none = F.lit(-1)
     no_spans = F.filter(
         F.array(F.struct(none.alias("start"), none.alias("stop"), none.alias("doc"))),
@@ -169,7 +207,51 @@ def declaration_spans(lines: Column, masked: Column) -> Column:
         none.alias("seen"), F.lit(0).alias("depth"), none.alias("start"), none.alias("doc"),
         none.alias("top"), F.lit(False).alias("after"), no_spans.alias("spans"),
     )
-    return F.aggregate(listed, begin, _step, lambda s: s["spans"])
+    fields = ("seen", "depth", "start", "doc", "top", "after")
+
+    def parts(every: Column) -> Column:
+        last = F.greatest(F.lit(0), F.floor((F.size(every) - 1) / SCAN_LINES).cast("int"))
+        return F.transform(F.sequence(F.lit(0), last), lambda i: F.slice(every, i * SCAN_LINES + 1, SCAN_LINES))
+
+    def scan(state: Column, part: Column) -> Column:
+        return F.aggregate(
+            part,
+            F.struct(*[state[f].alias(f) for f in fields], no_spans.alias("spans")),
+            _step,
+            lambda s: F.struct(
+                *[s[f].alias(f) for f in fields], F.concat(state["spans"], s["spans"]).alias("spans")
+            ),
+        )
+
+    return F.aggregate(bound(listed, parts), begin, scan, lambda s: s["spans"])
+
+
+def _even(head: Column) -> Column:
+    """Whether all brackets of a head are closed and no type literal is left open."""
+    openers = F.length(F.translate(head, ")}]", ""))
+    return (openers == F.length(F.translate(head, "({[", ""))) & ~F.rlike(head, F.lit(r"\b(?:struct|interface)\s*$"))
+
+
+def _head_by_depth(code: Column) -> Column:
+    """Text before the first brace outside brackets that opens no type literal."""
+    pieces = F.regexp_extract_all(code, F.lit(r"[^(){}\[\]]*+[(){}\[\]]"), F.lit(0))
+
+    def step(state: Column, piece: Column) -> Column:
+        end = state["end"] + F.length(piece)
+        bracket = F.substring(piece, -1, 1)
+        found = (
+            (state["found"] < 0) & (state["depth"] == 0) & (bracket == "{")
+            & ~F.rlike(piece, F.lit(r"\b(?:struct|interface)\s*\{$"))
+        )
+        change = F.when(bracket.isin("(", "{", "["), 1).otherwise(-1)
+        return F.struct(
+            (state["depth"] + change).alias("depth"), end.alias("end"),
+            F.when(found, end - 1).otherwise(state["found"]).alias("found"),
+        )
+
+    start = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("end"), F.lit(-1).alias("found"))
+    at = F.aggregate(pieces, start, step, lambda s: F.greatest(s["found"], F.lit(0)))
+    return F.substring(code, F.lit(1), at)
 
 
 def _cut(lines: Column, start: Column, stop: Column) -> Column:
@@ -202,15 +284,16 @@ def select_paths(files: DataFrame, config: CorpusConfig) -> DataFrame:
 
 
 def select_contents(files: DataFrame, config: CorpusConfig) -> DataFrame:
-    """Drop blank files and, if configured, files with a generator marker."""
-    keep = ~tx.is_blank(F.col("content"))
-    if config.skip_generated:
-        keep = keep & ~filters.is_generated(F.col("content"))
-    return files.filter(keep)
+    """Drop files with a generator marker, if configured. Contents are decoded once."""
+    if not config.skip_generated:
+        return files
+    return keep_where(files, ~filters.is_generated(F.col("content")), *files.columns)
 
 
 def select_files(files: DataFrame, config: CorpusConfig) -> DataFrame:
-    return select_contents(select_paths(files, config), config)
+    """The files that units come from, without blank ones, which give none."""
+    chosen = select_contents(select_paths(files, config), config)
+    return keep_where(chosen, ~tx.is_blank(F.col("content")), *files.columns)
 
 
 def extract_units(files: DataFrame) -> DataFrame:
@@ -225,10 +308,11 @@ def extract_units(files: DataFrame) -> DataFrame:
             F.split("content", "\n", -1).alias("lines"),
             mask(F.col("content")).alias("masked"),
         )
+        .select("*", listed_lines(F.col("lines"), F.col("masked")).alias("listed"))
         .select(
             "source", "path", "module_path", "package_name", "lines",
-            F.split("masked", "\n", -1).alias("masked"),
-            declaration_spans(F.col("lines"), F.col("masked")).alias("spans"),
+            F.split("masked", "\n", -1).alias("masked_lines"),
+            declaration_spans(F.col("listed")).alias("spans"),
         )
     )
     cut = F.transform(
@@ -236,7 +320,7 @@ def extract_units(files: DataFrame) -> DataFrame:
         lambda s: F.struct(
             (s["start"] + 1).alias("line_number"),
             _cut(F.col("lines"), s["start"], s["stop"]).alias("raw"),
-            _cut(F.col("masked"), s["start"], s["stop"]).alias("code"),
+            _cut(F.col("masked_lines"), s["start"], s["stop"]).alias("code"),
             _doc_text(F.col("lines"), s["doc"], s["start"]).alias("doc_comment"),
         ),
     )
@@ -251,13 +335,17 @@ def _finish(pieces: DataFrame) -> DataFrame:
     raw, code = F.col("raw"), F.col("code")
     first_line = F.substring_index(raw, "\n", 1)
     is_func = F.startswith(tx.lstrip(code), F.lit("func "))
-    headed = pieces.select(
+    tried = pieces.select(
         "*",
         is_func.alias("is_func"),
         F.when(is_func, F.regexp_extract(code, FUNC_HEAD, 1))
         .otherwise(F.regexp_extract(code, TYPE_HEAD, 1))
-        .alias("head"),
-        F.when(~is_func, F.regexp_extract(code, TYPE_HEAD, 2)).alias("keyword"),
+        .alias("tried"),
+    )
+    headed = tried.select(
+        "*",
+        F.when(F.col("is_func") & ~_even(F.col("tried")), _head_by_depth(code)).otherwise(F.col("tried")).alias("head"),
+        F.when(~F.col("is_func"), F.regexp_extract(code, TYPE_HEAD, 2)).alias("keyword"),
         tx.position_of_last(code, "}").alias("last"),
     )
     brace = F.length("head") + 1

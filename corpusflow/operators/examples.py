@@ -1,7 +1,8 @@
 """Chat examples from code units and sections.
 
-Generators are column builders, so one scan of the units makes all candidates of a row as
-an array and explodes it; nothing is read or extracted twice.
+Generators are column builders: when they apply, the question, the answer. One scan of the
+units explodes the names of those that apply; texts are made above that, so a count makes
+none of them and a filter on the type makes only its own.
 """
 
 from __future__ import annotations
@@ -24,8 +25,6 @@ from corpusflow.functions import text as tx
 from corpusflow.functions.hashing import keep_share, pick
 from corpusflow.operators.filters import size_between
 
-_QUESTION = "struct<example_type:string,question:string,answer:string>"
-
 
 def fill(template: str, **values: Column) -> Column:
     """Replace the {names} of a fixed template by columns, as one concat."""
@@ -55,15 +54,7 @@ def unit_id() -> Column:
     return F.concat_ws("|", "project_name", "file_path", F.col("line_number").cast("string"))
 
 
-def _candidate(example_type: str, question: Column, answer: Column) -> Column:
-    return F.struct(
-        F.lit(example_type).alias("example_type"),
-        question.alias("question"),
-        answer.alias("answer"),
-    )
-
-
-def explanation(w: Wording) -> Column:
+def explanation(w: Wording) -> tuple[Column, Column, Column]:
     """Documented function or method: its code with doc, answered by doc, place, signature."""
     entity = F.when(
         F.col("kind") == "method", fill(w.method, name=F.col("name"), receiver=F.col("receiver_type"))
@@ -76,22 +67,16 @@ def explanation(w: Wording) -> Column:
         fill(w.located, file=F.col("file_path"), package=F.col("package_name")),
         fill(w.signature, signature=F.col("signature")),
     )
-    made = _candidate("code_explanation", paragraphs(question, fenced(F.col("code"), w.fence)), answer)
-    return F.when(F.col("kind").isin("func", "method") & (F.col("doc_comment") != ""), made)
+    applies = F.col("kind").isin("func", "method") & (F.col("doc_comment") != "")
+    return applies, paragraphs(question, fenced(F.col("code"), w.fence)), answer
 
 
-def completion(w: Wording) -> Column:
+def completion(w: Wording) -> tuple[Column, Column, Column]:
     """Function or method with a real body: doc and signature, answered by the body."""
     doc = F.when(F.col("doc_comment") != "", tx.comment_lines(F.col("doc_comment")))
     opening = F.concat_ws("\n", doc, F.concat(F.col("signature"), F.lit(" {")))
-    made = _candidate(
-        "code_completion",
-        paragraphs(F.lit(w.complete), fenced(opening, w.fence)),
-        fenced(F.col("body"), w.fence),
-    )
-    return F.when(
-        F.col("kind").isin("func", "method") & (F.length("body") >= MIN_BODY_CHARS), made
-    )
+    applies = F.col("kind").isin("func", "method") & (F.length("body") >= MIN_BODY_CHARS)
+    return applies, paragraphs(F.lit(w.complete), fenced(opening, w.fence)), fenced(F.col("body"), w.fence)
 
 
 def member_count(body: Column) -> Column:
@@ -100,7 +85,7 @@ def member_count(body: Column) -> Column:
     return F.size(F.filter(shown, lambda s: (s != "") & ~F.startswith(s, F.lit("//"))))
 
 
-def type_documentation(w: Wording) -> Column:
+def type_documentation(w: Wording) -> tuple[Column, Column, Column]:
     """Documented type: its code with doc, answered by doc, place and member count."""
     count = member_count(F.col("body"))
     label = F.when(F.col("kind") == "type_struct", F.lit(w.fields_label)).otherwise(
@@ -115,8 +100,8 @@ def type_documentation(w: Wording) -> Column:
         fill(w.located, file=F.col("file_path"), package=F.col("package_name")),
         F.when(count > 0, fill(w.members, count=count.cast("string"), label=label)),
     )
-    made = _candidate("type_documentation", paragraphs(question, fenced(F.col("code"), w.fence)), answer)
-    return F.when(F.startswith("kind", F.lit("type_")) & (F.col("doc_comment") != ""), made)
+    applies = F.startswith("kind", F.lit("type_")) & (F.col("doc_comment") != "")
+    return applies, paragraphs(question, fenced(F.col("code"), w.fence)), answer
 
 
 def unit_examples(units: DataFrame, config: CorpusConfig) -> DataFrame:
@@ -129,23 +114,27 @@ def unit_examples(units: DataFrame, config: CorpusConfig) -> DataFrame:
             return keep_share(uid, seed, example_type, weight)
         return F.lit(weight > 0)
 
-    candidates = F.array(
-        F.when(kept("code_explanation", False), explanation(w)).cast(_QUESTION),
-        F.when(kept("code_completion", True), completion(w)).cast(_QUESTION),
-        F.when(kept("type_documentation", True), type_documentation(w)).cast(_QUESTION),
+    makers = {
+        "code_explanation": (kept("code_explanation", False), explanation(w)),
+        "code_completion": (kept("code_completion", True), completion(w)),
+        "type_documentation": (kept("type_documentation", True), type_documentation(w)),
+    }
+    named = F.array(
+        *[F.when(keep & applies, F.lit(name)) for name, (keep, (applies, _, _)) in makers.items()]
     )
     sized = units.filter(
         size_between(F.col("code"), config.min_code_chars, config.max_code_chars)
     )
-    made = sized.select(uid.alias("uid"), candidates.alias("candidates"))
-    rows = made.select(
-        "uid", F.explode(F.filter("candidates", lambda one: one.isNotNull())).alias("c")
-    )
+    rows = sized.select("*", F.explode(F.array_compact(named)).alias("example_type"))
+    question = answer = F.lit(None)
+    for name, (_, (_, asked, told)) in makers.items():
+        question = F.when(F.col("example_type") == name, asked).otherwise(question)
+        answer = F.when(F.col("example_type") == name, told).otherwise(answer)
     return rows.select(
-        F.concat_ws("|", F.lit("code"), "uid", "c.example_type").alias("example_id"),
+        F.concat_ws("|", F.lit("code"), uid, "example_type").alias("example_id"),
         F.lit("code").alias("origin"),
-        F.col("c.example_type").alias("example_type"),
-        chat.triple(config.system_prompt, F.col("c.question"), F.col("c.answer")).alias("conversations"),
+        "example_type",
+        chat.triple(config.system_prompt, question, answer).alias("conversations"),
     )
 
 

@@ -11,7 +11,8 @@ def keep_where(df: DataFrame, condition: Column, *columns: Column | str) -> Data
 
     Same rows as filter + select. A filter, though, is pushed down by the optimizer, which
     then evaluates the columns it tests a second time; for parsing and rendering expressions
-    that doubles the work. Exploding a null array drops the row in place.
+    that doubles the work. Exploding a null array drops the row in place. The array holds a
+    marker only, so columns that nothing reads are still pruned.
     """
-    kept = F.when(condition, F.array(F.struct(*columns)))
-    return df.select(F.explode(kept).alias("row")).select("row.*")
+    kept = F.when(condition, F.array(F.lit(True)))
+    return df.select("*", F.explode(kept).alias("__kept")).select(*columns)

@@ -253,3 +253,34 @@ def test_extraction_needs_no_shuffle(spark):
     )
     plan = cu.extract_units(files)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan
+
+
+def test_any_nesting_of_type_literals(spark):
+    deep = "struct{ a int }"
+    for _ in range(7):
+        deep = f"struct {{ a {deep} }}"
+    text = f"package d\n\nfunc f(a {deep}) {{\n\treturn 1\n}}\n\nfunc g() {deep} {{\n\tx(1)\n}}\n\nfunc h() int {{ return 2 }}\n"
+    got = {u.name: (u.signature, u.body) for u in units_of(spark, text)}
+    assert got == {"f": (f"func f(a {deep})", "return 1"), "g": (f"func g() {deep}", "x(1)"), "h": ("func h() int", "return 2")}
+
+
+def test_one_stray_bracket_costs_one_declaration(spark):
+    text = "package d\n\nvar x = (1\n\nfunc A() {\n\ta()\n}\n\nfunc B() {\n\tb([)\n}\n\n// C is.\nfunc C() {\n\tc()\n}\n"
+    got = {u.name: u for u in units_of(spark, text)}
+    assert {"A", "C"} <= set(got) and got["C"].doc_comment == "C is." and got["A"].body == "a()"
+
+
+def test_scan_is_linear_in_declarations(spark):
+    """Twice the declarations take about twice the time, and all are found."""
+    import time
+
+    def seconds(n):
+        text = "package d\n" + "".join(f"// D{i} is.\nfunc D{i}() {{\n\tcall({i})\n}}\n\n" for i in range(n))
+        files = spark.createDataFrame([("p", "f.go", text, "m")], "source string, path string, content string, module_path string")
+        start = time.perf_counter()
+        assert cu.extract_units(files).count() == n
+        return time.perf_counter() - start
+
+    seconds(500)
+    small, large = min(seconds(8_000) for _ in range(2)), seconds(32_000)
+    assert large < 4 * 2.5 * small
