@@ -57,12 +57,17 @@ def is_generated(content: Column) -> Column:
     return F.rlike(head, F.lit("|".join(GENERATED_PHRASES)))
 
 
-def field_equals(df: DataFrame, field: str | None, value: str | None) -> DataFrame:
-    """Optional row filter; a missing field never equals a set value."""
+def field_equals(df: DataFrame, field: str | None, value: object) -> DataFrame:
+    """Optional row filter; a missing field never equals a set value. The value takes the
+    field's type; one that has no form in that type equals nothing."""
     if not field:
         return df
     actual = F.col(field) if field in df.columns else F.lit(None).cast("string")
-    return df.filter(actual.isNull() if value is None else actual == F.lit(value))
+    if value is None:
+        return df.filter(actual.isNull())
+    kind = df.schema[field].dataType.simpleString() if field in df.columns else "string"
+    text = str(value).lower() if isinstance(value, bool) else str(value)
+    return df.filter(actual == F.lit(text).try_cast(kind))
 
 
 def size_between(code: Column, low: int, high: int) -> Column:

@@ -100,7 +100,9 @@ def example_id(origin: str, key: Column) -> Column:
     return F.concat_ws("|", F.lit(origin), key.cast("string")).alias("example_id")
 
 
-def _as_examples(df: DataFrame, origin: str, key: Column, example_type: str) -> DataFrame:
+def _as_examples(
+    df: DataFrame, origin: str, key: Column, example_type: str, *more: Column
+) -> DataFrame:
     return keep_where(
         df,
         F.col("conversations").isNotNull(),
@@ -108,6 +110,7 @@ def _as_examples(df: DataFrame, origin: str, key: Column, example_type: str) ->
         F.lit(origin).alias("origin"),
         F.lit(example_type).alias("example_type"),
         "conversations",
+        *more,
     )
 
 
@@ -117,4 +120,9 @@ def normalize(df: DataFrame, style: str, config: CorpusConfig, origin: str, key:
 
 
 def normalize_jsonl(df: DataFrame, config: CorpusConfig, origin: str, key: Column) -> DataFrame:
-    return _as_examples(with_jsonl_chats(df, config), origin, key, "jsonl")
+    """Chat and code rows to examples. Where the line itself is known (`raw`), a chat keeps it."""
+    if "raw" not in df.columns:
+        return _as_examples(with_jsonl_chats(df, config), origin, key, "jsonl")
+    marked = df.withColumn("__chat", F.col("conversations").isNotNull())
+    own = F.when(F.col("__chat"), F.col("raw")).alias("raw")
+    return _as_examples(with_jsonl_chats(marked, config), origin, key, "jsonl", own)

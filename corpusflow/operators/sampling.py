@@ -2,13 +2,14 @@
 
 Nothing here sorts or ranks whole groups. A histogram over the top 16 bits of the hash
 (at most 65,536 rows per group, combined before the shuffle) finds the bucket that holds
-the k-th smallest hash; only that bucket is ranked, on (hash, key) alone.
-Keys must be unique: ties on (hash, key) would be kept or dropped together.
+the k-th smallest hash; only the distinct keys of that bucket are ranked, each with the
+number of its rows. Rows with one key are interchangeable. If the cut falls among them, they
+alone are numbered, so counts are exact whether or not keys are unique.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -40,40 +41,57 @@ def _edges(narrow: DataFrame, k: Column, by: tuple[str, ...]) -> DataFrame:
 
 
 def _cut(inside: DataFrame, by: tuple[str, ...]) -> DataFrame:
-    """Per group: the last (hash, key) to keep, from the rows of the edge bucket."""
-    ranked = W.partitionBy(*by) if by else W.partitionBy(F.lit(0))
+    """Per group: the key at the cut, how many of its rows to take, and how many it has."""
+    keys = inside.groupBy(*by, "h", "k", "take").agg(F.count("*").alias("rows"))
+    ranked = (W.partitionBy(*by) if by else W.partitionBy(F.lit(0))).orderBy("h", "k")
+    seen = F.sum("rows").over(ranked.rowsBetween(W.unboundedPreceding, W.currentRow))
     return (
-        inside.withColumn("r", F.row_number().over(ranked.orderBy("h", "k")))
-        .filter(F.col("r") == F.col("take"))
-        .select(*by, F.struct("h", "k").alias("cut"))
+        keys.withColumn("seen", seen)
+        .filter((F.col("seen") >= F.col("take")) & (F.col("seen") - F.col("rows") < F.col("take")))
+        .select(
+            *by, F.struct("h", "k").alias("cut"), (F.col("take") - F.col("seen") + F.col("rows")).alias("some"), "rows"
+        )
     )
 
 
-def _global_cut(df: DataFrame, key: str, k: Column, seed: int, tag: str) -> Column:
-    """Struct (hash, key) of the k-th row in hash order as a scalar; null if all rows fit."""
-    narrow = _hashed(df, key, seed, tag, ())
-    edge = _edges(narrow, k, ())
-    found = edge.select(F.struct("b", "take")).scalar()
-    inside = narrow.filter(F.col("b") == found["b"]).withColumn("take", found["take"])
-    return _cut(inside, ()).select("cut").scalar()
+def _global_cut(narrow: DataFrame, k: Column) -> Row | None:
+    """(cut, some, rows) of the k-th row in hash order; None if all rows fit."""
+    edge = _edges(narrow, k, ()).first()
+    if edge is None:
+        return None
+    inside = narrow.filter(F.col("b") == edge["b"]).withColumn("take", F.lit(edge["take"]))
+    return _cut(inside, ()).first()
 
 
 def _place(key: Column, seed: int, tag: str) -> Column:
     return F.struct(stable_hash(key, seed, tag).alias("h"), key.cast("string").alias("k"))
 
 
-def is_capped_in(key: Column, among: DataFrame, limit: int, seed: int) -> Column:
-    """Whether a key is one of the `limit` keys that a cap on `among` (one column) keeps.
+def _marked(df: DataFrame, key: Column, cut: Row | None, seed: int, tag: str, into: str) -> DataFrame:
+    """Add whether a row is one of those up to the cut."""
+    if cut is None:
+        return df.withColumn(into, F.lit(True))
+    place = _place(key, seed, tag)
+    last = F.struct(F.lit(cut["cut"]["h"]).alias("h"), F.lit(cut["cut"]["k"]).alias("k"))
+    if cut["some"] == cut["rows"]:
+        return df.withColumn(into, F.coalesce(place <= last, F.lit(False)))
+    number = F.row_number().over(W.partitionBy(F.lit(0)).orderBy(F.lit(0)))
+    tied = df.filter(place == last).withColumn(into, number <= cut["some"])
+    return df.filter(~F.coalesce(place == last, F.lit(False))).withColumn(into, F.coalesce(place < last, F.lit(False))).unionByName(tied)
+
+
+def cap_by(df: DataFrame, key: Column, among: DataFrame, limit: int, seed: int) -> DataFrame:
+    """The rows that a cap of `limit` on the keys `among` (one column) keeps.
 
     For rows that are costly to make: stage their keys, cap those, and make only the kept rows.
     """
-    cut = _global_cut(among, among.columns[0], F.lit(limit), seed, "cap")
-    return F.coalesce(_place(key, seed, "cap") <= cut, F.lit(True))
+    cut = _global_cut(_hashed(among, among.columns[0], seed, "cap", ()), F.lit(limit))
+    return _marked(df, key, cut, seed, "cap", "__in").filter("__in").drop("__in")
 
 
 def cap(df: DataFrame, key: str, limit: int, seed: int) -> DataFrame:
     """At most `limit` rows, chosen by hash; 0 means no cap."""
-    return df.filter(is_capped_in(F.col(key), df.select(key), limit, seed)) if limit else df
+    return cap_by(df, F.col(key), df.select(key), limit, seed) if limit else df
 
 
 def cap_per_group(df: DataFrame, by: str, key: str, limit: int, seed: int) -> DataFrame:
@@ -89,8 +107,14 @@ def cap_per_group(df: DataFrame, by: str, key: str, limit: int, seed: int) -> Da
     edges = stage(_edges(narrow, F.lit(limit), (by,)), "edges")
     cuts = stage(_cut(narrow.join(edges, [by, "b"]), (by,)), "cuts")
     joined = df.join(cuts, by, "left")
-    keep = F.col("cut").isNull() | (_place(F.col(key), seed, "cap") <= F.col("cut"))
-    return joined.filter(keep).drop("cut")
+    place, split = _place(F.col(key), seed, "cap"), F.col("some") < F.col("rows")
+    at_cut = F.coalesce((place == F.col("cut")) & split, F.lit(False))
+    kept = joined.filter((F.col("cut").isNull() | (place <= F.col("cut"))) & ~at_cut)
+    if not cuts.filter("some < rows").isEmpty():
+        number = F.row_number().over(W.partitionBy(by).orderBy(F.lit(0)))
+        tied = joined.filter(at_cut).withColumn("__n", number).filter(F.col("__n") <= F.col("some"))
+        kept = kept.unionByName(tied.drop("__n"))
+    return kept.drop("cut", "some", "rows")
 
 
 def first_rows(df: DataFrame, limit: int, *order: str) -> DataFrame:
@@ -101,10 +125,9 @@ def first_rows(df: DataFrame, limit: int, *order: str) -> DataFrame:
 def holdout(df: DataFrame, key: str, seed: int, share: float = VALIDATION_SHARE) -> DataFrame:
     """Add `split`: exactly max(1, floor(share * n)) rows are 'val', the others 'train'."""
     size = F.greatest(F.lit(1), F.floor(F.col("n") * F.lit(share)))
-    cut = _global_cut(df, key, size, seed, "order")
-    # No cut: all rows fit into the validation set.
-    is_val = F.coalesce(_place(F.col(key), seed, "order") <= cut, F.lit(True))
-    return df.withColumn("split", F.when(is_val, F.lit("val")).otherwise(F.lit("train")))
+    cut = _global_cut(_hashed(df, key, seed, "order", ()), size)
+    marked = _marked(df, F.col(key), cut, seed, "order", "__in")
+    return marked.withColumn("split", F.when(F.col("__in"), F.lit("val")).otherwise(F.lit("train"))).drop("__in")
 
 
 def shuffled(df: DataFrame, key: str, seed: int, *first: str) -> DataFrame:

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusflow import schemas
 from corpusflow.config import DatasetConfig
 from corpusflow.sources.files import path_exists
-from corpusflow.sources.scratch import stage
 
 ROW_KEY = "row_key"
 
@@ -26,40 +25,59 @@ def read_chats(spark: SparkSession, path: str) -> DataFrame:
     return read_jsonl(spark, path, schemas.CHAT)
 
 
-def row_schema(dataset: DatasetConfig) -> T.StructType:
-    """Columns of a dataset: those of its format plus the filter field."""
+def row_schema(spark: SparkSession, dataset: DatasetConfig) -> T.StructType:
+    """Columns of a dataset: those of its format plus the filter field, with the type that
+    Parquet files give it; text formats are read as text."""
     base = schemas.ROW_SCHEMAS.get(dataset.format, schemas.ROW_SCHEMAS["code"])
-    if dataset.filter_field and dataset.filter_field not in base.names:
-        return T.StructType([*base.fields, T.StructField(dataset.filter_field, T.StringType())])
-    return base
+    field = dataset.filter_field
+    if not field or field in base.names:
+        return base
+    kind: T.DataType = T.StringType()
+    if dataset.file_format == "parquet":
+        landed = spark.read.parquet(dataset.path).schema
+        kind = landed[field].dataType if field in landed.names else kind
+    return T.StructType([*base.fields, T.StructField(field, kind)])
+
+
+def canonical(column: Column, kind: T.DataType) -> Column:
+    """A value as text from which it can be told apart from any other: texts with their length,
+    nulls as '-', arrays and structs as their parts in brackets."""
+    if isinstance(kind, T.ArrayType):
+        parts = F.transform(column, lambda x: canonical(x, kind.elementType))
+        text = F.concat(F.lit("["), F.array_join(parts, ""), F.lit("]"))
+    elif isinstance(kind, T.StructType):
+        text = F.concat(F.lit("{"), *[canonical(column[f.name], f.dataType) for f in kind.fields], F.lit("}"))
+    else:
+        value = column.cast("string")
+        text = F.concat(F.length(value).cast("string"), F.lit(":"), value)
+    return F.when(column.isNull(), F.lit("-")).otherwise(text)
+
+
+def content_key(df: DataFrame) -> Column:
+    """md5 of all columns. It depends on nothing but the row: not on files, their splits or
+    their number. Equal rows have equal keys and are interchangeable."""
+    return F.md5(F.concat(*[canonical(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields]))
 
 
 def read_dataset(spark: SparkSession, dataset: DatasetConfig) -> DataFrame:
-    """Rows of a landed dataset with a unique, repeatable `row_key`.
+    """Rows of a landed dataset with a repeatable `row_key`, see `content_key`.
 
-    Columns the files lack read as null; a missing path gives no rows. Parquet rows are
-    keyed by file and row index. Other formats have no row index, so they are written to
-    Parquet once and keyed by part number and row index there; the cap, which reads the
-    rows more than once, then also parses them only once.
+    Columns the files lack read as null; a missing path gives no rows. Lines of a JSON lines
+    dataset also keep their text in `raw`, so that chats can be handed on unchanged.
     """
-    schema = schemas.JSONL_ROW if dataset.type == "jsonl" else row_schema(dataset)
-    if not path_exists(spark, dataset.path):
-        return spark.createDataFrame([], schema).withColumn(ROW_KEY, F.lit(""))
-    file = F.col("_metadata.file_name")
     if dataset.type == "jsonl":
-        table = stage(read_jsonl(spark, dataset.path, schema), "rows")
-    elif dataset.file_format != "parquet":
-        reader = spark.read.format(dataset.file_format).schema(schema)
-        if dataset.file_format == "json":
-            reader = reader.option("mode", "FAILFAST")
-        table = stage(reader.load(dataset.path), "rows")
-    else:
-        table = spark.read.schema(schema).parquet(dataset.path)
-        return table.withColumn(
-            ROW_KEY,
-            F.concat_ws("#", F.col("_metadata.file_path"), F.col("_metadata.row_index").cast("string")),
-        )
-    return table.withColumn(
-        ROW_KEY,
-        F.concat_ws("#", F.regexp_extract(file, r"part-(\d+)", 1), F.col("_metadata.row_index").cast("string")),
-    )
+        if not path_exists(spark, dataset.path):
+            empty = spark.createDataFrame([], schemas.JSONL_ROW)
+            return empty.withColumn("raw", F.lit("")).withColumn(ROW_KEY, F.lit(""))
+        lines = spark.read.text(dataset.path).filter(F.col("value").rlike(r"\S"))
+        parsed = F.from_json("value", schemas.JSONL_ROW, {"mode": "FAILFAST"})
+        table = lines.select(parsed.alias("row"), F.col("value").alias("raw")).select("row.*", "raw")
+        return table.withColumn(ROW_KEY, F.md5("raw"))
+    if not path_exists(spark, dataset.path):
+        base = schemas.ROW_SCHEMAS.get(dataset.format, schemas.ROW_SCHEMAS["code"])
+        return spark.createDataFrame([], base).withColumn(ROW_KEY, F.lit(""))
+    reader = spark.read.format(dataset.file_format).schema(row_schema(spark, dataset))
+    if dataset.file_format == "json":
+        reader = reader.option("mode", "FAILFAST")
+    table = reader.load(dataset.path)
+    return table.withColumn(ROW_KEY, content_key(table))

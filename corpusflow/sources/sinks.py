@@ -10,8 +10,13 @@ from corpusflow.functions import chat
 
 
 def write_split(examples: DataFrame, path: str) -> None:
-    """Training and validation rows below split=train and split=val."""
-    examples.select("split", "conversations").write.partitionBy("split").json(path)
+    """Training and validation rows below split=train and split=val. Rows that came as a line
+    of their own (`raw`) are written as that line, with all its fields."""
+    if "raw" not in examples.columns:
+        examples.select("split", "conversations").write.partitionBy("split").json(path)
+        return
+    line = F.coalesce("raw", F.to_json(F.struct("conversations")))
+    examples.select("split", line.alias("value")).write.partitionBy("split").text(path)
 
 
 def write_units(units: DataFrame, path: str) -> None:

@@ -101,3 +101,16 @@ def test_shuffled_rows_keep_their_order_in_partitioned_files(spark, tmp_path):
             keys += [line.split('"')[3] for line in part.read_text().splitlines()]
         assert len(keys) == size
         assert keys == sorted(keys, key=lambda k: (python_hash(k, "order"), k))
+
+
+def test_repeated_keys_are_counted_one_by_one(spark):
+    from collections import Counter
+
+    df = spark.range(600).select((F.col("id") % 7).cast("string").alias("key"), (F.col("id") % 2).alias("g"))
+    for limit in (1, 100, 250, 599, 600, 700):
+        assert sampling.cap(df, "key", limit, SEED).count() == min(limit, 600)
+        groups = Counter(r.g for r in sampling.cap_per_group(df, "g", "key", limit, SEED).collect())
+        assert groups == {0: min(limit, 300), 1: min(limit, 300)}
+    assert Counter(r.split for r in sampling.holdout(df, "key", SEED).collect()) == {"val": 30, "train": 570}
+    one = df.filter("key = '3'")
+    assert Counter(r.split for r in sampling.holdout(one, "key", SEED).collect())["val"] == one.count() * 5 // 100
