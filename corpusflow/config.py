@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from dataclasses import dataclass, field, fields
 from typing import Any
 
@@ -95,7 +96,7 @@ class DatasetConfig:
     file_format: str = "parquet"
     max_samples: int = 0
     filter_field: str | None = None
-    filter_value: str | None = None
+    filter_value: Any = None
 
 
 @dataclass(frozen=True)
@@ -103,6 +104,8 @@ class CorpusConfig:
     system_prompt: str = DEFAULT_PROMPT
     sources: tuple[SourceConfig, ...] = ()
     datasets: tuple[DatasetConfig, ...] = ()
+    # A Parquet table (source, path, content) with the files of all sources, in place of folders.
+    landed_files: str | None = None
     weights: dict[str, float] = field(default_factory=dict)
     max_code_chars: int = MAX_CODE_CHARS
     min_code_chars: int = MIN_CODE_CHARS
@@ -116,35 +119,53 @@ class CorpusConfig:
     chars_per_token: float = 4.0
     wording: Wording = field(default_factory=Wording)
 
+    def __post_init__(self):
+        for kind, entries in (("source", self.sources), ("dataset", self.datasets)):
+            names = [e.name for e in entries]
+            twice = sorted({n for n in names if names.count(n) > 1})
+            if twice:
+                raise ValueError(f"{kind} names must differ: {', '.join(twice)}")
+
     def weight(self, example_type: str) -> float:
         return float(self.weights.get(example_type, DEFAULT_WEIGHTS[example_type]))
 
     @classmethod
-    def from_dict(cls, raw: dict[str, Any] | None) -> CorpusConfig:
-        """Settings from a nested mapping; unknown keys are ignored, missing ones defaulted."""
+    def from_dict(cls, raw: dict[str, Any] | None, folder: str | None = None) -> CorpusConfig:
+        """Settings from a nested mapping; unknown keys are ignored, missing ones defaulted.
+
+        Relative paths start at `folder`, the folder of the settings file. A dataset without a
+        name is called by its position.
+        """
+
+        def placed(path: str) -> str:
+            if folder is None or "://" in path or path.startswith(("/", "file:", "hdfs:", "dbfs:")):
+                return path
+            return f"{folder.rstrip('/')}/{path.removeprefix('./')}"
+
         raw = raw or {}
         data, training = raw.get("data") or {}, raw.get("training") or {}
         base = (raw.get("repos") or {}).get("dir", "./repos")
         sources = tuple(
             SourceConfig(
                 name=s["name"],
-                path=s.get("path") or f"{base}/{s['name']}",
+                path=placed(s.get("path") or f"{base}/{s['name']}"),
                 type=s.get("type", "go_code"),
                 domain=s.get("domain"),
             )
             for s in raw.get("sources") or []
         )
         names = {f.name for f in fields(DatasetConfig)}
+        # Accepted names of settings.
         listed = raw.get("datasets") or raw.get("golang_datasets") or []
         landing = (raw.get("landing") or {}).get("dir", "./datasets")
         datasets = []
-        for entry in listed:
+        for number, entry in enumerate(listed):
             known = {k: v for k, v in entry.items() if k in names and v is not None}
-            known.setdefault("name", "unknown")
+            known.setdefault("name", f"dataset-{number}")
             # Hub datasets are landed first; a row of theirs then reads like any table.
             if known.get("type") == "huggingface":
                 known["type"] = "table"
-            known.setdefault("path", f"{landing}/{known['name']}")
+            known["path"] = placed(known.get("path") or f"{landing}/{known['name']}")
             datasets.append(DatasetConfig(**known))
         plain = {
             k: data[k]
@@ -171,4 +192,4 @@ class CorpusConfig:
         except ImportError as missing:
             raise RuntimeError("reading YAML settings needs the yaml package") from missing
         with open(path, encoding="utf-8") as f:
-            return cls.from_dict(yaml.safe_load(f))
+            return cls.from_dict(yaml.safe_load(f), os.path.dirname(os.path.abspath(path)))

@@ -9,6 +9,8 @@ from corpusflow.functions import text as tx
 from corpusflow.sources.scratch import stage
 
 MANIFEST = "go.mod"
+#: Up to so many manifests travel as a constant (about 2 MB).
+MOST_MAPPED = 20_000
 MODULE_LINE = rf"(?m)^module{tx.WS}+({tx.NOT_WS}+)"
 
 
@@ -47,29 +49,45 @@ def directory_modules(directories: DataFrame, manifests: DataFrame) -> DataFrame
     nearest = found.groupBy("source", "dir").agg(
         F.max_by(F.struct("above", "module"), F.length("above")).alias("hit")
     )
-    above, module, here = F.col("hit.above"), F.col("hit.module"), F.col("dir")
-    below = F.when(above == "", here).otherwise(F.substring(here, F.length(above) + 2, F.length(here)))
-    return nearest.select(
-        "source",
-        "dir",
-        F.when(above == here, module).otherwise(F.concat_ws("/", module, below)).alias("module_path"),
-    )
+    path = _below(F.col("hit.above"), F.col("dir"), F.col("hit.module"))
+    return nearest.select("source", "dir", path.alias("module_path"))
+
+
+def _below(above: Column, here: Column, module: Column) -> Column:
+    """Module path of a directory from the nearest one with a manifest; null without one."""
+    rest = F.when(above == "", here).otherwise(F.substring(here, F.length(above) + 2, F.length(here)))
+    joined = F.when(above == here, module).otherwise(F.concat_ws("/", module, rest))
+    return F.when(above.isNotNull(), joined)
 
 
 def attach_modules(files: DataFrame, manifests: DataFrame) -> DataFrame:
     """Add module_path to files (source, path, …); without a manifest above, the directory.
 
-    The lookup runs over distinct directories, so file contents never enter it. It is
-    written to the shared folder before the join: Spark then knows its size, broadcasts it
-    below the session's threshold (file contents stay where they are), and above it
-    shuffles both sides, where adaptive execution can split a hot directory.
+    Manifests are few next to directories and files. They are staged and counted; up to
+    `MOST_MAPPED` they become one map per source, which every task gets as a constant, and a
+    file looks its ancestors up inside its row: contents are not shuffled. With more of them
+    the lookup runs over distinct directories as an equi-join, and only its result is joined.
     """
+    named = manifests.groupBy("source", "dir").agg(F.max("module").alias("module"))
+    named = stage(named, "manifests")
     placed = files.withColumn("dir", tx.dirname(F.col("path")))
-    directories = placed.select("source", "dir").distinct()
-    lookup = stage(directory_modules(directories, manifests), "modules")
     own = F.when(F.col("dir") == "", F.lit(".")).otherwise(F.col("dir"))
-    return (
-        placed.join(lookup, ["source", "dir"], "left")
-        .withColumn("module_path", F.coalesce("module_path", own))
-        .drop("dir")
+    if named.count() <= MOST_MAPPED:
+        found = _mapped(placed, named)
+    else:
+        directories = placed.select("source", "dir").distinct()
+        lookup = stage(directory_modules(directories, named), "modules")
+        found = placed.join(lookup, ["source", "dir"], "left")
+    return found.withColumn("module_path", F.coalesce("module_path", own)).drop("dir")
+
+
+def _mapped(placed: DataFrame, manifests: DataFrame) -> DataFrame:
+    per_source = manifests.groupBy("source").agg(
+        F.map_from_entries(F.collect_list(F.struct("dir", "module"))).alias("modules")
     )
+    every = per_source.agg(F.map_from_entries(F.collect_list(F.struct("source", "modules")))).scalar()
+    looked = placed.withColumn("__modules", F.try_element_at(every, F.col("source")))
+    known = F.filter(ancestors(F.col("dir")), lambda a: F.map_contains_key(F.col("__modules"), a))
+    looked = looked.withColumn("__above", F.try_element_at(known, F.lit(-1)))
+    module = F.try_element_at(F.col("__modules"), F.col("__above"))
+    return looked.withColumn("module_path", _below(F.col("__above"), F.col("dir"), module)).drop("__modules", "__above")

@@ -23,8 +23,8 @@ from corpusflow.operators import (
     sections,
     stats,
 )
-from corpusflow.sources import files, rows, sinks
-from corpusflow.sources.scratch import stage
+from corpusflow.sources import catalog, files, rows, sinks
+from corpusflow.sources.scratch import scratch_scope, stage
 
 log = logging.getLogger(__name__)
 
@@ -41,11 +41,30 @@ def units_from_files(code_files: DataFrame, manifests: DataFrame, config: Corpus
     return code_units.extract_units(code_units.select_contents(placed, config))
 
 
+def landed_sources(spark: SparkSession, config: CorpusConfig) -> tuple[DataFrame, DataFrame]:
+    """Units and sections from one table of files: one plan, whatever the number of sources."""
+    listed = catalog.source_table(spark, config.sources)
+    landed = spark.read.parquet(config.landed_files).select("source", "path", "content")
+    for row in catalog.unknown_sources(landed.select("source"), listed).take(20):
+        log.warning("source %s: %s files, not in the settings, skipped", row["source"], row["rows"])
+    for source in config.sources:
+        if source.type not in ("go_code", "spec"):
+            log.warning("source %s: unknown type %s, skipped", source.name, source.type)
+    placed = catalog.attach_source(landed, listed)
+    code = placed.filter("type = 'go_code'").select("source", "path", "content")
+    manifests = modules.read_manifests(code)
+    spec = placed.filter((F.col("type") == "spec") & filters.is_markdown_path(F.col("path")))
+    documents = spec.select("source", "path", "content", "domain")
+    return units_from_files(code, manifests, config), sections.extract_sections(documents)
+
+
 def read_sources(spark: SparkSession, config: CorpusConfig) -> tuple[DataFrame, DataFrame]:
     """Units and sections of all configured sources.
 
     A missing path or an unknown type is reported and skipped.
     """
+    if config.landed_files:
+        return landed_sources(spark, config)
     code, manifests, documents = [], [], []
     for source in config.sources:
         if not files.path_exists(spark, source.path):
@@ -107,10 +126,8 @@ def dataset_examples(
         return made_from(table)
     # Only ids are staged for the cap, and only kept rows are converted in the end.
     ids = stage(made_from(table).select("example_id"), "ids")
-    kept = sampling.is_capped_in(
-        normalize.example_id(dataset.name, key), ids, dataset.max_samples, config.seed
-    )
-    return made_from(table.filter(kept))
+    name = normalize.example_id(dataset.name, key)
+    return made_from(sampling.cap_by(table, name, ids, dataset.max_samples, config.seed))
 
 
 def build_examples(
@@ -122,32 +139,39 @@ def build_examples(
     if config.weight("spec_explanation") > 0:
         parts.append(examples.section_examples(found_sections, config))
     made = [dataset_examples(spark, d, config) for d in config.datasets]
-    return reduce(DataFrame.unionByName, [*parts, *[m for m in made if m is not None]])
+    every = [*parts, *[m for m in made if m is not None]]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), every)
 
 
-def run_corpus(spark: SparkSession, config: CorpusConfig, out: str) -> dict[str, dict[str, int]]:
+def run_corpus(
+    spark: SparkSession, config: CorpusConfig, out: str, ordered: bool = True
+) -> dict[str, dict[str, int]]:
     """Extract, generate, split and write train/val examples and units.
 
     Returns the rows written per part and the examples per origin with their total.
 
     Units and examples are staged once: the split needs two narrow passes over the example
-    ids, and a lost executor then costs a re-read, not a re-extraction.
+    ids, and a lost executor then costs a re-read, not a re-extraction. Staged folders are
+    removed in the end. `ordered=False` leaves the seeded order of the files out, and with it
+    the sort of the whole corpus.
     """
-    units, found = read_sources(spark, config)
-    units = stage(units, "units")
-    staged = stage(build_examples(units, found, config), "examples")
-    split = sampling.holdout(staged, "example_id", config.seed)
-    written = Observation("written")
-    observed = sampling.shuffled(split, "example_id", config.seed, "split").observe(
-        written,
-        F.count_if(F.col("split") == "train").alias("train"),
-        F.count_if(F.col("split") == "val").alias("val"),
-    )
-    sinks.write_split(observed, f"{out}/examples")
-    counted = Observation("units")
-    sinks.write_units(units.observe(counted, F.count("*").alias("units")), f"{out}/units")
-    # One row per configured origin.
-    origins = stats.totals(staged, "origin", "examples").collect()
+    with scratch_scope(spark):
+        units, found = read_sources(spark, config)
+        units = stage(units, "units")
+        staged = stage(build_examples(units, found, config), "examples")
+        split = sampling.holdout(staged, "example_id", config.seed)
+        placed = sampling.shuffled(split, "example_id", config.seed, "split") if ordered else split
+        written = Observation("written")
+        observed = placed.observe(
+            written,
+            F.count_if(F.col("split") == "train").alias("train"),
+            F.count_if(F.col("split") == "val").alias("val"),
+        )
+        sinks.write_split(observed, f"{out}/examples")
+        counted = Observation("units")
+        sinks.write_units(units.observe(counted, F.count("*").alias("units")), f"{out}/units")
+        # One row per configured origin.
+        origins = stats.totals(staged, "origin", "examples").collect()
     return {
         "written": {**written.get, **counted.get},
         "examples": {row["origin"]: row["examples"] for row in origins},

@@ -145,6 +145,23 @@ def pairs(origin: str) -> str:
       AND trim(u.text, {SPACE}) <> '' AND trim(a.text, {SPACE}) <> ''"""
 
 
+def landed_pairs() -> str:
+    """Ids of the landed turn pairs, from all fields of their rows; some rows come twice."""
+    fields = []
+    for side in ("u.text", "a.text"):
+        for i in range(3):
+            value = f"CASE WHEN u.conv_id % 3 = {i} THEN ' ' || {side} || {NL} WHEN u.conv_id % 3 > {i} THEN early END"
+            fields.append(f"CASE WHEN ({value}) IS NULL THEN '-' ELSE length({value}) || ':' || ({value}) END")
+    early = "CASE WHEN conv_id % 7 = 3 THEN ' ' || chr(9) WHEN conv_id % 2 = 0 THEN '' END"
+    return f"""
+    SELECT 'landed|' || md5({' || '.join(fields)}) AS example_id
+    FROM (SELECT *, {early} AS early FROM conversations) u JOIN conversations a
+      ON a.conv_id = u.conv_id AND a.turn = u.turn + 1 AND a.role = 'assistant',
+      range(2) AS copies(copy)
+    WHERE u.role = 'user' AND NOT (u.conv_id % 3 > 0 AND u.conv_id % 7 = 3) AND (copy = 0 OR u.turn % 10 = 1)
+      AND trim(u.text, {SPACE}) <> '' AND trim(a.text, {SPACE}) <> ''"""
+
+
 CODE_ROWS = rf"""
 code_rows AS (
   SELECT p_partkey AS k,
@@ -186,6 +203,14 @@ ROW_SQL = {
         SELECT 'landed', 3, {PROMPT}, answer
         FROM ({code_pairs("k % 4 <> 3", "(CASE WHEN k % 3 < 2 THEN doc ELSE '' END)")})""",
     "table_dataset": f"SELECT question, answer FROM ({pairs('qa')}) WHERE turn % 10 = 2",
+    "dataset_cap": f"""
+        SELECT example_id, count(*) AS rows
+        FROM (SELECT example_id, row_number() OVER (ORDER BY {hashed('cap', 'example_id')}, example_id) AS r
+              FROM ({landed_pairs()}))
+        WHERE r <= {q.CAP_DATASET} GROUP BY example_id""",
+    "dataset_split": f"""
+        SELECT example_id, split, count(*) AS rows
+        FROM ({split_of('example_id', '(' + landed_pairs() + ')', 'example_id')}) GROUP BY example_id, split""",
     "field_filter": """
         SELECT doc_id, lang FROM documents LEFT JOIN labels USING (doc_id) WHERE lang = 'en' AND quality = 1""",
 }
@@ -394,7 +419,7 @@ PATH_SQL = {
     "source_attributes": """
         SELECT doc_id, source, 'spec' AS type,
                CASE WHEN substr(source, 4)::int % 2 = 1 THEN 'Handbook ' || source ELSE source END AS domain
-        FROM documents WHERE substr(source, 4)::int < 18""",
+        FROM documents WHERE substr(source, 4)::int < 20""",
     "path_filters": f"""
         WITH place AS (
           SELECT page_id, {chosen(FOLDERS, 'page_id')} AS folder, {chosen(NAMES, f'page_id // {len(FOLDERS)}')} AS name FROM pages),
@@ -454,6 +479,7 @@ CORPUS_SQL = {
         FROM everything GROUP BY ROLLUP (origin)""",
     "corpus_build": f"""
         WITH {ALL} SELECT example_id, origin, example_type, split, text FROM ({split_of('example_id', 'everything')})""",
+    "corpus_job": f"WITH {ALL} SELECT text FROM everything WHERE origin <> 'chats'",
     "corpus_stats": f"""
         WITH {UNITS}, {SECTIONS}
         SELECT 'units' AS what, count(DISTINCT project_name) AS sources, count(*) AS found FROM units

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,14 +49,15 @@ CONFIG = CorpusConfig(
     },
     sources=tuple(
         SourceConfig(name=f"src{i}", path="", type="spec", domain=f"Handbook src{i}" if i % 2 else None)
-        for i in range(18)
+        for i in range(20)
     ),
 )
 KEEP_WEIGHT = 0.3
 CAP_PER_SOURCE = 20
 CAP_TOTAL = 300
+CAP_DATASET = 120
 PREFIX_ROWS = 150
-CHUNK = 500
+CHUNK = 100_000
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -229,6 +232,30 @@ def table_dataset(spark, sf_dir):
     return _question_answer(corpus.dataset_examples(spark, dataset, CONFIG)).drop("example_id")
 
 
+def _landed_pairs(spark: SparkSession, sf_dir: str, cap: int = 0) -> DataFrame:
+    """Turn pairs landed as JSON lines, some of them twice, read as a dataset."""
+    path = scratch_dir(spark, "pairs")
+    made = rendered.pair_rows(spark, sf_dir, "qa")
+    copies = F.explode(F.when(F.col("row_key").endswith("1"), F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))
+    made.select("*", copies.alias("copy")).drop("row_key", "copy").write.option("maxRecordsPerFile", 1000).json(path)
+    dataset = DatasetConfig(name="landed", path=path, type="table", format="qa", file_format="json", max_samples=cap)
+    return corpus.dataset_examples(spark, dataset, CONFIG)
+
+
+@query
+def dataset_cap(spark, sf_dir):
+    """A dataset cap by row content, counting repeated rows one by one."""
+    return _landed_pairs(spark, sf_dir, CAP_DATASET).groupBy("example_id").agg(F.count("*").alias("rows"))
+
+
+@query
+def dataset_split(spark, sf_dir):
+    """The holdout split of a landed dataset with repeated rows."""
+    staged = stage(_landed_pairs(spark, sf_dir).select("example_id"), "examples")
+    split = sampling.holdout(staged, "example_id", CONFIG.seed)
+    return split.groupBy("example_id", "split").agg(F.count("*").alias("rows"))
+
+
 @query
 def field_filter(spark, sf_dir):
     """Documents whose label says quality 1; unlabelled documents never match."""
@@ -401,7 +428,18 @@ def _all_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def origin_totals(spark, sf_dir):
-    return stats.totals(_all_examples(spark, sf_dir), "origin", "examples")
+    """Counts only: units without texts that no filter or id needs, chats as turn rows."""
+    units = _units(spark, sf_dir)
+    needed = [*packages.PACKAGE, "file_path", "line_number", "kind", "name", "exported", "doc_comment"]
+    # Two branches read the units. Of their long texts only lengths decide.
+    narrow = stage(units.select(*needed, F.length("code").alias("code_chars"), F.length("body").alias("body_chars")), "units")
+    sized = narrow.withColumns({"code": F.repeat(F.lit(" "), F.col("code_chars")), "body": F.repeat(F.lit(" "), F.col("body_chars"))})
+    made = examples.unit_examples(sized.withColumns({"signature": F.lit(""), "receiver_type": F.lit("")}), CONFIG)
+    parts = [made, packages.package_examples(narrow, CONFIG), examples.section_examples(_sections(spark, sf_dir), CONFIG)]
+    parts.append(_chat_turns(spark, sf_dir).filter("turn = 0").withColumn("origin", F.lit("chats")))
+    pairs = rendered.pair_rows(spark, sf_dir, "qa")
+    parts.append(normalize.normalize(pairs, "qa", CONFIG, "qa", F.col("row_key")))
+    return stats.totals(reduce(DataFrame.unionByName, [p.select("origin") for p in parts]), "origin", "examples")
 
 
 @query
@@ -412,6 +450,25 @@ def corpus_build(spark, sf_dir):
     return chat_views.render_text(split).select("example_id", "origin", "example_type", "split", "text")
 
 
+@query
+def corpus_job(spark, sf_dir):
+    """The whole job over a landed table of files and a landed dataset; its files read back."""
+    root = scratch_dir(spark, "job")
+    code = rendered.source_tree(spark, sf_dir).select("source", "path", "content")
+    manifest = rendered.manifests(spark, sf_dir).select("source", "path", "content")
+    text = rendered.markdown(spark, sf_dir).select("source", "path", "content")
+    code.unionByName(manifest).unionByName(text).write.parquet(f"{root}/files")
+    rendered.pair_rows(spark, sf_dir, "qa").drop("row_key").write.json(f"{root}/pairs")
+    names = rendered.table(spark, sf_dir, "part").select("p_type").distinct().collect()
+    listed = tuple(SourceConfig(name=r["p_type"], path="") for r in names)
+    specs = tuple(SourceConfig(f"src{i}", "", "spec", f"Handbook src{i}") for i in range(20))
+    pairs = DatasetConfig("qa", f"{root}/pairs", "table", "qa", "json")
+    config = replace(CONFIG, sources=listed + specs, datasets=(pairs,), landed_files=f"{root}/files")
+    corpus.run_corpus(spark, config, f"{root}/out", ordered=False)
+    corpus.run_training_views(spark, f"{root}/out", f"{root}/views")
+    return spark.read.schema("text string").json(f"{root}/views/text").select("text")
+
+
 @query
 def corpus_stats(spark, sf_dir):
     units = stats.code_stats(_units(spark, sf_dir)).select("source", F.col("units").alias("found"))

@@ -22,6 +22,12 @@ def source_table(spark: SparkSession, sources: Iterable[SourceConfig]) -> DataFr
     return spark.range(1).select(F.inline(F.array(*entries)))
 
 
+def unknown_sources(rows: DataFrame, catalog: DataFrame, column: str = "source") -> DataFrame:
+    """Rows per source that the catalog doesn't list, those `attach_source` leaves out."""
+    named = F.broadcast(catalog.select(F.col("source").alias(column)))
+    return rows.join(named, column, "left_anti").groupBy(column).agg(F.count("*").alias("rows"))
+
+
 def attach_source(rows: DataFrame, catalog: DataFrame, column: str = "source") -> DataFrame:
     """Add type and domain of the source; rows of unknown sources drop out.
 

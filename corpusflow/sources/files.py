@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+import fnmatch
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusflow.functions import text as tx
 from corpusflow.operators.filters import is_markdown_path
 from corpusflow.operators.modules import MANIFEST, read_manifests
+from corpusflow.sources.scratch import scratch_dir
 
 FILE_SCHEMA = "source string, path string, content string"
+MAX_FILE_BYTES = 2_000_000_000
+#: Put before hidden names in scratch copies.
+HIDDEN = "corpusflow-hidden-"
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -24,16 +30,73 @@ def qualified(spark: SparkSession, path: str) -> str:
     return system.makeQualified(hadoop_path).toString().rstrip("/")
 
 
+def hidden_entries(spark: SparkSession, root: str) -> tuple[list[str], list[str]]:
+    """Folders and files below a folder whose own names start with '_' or '.'.
+
+    Spark's listing skips both. They are looked for level by level with globs.
+    """
+    base = spark._jvm.org.apache.hadoop.fs.Path(root)
+    system = base.getFileSystem(spark._jsc.hadoopConfiguration())
+    level, folders, plain = base.toString().rstrip("/"), [], []
+    escaped = "".join(f"\\{c}" if c in "\\*?[]{}" else c for c in level)
+    while True:
+        found = system.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{escaped}/*"))
+        if not found:
+            return folders, plain
+        for status in system.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{escaped}/[_.]*")) or []:
+            (folders if status.isDirectory() else plain).append(status.getPath().toString())
+        escaped += "/*"
+
+
+def oversized_files(spark: SparkSession, root: str) -> DataFrame:
+    """Paths and lengths of the files that a scan skips because one row can't hold them."""
+    folders, _ = hidden_entries(spark, root)
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    return reader.load([root, *folders]).select("path", "length").filter(F.col("length") > MAX_FILE_BYTES)
+
+
+def _visible_copies(spark: SparkSession, plain: list[str], root: str, glob: str | None) -> list[str]:
+    """Copies of hidden files in a scratch folder under the same relative path, every name made
+    visible. Only files whose name fits the glob are copied."""
+    names = [p for p in plain if fnmatch.fnmatchcase(p.rsplit("/", 1)[1], glob or "*")]
+    if not names:
+        return []
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    base = scratch_dir(spark, "hidden")
+    start = len(_single_slash(qualified(spark, root))) + 1
+    for name in names:
+        source = jvm.org.apache.hadoop.fs.Path(name)
+        shown = "/".join(HIDDEN + part for part in _single_slash(name)[start:].split("/"))
+        target = jvm.org.apache.hadoop.fs.Path(f"{base}/{shown}")
+        jvm.org.apache.hadoop.fs.FileUtil.copy(
+            source.getFileSystem(conf), source, target.getFileSystem(conf), target, False, conf
+        )
+    return [base]
+
+
 def scan_tree(spark: SparkSession, root: str, source: str, glob: str | None = None) -> DataFrame:
     """All files below a folder, text decoded tolerantly, path relative to the folder.
 
     The name glob is applied while listing. Content is read only if a later step uses it.
+    Folders whose name starts with '_' or '.' are scanned too. Spark's reader refuses files with
+    such names; those that fit the glob are copied under a visible name first. Files longer than
+    a row can be (2 GB) are skipped; `oversized_files` lists them.
     """
+    folders, plain = hidden_entries(spark, root)
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
+    made = _relative(spark, reader.load([root, *folders]), root, source)
+    if copies := _visible_copies(spark, plain, root, glob):
+        reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+        shown = _relative(spark, reader.load(copies), copies[0], source)
+        made = made.unionByName(shown.withColumn("path", F.regexp_replace("path", HIDDEN, "")))
+    return made
+
+
+def _relative(spark: SparkSession, found: DataFrame, root: str, source: str) -> DataFrame:
     base = qualified(spark, root)
-    return reader.load(root).select(
+    return found.filter(F.col("length") <= MAX_FILE_BYTES).select(
         F.lit(source).alias("source"),
         # Spark reports 'file:/x' and Hadoop may say 'file:///x'; both have one '/' + the rest.
         F.substring(

@@ -71,7 +71,8 @@ def test_contents_are_not_read_for_paths(spark, trees):
     root, _ = trees
     plan = files.scan_code(spark, str(root / "my code"), "code").select("path")
     text = plan._jdf.queryExecution().executedPlan().toString()
-    assert "ReadSchema: struct<path:string>" in text
+    # The length is needed to skip files that no row can hold.
+    assert "ReadSchema: struct<path:string,length:bigint>" in text
 
 
 def read_lines(path):
@@ -144,14 +145,25 @@ def test_malformed_lines_fail(spark, tmp_path):
     assert rows.read_chats(spark, str(tmp_path / "none.jsonl")).collect() == []
 
 
-def test_parquet_rows_get_unique_keys(spark, tmp_path):
-    path = str(tmp_path / "p")
-    spark.range(40).select(F.lit("q").alias("question"), F.lit("a").alias("answer")).repartition(3).write.parquet(path)
-    dataset = DatasetConfig("d", path, "table", "qa", max_samples=15)
-    made = corpus.dataset_examples(spark, dataset, CorpusConfig())
-    kept = {r.example_id for r in made.collect()}
-    assert len(kept) == 15 == made.count()
-    assert {r.example_id for r in corpus.dataset_examples(spark, dataset, CorpusConfig()).collect()} == kept
+def test_caps_depend_on_rows_alone(spark, tmp_path):
+    """The same rows stay under any file layout and split size; repeated rows count one by one."""
+    question = F.concat(F.lit("question "), (F.col("id") % 300).cast("string"))
+    rows_in = spark.range(900).select(question.alias("question"), F.lit("a").alias("answer"))
+    kept = []
+    for number, (form, parts, split) in enumerate(
+        [("json", 1, "128m"), ("json", 7, "2k"), ("parquet", 3, "128m"), ("parquet", 1, "4k"), ("json", 2, "16k")]
+    ):
+        path = str(tmp_path / f"landed-{number}")
+        rows_in.repartition(parts).write.option("maxRecordsPerFile", 50 if number % 2 else 0).format(form).save(path)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+        try:
+            dataset = DatasetConfig("d", path, "table", "qa", form, max_samples=100)
+            made = corpus.dataset_examples(spark, dataset, CorpusConfig())
+            kept.append(sorted(r.example_id for r in made.collect()))
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert len(kept[0]) == 100 and all(k == kept[0] for k in kept)
+    assert max(kept[0].count(i) for i in kept[0]) == 3
 
 
 def test_config():
@@ -245,3 +257,84 @@ def test_progress_crosses_chunks(spark):
     for chunk in (1, 7, 1000):
         rows = logs.progress(metrics, "run", "line", chunk).collect()
         assert {(r.run, r.line): r.advance for r in rows} == expected
+
+
+def test_hidden_names_are_scanned(spark, tmp_path):
+    for name in ("_examples/x/a.go", "pkg/_b.go", ".ci/d.go", "pkg/c.go", "_o/.p/_q.go", "pkg/.hidden.txt", "a [b]/_e.go"):
+        write(tmp_path, name, f"package {name}")
+    got = {r.path: r.content for r in files.scan_code(spark, str(tmp_path), "s").collect()}
+    assert set(got) == {"_examples/x/a.go", "pkg/_b.go", ".ci/d.go", "pkg/c.go", "_o/.p/_q.go", "a [b]/_e.go"}
+    assert all(got[p] == f"package {p}" for p in got)
+
+
+def test_oversized_files_are_skipped_and_listed(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(files, "MAX_FILE_BYTES", 10)
+    write(tmp_path, "a.go", "short")
+    write(tmp_path, "_x/b.go", "much longer than that")
+    assert [r.path for r in files.scan_code(spark, str(tmp_path), "s").collect()] == ["a.go"]
+    assert [(r.path.rsplit("/", 1)[1], r.length) for r in files.oversized_files(spark, str(tmp_path)).collect()] == [("b.go", 21)]
+
+
+def test_staged_folders_are_removed(spark, trees):
+    from corpusflow.sources.scratch import CHECKPOINT_SETTING
+
+    root, config = trees
+    base = spark.conf.get(CHECKPOINT_SETTING)
+    before = set(os.listdir(base))
+    corpus.run_corpus(spark, config, str(root / "clean"), ordered=False)
+    assert set(os.listdir(base)) == before
+
+
+def test_landed_table_gives_the_same_corpus(spark, trees):
+    from dataclasses import replace
+
+    root, config = trees
+    scanned = files.scan_tree(spark, str(root / "my code"), "code").unionByName(files.scan_tree(spark, str(root / "docs"), "docs"))
+    other = spark.createDataFrame([("stranger", "x.go", "package x\nfunc X() { return 1 }\n")], files.FILE_SCHEMA)
+    scanned.unionByName(other).write.parquet(str(root / "landed"))
+    result = corpus.run_corpus(spark, config, str(root / "a"))
+    assert corpus.run_corpus(spark, replace(config, landed_files=str(root / "landed")), str(root / "b")) == result
+    for part in ("examples/split=train", "examples/split=val", "units"):
+        a, b = (sorted(map(json.dumps, read_lines(f"{root}/{o}/{part}"))) for o in "ab")
+        assert a == b
+
+
+def test_chats_keep_all_their_fields(spark, tmp_path):
+    line = '{"id": 7, "conversations": [{"from": "human", "value": "q", "weight": 0.5}], "more": {"x": [1]}}'
+    write(tmp_path, "own.jsonl", line + "\n" + json.dumps({"code": "func f() { " + "y" * 40 + " }"}))
+    config = CorpusConfig(datasets=(DatasetConfig("own", str(tmp_path / "own.jsonl")),))
+    corpus.run_corpus(spark, config, str(tmp_path / "out"))
+    written = read_lines(f"{tmp_path}/out/examples/split=train") + read_lines(f"{tmp_path}/out/examples/split=val")
+    assert json.loads(line) in written and len(written) == 2
+
+
+def test_filter_fields_have_their_own_type(spark, tmp_path):
+    path = str(tmp_path / "typed")
+    spark.range(10).select(F.col("id").cast("int").alias("stars"), F.lit("q").alias("question"), F.lit("a").alias("answer")).write.parquet(path)
+    for value, n in ((3, 1), ("3", 1), ("x", 0), (None, 0)):
+        dataset = DatasetConfig("d", path, "table", "qa", filter_field="stars", filter_value=value)
+        assert corpus.dataset_examples(spark, dataset, CorpusConfig()).count() == n
+    missing = DatasetConfig("d", path, "table", "qa", filter_field="none", filter_value=1)
+    assert corpus.dataset_examples(spark, missing, CorpusConfig()).count() == 0
+
+
+def test_settings_find_paths_and_names():
+    raw = {
+        "sources": [{"name": "a"}, {"name": "b", "path": "/abs"}, {"name": "c", "path": "s3a://x/y"}],
+        "datasets": [{"type": "jsonl"}, {"path": "own.jsonl"}, {"name": "n"}],
+    }
+    config = CorpusConfig.from_dict(raw, "/conf")
+    assert [s.path for s in config.sources] == ["/conf/repos/a", "/abs", "s3a://x/y"]
+    assert [(d.name, d.path) for d in config.datasets] == [
+        ("dataset-0", "/conf/datasets/dataset-0"), ("dataset-1", "/conf/own.jsonl"), ("n", "/conf/datasets/n")
+    ]
+    with pytest.raises(ValueError, match="dataset names must differ: n"):
+        CorpusConfig.from_dict({"datasets": [{"name": "n"}, {"name": "n"}]})
+
+
+def test_unknown_sources_are_counted(spark):
+    from corpusflow.sources import catalog
+
+    listed = catalog.source_table(spark, [SourceConfig("a", "")])
+    rows_in = spark.createDataFrame([("a",), ("b",), ("b",)], "source string")
+    assert [tuple(r) for r in catalog.unknown_sources(rows_in, listed).collect()] == [("b", 2)]
