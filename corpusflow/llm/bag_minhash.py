@@ -8,11 +8,14 @@ point. Points depend on the shingle alone, so two documents agree in a component
 probability of their weighted Jaccard similarity. Points are made in order of time, and a process
 ends once it has passed the latest component of its document.
 
-Documents with equal words are one node. Nodes that agree in a band meet in a bucket. In each
-bucket some nodes are centres and are compared with all others that aren't in the same class yet;
-in every round the number of centres grows fourfold, and centres are done afterwards. A bucket is
-finished when all its nodes are of one class, so a group of near copies costs one comparison a
-node, and no link between different classes is left out.
+Documents with equal words are one node. Nodes that agree in a band meet in a bucket. First each
+node is compared with the node of its bucket that meets most others, which links most of a group
+of near copies at once. In buckets that still hold several classes, all pairs of different classes
+are judged by their signatures, in tiles of bounded size; pairs that agree far too little for the
+similarity asked for (by 4.5 standard deviations) are dropped. Nothing is written per pair: a node
+gets one list of partners for each cell, a bounded set of nodes around the same centre. Then cells
+and their visitors meet, and the multisets themselves are compared. No pair of different classes
+is left out.
 """
 
 from __future__ import annotations
@@ -21,21 +24,26 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusflow.llm import bloom
-from corpusflow.llm.components import components, relabelled
+from corpusflow.llm.components import components, relabelled, staged
 from corpusflow.llm.runtime import slices
 from corpusflow.llm.wordhash import Words, mix, ngrams, read_words, seeded
 from corpusflow.sources.scratch import stage
 
 SHINGLE = 5
 SIMILARITY = 0.8
-COMPONENTS = 128
-BAND_ROWS = 4
-BLOCK_BYTES = 1 << 22
+COMPONENTS = 160
+BAND_ROWS = 5
+DEVIATIONS = 4.5
+BLOCK_BYTES = 1 << 19
 GROUP_NODES = 64
+#: Nodes of a tile's side, and of a cell and its visitors, at most (about, for cells).
+TILE_NODES = 1024
+CELL_NODES = 256
+HUB_JUMPS = 3
 
 
 def shingles(words: Words, texts: int, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -91,6 +99,16 @@ def bands(times: np.ndarray, rows: int = BAND_ROWS) -> np.ndarray:
     return mix(total + np.arange(bits.shape[1], dtype=np.uint64) * seeded(9)).view(np.int64)
 
 
+def sketches(times: np.ndarray) -> np.ndarray:
+    """One byte per component: enough to estimate how many components two texts share."""
+    return mix(times.view(np.uint64)).astype(np.uint8)
+
+
+def least_agreement(similarity: float) -> float:
+    """Share of equal components that a pair of this similarity hardly ever falls below."""
+    return similarity - DEVIATIONS * float(np.sqrt(similarity * (1 - similarity) / COMPONENTS))
+
+
 def content_keys(words: Words, texts: list[bytes]) -> np.ndarray:
     """128 bits of each text's words in order, or of its bytes if it has no word: uint64 (2, n)."""
     begin = np.searchsorted(words.owner, np.arange(len(texts)))
@@ -108,7 +126,7 @@ def content_keys(words: Words, texts: list[bytes]) -> np.ndarray:
     return out
 
 
-SIGNED = "k1 bigint, k2 bigint, wordless boolean, bands array<bigint>"
+SIGNED = "id bigint, k1 bigint, k2 bigint, wordless boolean, bands array<bigint>, sketch binary"
 
 
 def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -117,14 +135,16 @@ def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for a, b in slices([len(t) for t in texts], BLOCK_BYTES):
             words = read_words(texts[a:b])
             keys = content_keys(words, texts[a:b]).view(np.int64)
-            found = bands(signatures(*shingles(words, b - a), b - a))
+            times = signatures(*shingles(words, b - a), b - a)
+            found, small = bands(times), sketches(times)
             wordless = np.bincount(words.owner, minlength=b - a) == 0
             lists = pa.ListArray.from_arrays(
                 pa.array(np.arange(b - a + 1) * found.shape[1], pa.int32()), pa.array(found.reshape(-1))
             )
             yield pa.RecordBatch.from_arrays(
-                [ids[a:b], pa.array(keys[0]), pa.array(keys[1]), pa.array(wordless), lists],
-                ["id", "k1", "k2", "wordless", "bands"],
+                [ids[a:b], pa.array(keys[0]), pa.array(keys[1]), pa.array(wordless), lists,
+                 pa.array([row.tobytes() for row in small], pa.binary())],
+                ["id", "k1", "k2", "wordless", "bands", "sketch"],
             )
 
 
@@ -135,31 +155,82 @@ def overlap(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray])
     return least / max(1, int(a[1].sum() + b[1].sum()) - least)
 
 
+def multisets(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+    data = [t.encode("utf-8") for t in texts]
+    out = []
+    for a, b in slices([len(t) for t in data], BLOCK_BYTES):
+        owner, hashes, counts = shingles(read_words(data[a:b]), b - a)
+        for t in range(b - a):
+            mine = slice(*np.searchsorted(owner, [t, t + 1]))
+            order = np.argsort(hashes[mine])
+            out.append((hashes[mine][order], counts[mine][order]))
+    return out
+
+
+LINK = "a bigint, b bigint"
+
+
+def link_table(found: list[tuple[int, int]]) -> pa.Table:
+    a, b = zip(*found) if found else ((), ())
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
 def verifier(similarity: float):
-    """Of one group: its centre's text against the texts of some nodes; yields links (a, b)."""
-
-    def multisets(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
-        data = [t.encode("utf-8") for t in texts]
-        out = []
-        for a, b in slices([len(t) for t in data], BLOCK_BYTES):
-            owner, hashes, counts = shingles(read_words(data[a:b]), b - a)
-            for t in range(b - a):
-                mine = slice(*np.searchsorted(owner, [t, t + 1]))
-                order = np.argsort(hashes[mine])
-                out.append((hashes[mine][order], counts[mine][order]))
-        return out
+    """Of one group: its centre's text against the texts of some nodes; yields links."""
 
     def verify(table: pa.Table) -> pa.Table:
-        centre = table.column("centre").to_pylist()
-        ids, texts = table.column("id").to_pylist(), table.column("t").to_pylist()
-        sets = dict(zip(ids, multisets(texts)))
-        middle = sets.get(centre[0]) if centre else None
-        found = [i for i in sets if i != centre[0] and middle and overlap(middle, sets[i]) >= similarity]
-        return pa.table({"a": pa.array([centre[0]] * len(found), pa.int64()), "b": pa.array(found, pa.int64())})
+        centre = table.column("centre")[0].as_py()
+        ids = table.column("id").to_pylist()
+        sets = dict(zip(ids, multisets(table.column("t").to_pylist())))
+        middle = sets.get(centre)
+        return link_table([(centre, i) for i in sets if i != centre and middle and overlap(middle, sets[i]) >= similarity])
 
     return verify
 
 
+def cell_verifier(similarity: float):
+    """Of one cell and some visitors: each visitor against its partners; yields links."""
+
+    def verify(table: pa.Table) -> pa.Table:
+        ids, lists = table.column("id").to_pylist(), table.column("partners").to_pylist()
+        sets = dict(zip(ids, multisets(table.column("t").to_pylist())))
+        pairs = {(i, j) for i, partners in zip(ids, lists) for j in partners or () if j in sets}
+        return link_table([(i, j) for i, j in pairs if overlap(sets[i], sets[j]) >= similarity])
+
+    return verify
+
+
+def tile_judge(least: float):
+    """Of one tile of a bucket: pairs of different classes whose signatures agree enough, as
+    lists of partners. A pair is judged in the first bucket it shares."""
+
+    def judge(table: pa.Table) -> pa.Table:
+        number = lambda c: table.column(c).to_numpy()
+        ids, label, side, hub, chunk = map(number, ("id", "label", "side", "hub", "chunk"))
+        bucket = table.column("bucket")[0].as_py()
+        sketch = np.stack([np.frombuffer(x, np.uint8) for x in table.column("sketch").to_pylist()])
+        band = np.stack(table.column("bands").combine_chunks().to_numpy(zero_copy_only=False))
+        whole = table.column("i")[0].as_py() == table.column("j")[0].as_py()
+        lists: dict[tuple[int, int, int], list[int]] = {}
+        for p in range(len(ids) - 1):
+            later = np.flatnonzero(label[p + 1 :] != label[p]) + p + 1
+            if not whole:
+                later = later[side[later] != side[p]]
+            later = later[(sketch[later] == sketch[p]).mean(axis=1) >= least]
+            if len(later):
+                shared = band[later] == band[p]
+                later = later[band[p][shared.argmax(axis=1)] == bucket]
+            for q in later.tolist():
+                lists.setdefault((int(ids[p]), int(hub[q]), int(chunk[q])), []).append(int(ids[q]))
+        keys = list(zip(*lists)) or [(), (), ()]
+        return pa.table({
+            "id": pa.array(keys[0], pa.int64()), "hub": pa.array(keys[1], pa.int64()),
+            "chunk": pa.array(keys[2], pa.int32()), "partners": pa.array(list(lists.values()), pa.list_(pa.int64())),
+        })
+
+    return judge
+
+
 def links(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     """Those of the pairs (centre, id) whose texts (id, t) overlap enough, as (a, b).
 
@@ -172,10 +243,51 @@ def links(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     )
     heads = salted.select("centre", "salt", F.col("centre").alias("id")).distinct()
     needed = stage(salted.unionByName(heads), "comparisons")
+    rows = with_texts(needed, texts).select("centre", "salt", "id", "t")
+    return rows.groupBy("centre", "salt").applyInArrow(verifier(similarity), LINK)
+
+
+def with_texts(needed: DataFrame, texts: DataFrame) -> DataFrame:
     bitmap = bloom.build(needed.select("id"), "id")
-    wanted = texts.filter(bloom.may_hold(bitmap, F.col("id")))
-    rows = needed.join(wanted, "id").select("centre", "salt", "id", "t")
-    return rows.groupBy("centre", "salt").applyInArrow(verifier(similarity), "a bigint, b bigint")
+    return needed.join(texts.filter(bloom.may_hold(bitmap, F.col("id"))), "id")
+
+
+def dealt(column: str, size: Column, most: int) -> Column:
+    """Number of the part, of about `most` rows, that a row of a group of `size` rows goes to."""
+    return F.pmod(F.xxhash64(column), F.ceil(size / most)).cast("int")
+
+
+def cell_links(members: DataFrame, hubs: DataFrame, sketched: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """Links (a, b) between nodes of different labels that share a bucket.
+
+    members: (bucket, id, label); hubs: (id, hub), the centre that a node was compared with.
+    """
+    sized = hubs.groupBy("hub").agg(F.count("*").alias("n"))
+    placed = stage(hubs.join(sized, "hub").select("id", "hub", dealt("id", F.col("n"), CELL_NODES).alias("chunk")), "cells")
+    tiles = members.groupBy("bucket").agg(F.ceil(F.count("*") / TILE_NODES).cast("int").alias("k"))
+    part = F.pmod(F.xxhash64("id", F.lit("tile")), F.col("k")).cast("int").alias("part")
+    rows = members.join(stage(tiles, "tiles"), "bucket").select(
+        "bucket", "id", "label", part, F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("other")
+    )
+    rows = rows.join(placed, "id").join(sketched, "id").select(
+        "bucket", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"),
+        (F.col("part") > F.col("other")).alias("side"), "id", "label", "hub", "chunk", "sketch", "bands",
+    )
+    found = rows.groupBy("bucket", "i", "j").applyInArrow(
+        tile_judge(least_agreement(similarity)), "id bigint, hub bigint, chunk int, partners array<bigint>"
+    )
+    visits = stage(found, "visits")
+    crowd = visits.groupBy("hub", "chunk").agg(F.ceil(F.count("*") / CELL_NODES).cast("int").alias("groups"))
+    crowd = stage(crowd, "crowds")
+    salt = F.pmod(F.xxhash64("id", F.lit("visit")), F.col("groups")).cast("int").alias("salt")
+    visitors = visits.join(crowd, ["hub", "chunk"]).select("hub", "chunk", salt, "id", "partners")
+    residents = placed.join(crowd, ["hub", "chunk"]).select(
+        "hub", "chunk", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("salt"), "id",
+        F.lit(None).cast("array<bigint>").alias("partners"),
+    )
+    needed = stage(visitors.unionByName(residents), "comparisons")
+    met = with_texts(needed, texts).select("hub", "chunk", "salt", "id", "partners", "t")
+    return met.groupBy("hub", "chunk", "salt").applyInArrow(cell_verifier(similarity), LINK)
 
 
 def near_duplicates(
@@ -187,22 +299,21 @@ def near_duplicates(
     shingles is at least `similarity`; classes are the connected components. Documents with the
     same words are always of one class; documents without a word are so if their texts are equal.
     A null text is a class of its own. Rows with a null key are left out, and so are rows whose
-    key also names a different text; equal rows give one row. Bands of 4 of 128 components miss a
-    pair at the threshold with probability 5e-8.
+    key also names a different text; equal rows give one row. A pair at the threshold is missed with
+    probability 6e-6: 32 bands of 5 components, and the comparison of 160 components.
     """
     named = docs.select(F.col(key).cast("bigint").alias("id"), F.col(text).alias("t")).filter("id is not null")
     texts = named.filter("t is not null")
-    every = stage(texts.mapInArrow(signed, "id bigint, " + SIGNED), "signatures")
+    every = stage(texts.mapInArrow(signed, SIGNED), "signatures")
     unclear = every.groupBy("id").agg(F.min("k1").alias("x"), F.max("k1").alias("y")).filter("x <> y").select("id")
     clear = every.select("id", "k1", "k2", "wordless").distinct().join(unclear, "id", "left_anti")
     groups = stage(
         clear.groupBy("k1", "k2").agg(F.min("id").alias("node"), F.max("wordless").alias("wordless")), "nodes"
     )
     worded = groups.filter(~F.col("wordless")).select(F.col("node").alias("id"))
-    buckets = every.filter(~F.col("wordless")).join(worded, "id", "left_semi").select(
-        "id", F.explode(F.array_distinct("bands")).alias("bucket")
-    ).distinct()
-    names = classes(stage(buckets, "buckets"), texts, similarity)
+    nodes = every.filter(~F.col("wordless")).join(worded, "id", "left_semi")
+    buckets = nodes.select("id", F.explode(F.array_distinct("bands")).alias("bucket")).distinct()
+    names = classes(stage(buckets, "buckets"), every.select("id", "sketch", "bands"), texts, similarity)
     member = clear.join(groups.select("k1", "k2", "node"), ["k1", "k2"]).select("id", "node", "wordless")
     alone = named.filter("t is null").select("id").distinct().join(every.select("id"), "id", "left_anti")
     found = relabelled(member, "node", names) if names is not None else member
@@ -211,33 +322,32 @@ def near_duplicates(
     )
 
 
-def classes(buckets: DataFrame, texts: DataFrame, similarity: float) -> DataFrame | None:
+def classes(buckets: DataFrame, sketched: DataFrame, texts: DataFrame, similarity: float) -> DataFrame | None:
     """(node, root) of the nodes (id, bucket) that aren't the smallest of their class."""
-    shared = buckets.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
-    members = stage(buckets.join(stage(shared, "shared-buckets"), "bucket").withColumn("label", F.col("id")), "members")
-    names: DataFrame | None = None
-    tried: DataFrame | None = None
-    centres = 1
-    while not members.isEmpty():
-        rank = F.row_number().over(Window.partitionBy("bucket").orderBy("id"))
-        heads = stage(members.withColumn("rank", rank).filter(F.col("rank") <= centres), "centres")
-        met = heads.alias("c").join(members.alias("m"), F.expr("c.bucket = m.bucket and c.label <> m.label"))
-        pairs = met.groupBy(F.least("c.id", "m.id").alias("a"), F.greatest("c.id", "m.id").alias("b")).agg(
-            F.min("c.id").alias("centre")
-        )
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = stage(pairs, "pairs")
-        tried = pairs.select("a", "b") if tried is None else tried.unionByName(pairs.select("a", "b"))
-        other: Column = F.when(F.col("a") == F.col("centre"), F.col("b")).otherwise(F.col("a"))
-        found = links(pairs.select("centre", other.alias("id")), texts, similarity)
-        if names is not None:
-            found = relabelled(relabelled(found, "a", names), "b", names)
-        new = components(found)
-        names = new if names is None else stage(relabelled(names, "root", new).unionByName(new), "names")
-        rest = members.join(heads.select("bucket", "id"), ["bucket", "id"], "left_anti")
-        rest = relabelled(rest, "label", new)
-        mixed = rest.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x < y")
-        members = stage(rest.join(stage(mixed.select("bucket"), "shared-buckets"), "bucket"), "members")
-        centres *= 4
-    return names
+    shared = buckets.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
+    members = stage(buckets.join(stage(shared, "shared-buckets"), "bucket"), "members")
+    scores = stage(members.groupBy("id").agg(F.sum("n").alias("score")), "scores")
+    members, left = staged(members.join(scores, "id").select("bucket", "id", "score"), "members")
+    if not left:
+        return None
+    heads = stage(members.groupBy("bucket").agg(F.max(F.struct("score", "id")).alias("centre")), "centres")
+    met = members.join(heads, "bucket").filter(F.col("id") != F.col("centre.id"))
+    pairs = stage(met.groupBy("id", "centre").agg(F.count("*").alias("buckets")), "pairs")
+    names = components(links(pairs.select("centre.id", "id").toDF("centre", "id"), texts, similarity))
+    rest = relabelled(members.select("bucket", "id", F.col("id").alias("label")), "label", names)
+    mixed = rest.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x < y")
+    rest, left = staged(rest.join(stage(mixed.select("bucket"), "mixed-buckets"), "bucket"), "members")
+    if not left:
+        return names
+    live = stage(rest.select("id").distinct(), "live-nodes")
+    compared = pairs.groupBy("id").agg(F.max("centre").alias("c")).select("id", F.col("c.id").alias("hub"))
+    # A centre was compared with another one, up to the node that meets most: one hub for a group.
+    compared = stage(compared, "compared")
+    above = compared.select(F.col("id").alias("node"), F.col("hub").alias("root"))
+    for _ in range(HUB_JUMPS):
+        compared = relabelled(compared, "hub", above)
+    hubs = live.join(compared, "id", "left").select("id", F.coalesce("hub", "id").alias("hub"))
+    sketched = stage(sketched.join(live, "id", "left_semi").dropDuplicates(["id"]), "sketches")
+    found = cell_links(rest, stage(hubs, "hubs"), sketched, texts, similarity)
+    more = components(relabelled(relabelled(found, "a", names), "b", names))
+    return stage(relabelled(names, "root", more).unionByName(more), "names")

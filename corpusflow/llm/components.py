@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from corpusflow.sources.scratch import stage
@@ -15,6 +15,19 @@ def relabelled(df: DataFrame, column: str, names: DataFrame) -> DataFrame:
     return joined.withColumn(column, F.coalesce("_root", column)).drop("_node", "_root")
 
 
+def staged(df: DataFrame, label: str, condition: Column | None = None) -> tuple[DataFrame, int]:
+    """The table written, and how many of its rows (that meet the condition) there are."""
+    seen = Observation(label)
+    counted = F.count("*") if condition is None else F.count_if(condition)
+    table = stage(df.observe(seen, counted.alias("rows")), label)
+    return table, seen.get["rows"]
+
+
+def ordered(links: DataFrame) -> DataFrame:
+    """Each link once, the larger node first."""
+    return links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, root) for each node that isn't the smallest of its component; links: (a, b) bigint.
 
@@ -23,17 +36,16 @@ def components(links: DataFrame) -> DataFrame:
     aggregations and joins, and a component of any size takes logarithmically many.
     """
     names = None
-    links = stage(links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
-    while not links.isEmpty():
+    links, left = staged(ordered(links), "links")
+    while left:
         found = stage(links.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("root")), "roots")
-        while True:
-            jumped = stage(relabelled(found.withColumn("was", F.col("root")), "root", found), "roots")
-            found = jumped.select("node", "root")
-            if jumped.filter("root <> was").isEmpty():
-                break
+        changed = 1
+        while changed:
+            jump = relabelled(found.withColumn("was", F.col("root")), "root", found)
+            found, changed = staged(jump, "roots", F.col("root") != F.col("was"))
+            found = found.select("node", "root")
         names = found if names is None else stage(relabelled(names, "root", found).unionByName(found), "names")
-        both = relabelled(relabelled(links, "a", found), "b", found).filter("a <> b")
-        links = stage(both.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
+        links, left = staged(ordered(relabelled(relabelled(links, "a", found), "b", found)), "links")
     if names is None:
         return links.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return names
