@@ -11,8 +11,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusflow.llm import bloom
-from corpusflow.llm.runtime import slices
+from corpusflow.llm.runtime import is_small, slices
 from corpusflow.llm.wordhash import BLOCK_BYTES, LOWER, MARK, Words, mix, ngrams, read_words, run_hashes
+from corpusflow.sources.scratch import stage
 
 #: Texts to (text number, feature) pairs, ascending and without repeats. A second argument, a
 #: boolean per feature, leaves out the others before anything is sorted.
@@ -101,15 +102,18 @@ def training_rows(
     docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, taught: Column | None
 ) -> DataFrame:
     """(k, t, y): labelled texts. Rows with a null key or label teach nothing; a null text counts
-    as empty. `taught` is a condition on `k`. A Bloom filter of the labelled keys keeps most other
-    texts out of the shuffle."""
+    as empty. `taught` is a condition on `k`. A small table of labels goes to the texts; with a
+    larger one, a Bloom filter of the labelled keys keeps most other texts out of the shuffle."""
     known = labels.select(F.col(key).alias("k"), F.col(label).cast("int").alias("y")).filter(
         "k is not null and y in (0, 1)"
     )
     if taught is not None:
         known = known.filter(taught)
-    bitmap = bloom.build(known, "k")
+    known = stage(known, "labels")
     texts = docs.select(F.col(key).alias("k"), F.coalesce(F.col(text), F.lit("")).alias("t"))
+    if is_small(known):
+        return texts.join(F.broadcast(known), "k").select("k", "t", "y")
+    bitmap = bloom.build(known, "k")
     return texts.filter(bloom.may_hold(bitmap, F.col("k"))).join(known, "k").select("k", "t", "y")
 
 
