@@ -44,7 +44,7 @@ HALF = 100
 GRAM = 50
 CELL = 32
 CORE = LENGTH - CELL + 1
-BLOCK_BYTES = 1 << 19
+BLOCK_BYTES = 1 << 18
 NO_KEY = -(1 << 62)
 
 

@@ -10,7 +10,7 @@ import numpy as np
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
 #: Texts are joined up to so many bytes for one call; a longer text is a call of its own.
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 18
 
 SPACE, WORD, MARK = 0, 1, 2
 
