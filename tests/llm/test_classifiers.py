@@ -78,6 +78,16 @@ def test_ftrl_weights_follow_the_formula():
     assert np.allclose(f.z, z) and np.allclose(f.n, n)
 
 
+def test_toxicity_learns_from_6000_rows_of_a_class(workers, monkeypatch):
+    """5,000 rows of each class fit the documented sample whole."""
+    drawn, seen = features.drawn, []
+    monkeypatch.setattr(features, "drawn", lambda *a: seen.append(drawn(*a)) or seen[-1])
+    ids = workers.range(10_000, numPartitions=4)
+    docs = ids.select(F.col("id").alias("doc_id"), F.concat(F.lit("w"), F.col("id") % 7).alias("text"))
+    toxicity.fit(docs, ids.select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("toxic")), bits=10, epochs=1)
+    assert [sum(y == label for y, _ in seen[0]) for label in (0, 1)] == [5000, 5000]
+
+
 def test_features_ignore_the_batch():
     texts = ["One two, two three!", "", "x", "é ß 12 12 12", "!!! ???"]
     for extract in (features.quality_features(16), features.toxicity_features(16)):
