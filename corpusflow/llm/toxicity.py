@@ -65,25 +65,27 @@ def fit(
 ) -> ToxicityModel:
     """Learn from about `sample_per_class` labelled rows of each class, the bound of the sample.
 
-    Rows are chosen by a hash of the key (`taught`: a condition on it, called k) and weighted back
-    to the class shares of all labelled rows. Without labelled rows every text scores one half.
+    Rows are chosen by a hash of the key (`taught`: a condition on it, called k). All count alike in
+    the fit. Where the classes were drawn at different rates, the constant then moves by the log of
+    their ratio: in a logistic model nothing else depends on those rates, so scores have the class
+    shares of all labelled rows, whatever their number. Without labelled rows every text scores one
+    half.
     """
     extract = features.toxicity_features(bits)
     rows = stage(features.training_rows(docs, labels, key, text, label, taught), "toxicity-rows")
     sizes = features.class_sizes(rows)
     sample = features.drawn(rows, extract, sample_per_class, sizes, "toxicity sample")
-    drawn = {y: max(1, sum(1 for s in sample if s[0] == y)) for y in (0, 1)}
-    least = min((sizes.get(y, 0) / drawn[y] for y in (0, 1) if sizes.get(y)), default=1.0)
-    importance = {y: min(3.0, sizes.get(y, 0) / drawn[y] / least) for y in (0, 1)}
     leader = FtrlProximal((1 << bits) + 1, rate, smooth, l1, l2)
     draw = np.random.default_rng(42)
     for _ in range(epochs):
         for i in draw.permutation(len(sample)):
             y, found = sample[i]
-            leader.learn(np.append(found, 1 << bits), y, importance[y])
+            leader.learn(np.append(found, 1 << bits), y, 1.0)
     every = leader.weights(np.arange((1 << bits) + 1))
     buckets = np.flatnonzero(every[:-1])
-    return ToxicityModel(bits, buckets, every[buckets], float(every[-1]))
+    drawn = {y: sum(1 for s in sample if s[0] == y) for y in (0, 1)}
+    odds = np.log(sizes[1] / drawn[1]) - np.log(sizes[0] / drawn[0]) if all(drawn.values()) else 0.0
+    return ToxicityModel(bits, buckets, every[buckets], float(every[-1] + odds))
 
 
 def score(df: DataFrame, model: ToxicityModel, text: str = "text", into: str = "score") -> DataFrame:

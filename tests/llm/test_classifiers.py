@@ -88,6 +88,16 @@ def test_toxicity_learns_from_6000_rows_of_a_class(workers, monkeypatch):
     assert [sum(y == label for y, _ in seen[0]) for label in (0, 1)] == [5000, 5000]
 
 
+@pytest.mark.parametrize("per_class", [200, 10_000])
+def test_toxicity_scores_have_the_class_shares(workers, per_class):
+    """One row in 50 is toxic and the texts tell nothing: scores say so at any size of the sample."""
+    ids = workers.range(10_000, numPartitions=4)
+    docs = ids.select(F.col("id").alias("doc_id"), F.lit("same words").alias("text"))
+    labels = ids.select(F.col("id").alias("doc_id"), (F.col("id") % 50 == 0).cast("int").alias("toxic"))
+    model = toxicity.fit(docs, labels, bits=10, sample_per_class=per_class)
+    assert 0.01 <= toxicity.score(docs.limit(1), model).first().score <= 0.04
+
+
 def test_features_ignore_the_batch():
     texts = ["One two, two three!", "", "x", "é ß 12 12 12", "!!! ???"]
     for extract in (features.quality_features(16), features.toxicity_features(16)):
