@@ -12,7 +12,7 @@ Documents with equal words are one node. Nodes that agree in a band meet in a bu
 node is compared with the node of its bucket that meets most others, which links most of a group
 of near copies at once. In buckets that still hold several classes, all pairs of different classes
 are judged by their signatures, in tiles of bounded size; pairs that agree far too little for the
-similarity asked for (by 4.5 standard deviations) are dropped. Nothing is written per pair: a node
+similarity asked for (fewer equal components than chance gives in one of ten million) are dropped. Nothing is written per pair: a node
 gets one list of partners for each cell, a bounded set of nodes around the same centre. Then cells
 and their visitors meet, and the multisets themselves are compared. No pair of different classes
 is left out.
@@ -21,6 +21,7 @@ is left out.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -36,8 +37,9 @@ from corpusflow.sources.scratch import stage
 SHINGLE = 5
 SIMILARITY = 0.8
 COMPONENTS = 160
-BAND_ROWS = 5
-DEVIATIONS = 4.5
+BAND_ROWS = 4
+#: Chance that the signatures of a pair at the similarity asked for agree too little to be compared.
+SCREEN_MISS = 1e-7
 BLOCK_BYTES = 1 << 19
 GROUP_NODES = 64
 #: Nodes of a tile's side, and of a cell and its visitors, at most (about, for cells).
@@ -105,8 +107,14 @@ def sketches(times: np.ndarray) -> np.ndarray:
 
 
 def least_agreement(similarity: float) -> float:
-    """Share of equal components that a pair of this similarity hardly ever falls below."""
-    return similarity - DEVIATIONS * float(np.sqrt(similarity * (1 - similarity) / COMPONENTS))
+    """Share of equal components that a pair of this similarity falls below with a chance of
+    SCREEN_MISS at most. Their number is binomial."""
+    chance = 0.0
+    for equal in range(COMPONENTS):
+        chance += comb(COMPONENTS, equal) * similarity**equal * (1 - similarity) ** (COMPONENTS - equal)
+        if chance > SCREEN_MISS:
+            return equal / COMPONENTS
+    return 1.0
 
 
 def content_keys(words: Words, texts: list[bytes]) -> np.ndarray:
@@ -300,7 +308,7 @@ def near_duplicates(
     same words are always of one class; documents without a word are so if their texts are equal.
     A null text is a class of its own. Rows with a null key are left out, and so are rows whose
     key also names a different text; equal rows give one row. A pair at the threshold is missed with
-    probability 6e-6: 32 bands of 5 components, and the comparison of 160 components.
+    probability 1e-7 at most: 7e-10 by 40 bands of 4 components, the rest by the comparison of 160.
     """
     named = docs.select(F.col(key).cast("bigint").alias("id"), F.col(text).alias("t")).filter("id is not null")
     texts = named.filter("t is not null")

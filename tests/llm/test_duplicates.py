@@ -4,7 +4,9 @@ import hashlib
 import random
 import re
 from collections import Counter, defaultdict
+from fractions import Fraction
 from itertools import combinations
+from math import comb
 
 import numpy as np
 import pytest
@@ -72,6 +74,15 @@ def test_signatures_ignore_the_batch():
         assert np.array_equal(together[i], alone[0])
 
 
+def test_pairs_at_the_threshold_are_hardly_ever_missed():
+    """By the bands, and by the screen of signatures, at 0.8."""
+    size, share = bag_minhash.COMPONENTS, Fraction(4, 5)
+    apart = (1 - share**bag_minhash.BAND_ROWS) ** (size // bag_minhash.BAND_ROWS)
+    least = round(bag_minhash.least_agreement(0.8) * size)
+    dropped = sum(comb(size, k) * share**k * (1 - share) ** (size - k) for k in range(least))
+    assert apart <= 1e-9 and dropped <= 1e-7 < dropped + comb(size, least) * share**least * (1 - share) ** (size - least)
+
+
 def test_near_duplicates_of_a_table(workers, small_dir, small):
     got = {r.doc_id: r.class_id for r in QUERIES["op2_bag_minhash"](workers, small_dir).collect()}
     assert got == near_classes(small)
