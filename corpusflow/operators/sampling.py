@@ -4,7 +4,7 @@ Nothing here sorts or ranks whole groups. A histogram over the top 16 bits of th
 (at most 65,536 rows per group, combined before the shuffle) finds the bucket that holds
 the k-th smallest hash; only the distinct keys of that bucket are ranked, each with the
 number of its rows. Rows with one key are interchangeable. If the cut falls among them, they
-alone are numbered, so counts are exact whether or not keys are unique.
+alone are numbered, each task its own, so counts are exact whether or not keys are unique.
 """
 
 from __future__ import annotations
@@ -67,6 +67,23 @@ def _place(key: Column, seed: int, tag: str) -> Column:
     return F.struct(stable_hash(key, seed, tag).alias("h"), key.cast("string").alias("k"))
 
 
+def _numbered(tied: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """Add `__n`, the number of a row in its group from 1.
+
+    The rows are written once with their place, so that it stays. They are numbered within the
+    task that wrote them, after the rows of the tasks before: only a count per task is summed up.
+    """
+    rows = stage(tied.withColumn("__at", F.monotonically_increasing_id()), "tied")
+    rows = rows.withColumn("__task", F.shiftright("__at", 33))
+    counts = rows.groupBy(*by, "__task").agg(F.count("*").alias("__c"))
+    tasks = (W.partitionBy(*by) if by else W.partitionBy(F.lit(0))).orderBy("__task")
+    before = F.sum("__c").over(tasks.rowsBetween(W.unboundedPreceding, W.currentRow)) - F.col("__c")
+    offsets = stage(counts.select(*by, "__task", before.alias("__before")), "tied-offsets")
+    number = F.row_number().over(W.partitionBy(*by, "__task").orderBy("__at"))
+    placed = rows.withColumn("__n", number).join(offsets, [*by, "__task"])
+    return placed.withColumn("__n", F.col("__n") + F.col("__before")).drop("__at", "__task", "__before")
+
+
 def _marked(df: DataFrame, key: Column, cut: Row | None, seed: int, tag: str, into: str) -> DataFrame:
     """Add whether a row is one of those up to the cut."""
     if cut is None:
@@ -75,8 +92,7 @@ def _marked(df: DataFrame, key: Column, cut: Row | None, seed: int, tag: str, in
     last = F.struct(F.lit(cut["cut"]["h"]).alias("h"), F.lit(cut["cut"]["k"]).alias("k"))
     if cut["some"] == cut["rows"]:
         return df.withColumn(into, F.coalesce(place <= last, F.lit(False)))
-    number = F.row_number().over(W.partitionBy(F.lit(0)).orderBy(F.lit(0)))
-    tied = df.filter(place == last).withColumn(into, number <= cut["some"])
+    tied = _numbered(df.filter(place == last)).withColumn(into, F.col("__n") <= cut["some"]).drop("__n")
     return df.filter(~F.coalesce(place == last, F.lit(False))).withColumn(into, F.coalesce(place < last, F.lit(False))).unionByName(tied)
 
 
@@ -111,8 +127,7 @@ def cap_per_group(df: DataFrame, by: str, key: str, limit: int, seed: int) -> Da
     at_cut = F.coalesce((place == F.col("cut")) & split, F.lit(False))
     kept = joined.filter((F.col("cut").isNull() | (place <= F.col("cut"))) & ~at_cut)
     if not cuts.filter("some < rows").isEmpty():
-        number = F.row_number().over(W.partitionBy(by).orderBy(F.lit(0)))
-        tied = joined.filter(at_cut).withColumn("__n", number).filter(F.col("__n") <= F.col("some"))
+        tied = _numbered(joined.filter(at_cut), (by,)).filter(F.col("__n") <= F.col("some"))
         kept = kept.unionByName(tied.drop("__n"))
     return kept.drop("cut", "some", "rows")
 

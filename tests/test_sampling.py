@@ -114,3 +114,16 @@ def test_repeated_keys_are_counted_one_by_one(spark):
     assert Counter(r.split for r in sampling.holdout(df, "key", SEED).collect()) == {"val": 30, "train": 570}
     one = df.filter("key = '3'")
     assert Counter(r.split for r in sampling.holdout(one, "key", SEED).collect())["val"] == one.count() * 5 // 100
+
+
+def test_rows_of_one_key_stay_spread(spark):
+    """All rows are tied at the cut; no single task numbers them."""
+    df = spark.range(0, 800, 1, 16).select(F.lit("k").alias("key"), F.lit("g").alias("g"), "id")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for kept in (sampling.cap(df, "key", 700, SEED), sampling.cap_per_group(df, "g", "key", 700, SEED)):
+            rows = kept.withColumn("task", F.spark_partition_id()).collect()
+            assert len({r.id for r in rows}) == len(rows) == 700 and set(kept.columns) == set(df.columns)
+            assert len({r.task for r in rows}) > 2
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
