@@ -24,7 +24,7 @@ def duck(sf_dir):
 
 
 # Spark type to the DuckDB type of the same values.
-TYPES = {"bigint": "BIGINT", "string": "VARCHAR", "boolean": "BOOLEAN", "double": "DOUBLE"}
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "boolean": "BOOLEAN", "double": "DOUBLE"}
 
 
 def compare(spark, con, name, sf_dir):
