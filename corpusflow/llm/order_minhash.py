@@ -24,6 +24,9 @@ KMER = 6
 FUNCTIONS = 64
 #: Hash values computed at once.
 BLOCK = 1 << 16
+#: The low bits of a k-mer's hash that give way to its place; the other 40 say which k-mer it is,
+#: so two of n different k-mers in a text are taken for one with a probability below n^2 / 2^41.
+PLACE_BITS = 24
 ROWS_PER_BUCKET = 200
 MOST_BUCKETS = 1 << 16
 LAST_ID = (1 << 63) - 1
@@ -34,6 +37,19 @@ def _multipliers(functions: int) -> np.ndarray:
     return np.array([seeded(500 + j) | np.uint64(1) for j in range(functions)])
 
 
+def by_content(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places in order of content, equal contents in text order, and the contents. What a k-mer
+    counts as depends on its hash alone, not on the text it stands in."""
+    if len(hashes) > 1 << PLACE_BITS:
+        content = hashes >> np.uint64(PLACE_BITS)
+        place = np.argsort(content, kind="stable")
+        return place, content[place]
+    # One sort of numbers with the place in the low bits is faster than sorting indices.
+    low = np.uint64((1 << PLACE_BITS) - 1)
+    ordered = np.sort((hashes & ~low) | np.arange(len(hashes), dtype=np.uint64))
+    return (ordered & low).astype(np.int64), ordered >> np.uint64(PLACE_BITS)
+
+
 def sketch(text: str, kmer: int = KMER, functions: int = FUNCTIONS) -> np.ndarray:
     """One uint32 per hash function. A text shorter than a k-mer is one k-mer."""
     points = np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.uint64) + np.uint64(1)
@@ -41,10 +57,7 @@ def sketch(text: str, kmer: int = KMER, functions: int = FUNCTIONS) -> np.ndarra
     hashes = np.full(n, np.uint64(min(len(points), kmer)), np.uint64)
     for t in range(min(kmer, len(points))):
         hashes += points[t : t + n] * seeded(t)
-    bits = n.bit_length()
-    low = np.uint64((1 << bits) - 1)
-    ordered = np.sort((mix(hashes) & ~low) | np.arange(n, dtype=np.uint64))
-    place, content = (ordered & low).astype(np.int64), ordered >> np.uint64(bits)
+    place, content = by_content(mix(hashes))
     new = np.empty(n, bool)
     new[0] = True
     np.not_equal(content[1:], content[:-1], out=new[1:])

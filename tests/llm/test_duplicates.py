@@ -236,14 +236,68 @@ def test_winnowing_keeps_one_mark_in_every_window():
             assert len(inside) and hashes[inside].min() == hashes[p : p + 6].min()
 
 
+M64 = (1 << 64) - 1
+
+
+def mixed(x):
+    x ^= x >> 30
+    x = x * 0xBF58476D1CE4E5B9 & M64
+    x ^= x >> 27
+    x = x * 0x94D049BB133111EB & M64
+    return x ^ (x >> 31)
+
+
+def sketch_by_definition(text, kmer=order_minhash.KMER):
+    """Each function's two smallest occurrence-numbered k-mers, found one by one."""
+    factor = lambda seed: mixed((seed + 1) * 0x9E3779B97F4A7C15 & M64)
+    points = [ord(c) + 1 for c in text]
+    width = min(kmer, len(points))
+    seen, grams = Counter(), []
+    for i in range(max(1, len(points) - kmer + 1)):
+        content = mixed((width + sum(points[i + t] * factor(t) for t in range(width))) & M64) >> 24
+        grams.append((content, seen[content]))
+        seen[content] += 1
+    out = []
+    for j in range(order_minhash.FUNCTIONS):
+        ranks = [mixed((c + n * factor(99)) & M64) * (factor(500 + j) | 1) & M64 for c, n in grams]
+        two = sorted(sorted(range(len(grams)), key=ranks.__getitem__)[:2])
+        a, b = two[0], two[-1]
+        out.append(mixed((mixed(grams[a][0]) * 3 + mixed(mixed(grams[b][0]))) & M64) >> 32)
+    return out
+
+
 def test_sketch_follows_the_definition():
-    """Minima found one by one, and the order they have in the text."""
+    draw = random.Random(11)
+    for text in ["", "a", "abcdef", "abab abcab cabcab ab" * 3, "é漢字😀" * 20, "".join(draw.choice("ab") for _ in range(900))]:
+        assert order_minhash.sketch(text).tolist() == sketch_by_definition(text)
+
+
+def test_long_texts_have_the_same_kmers(monkeypatch):
+    text = "".join(random.Random(12).choice("abc ") for _ in range(5_000))
+    packed = order_minhash.by_content(order_minhash.mix(np.arange(5_000, dtype=np.uint64) % np.uint64(700)))
+    expected = np.argsort(packed[1], kind="stable")
+    assert np.array_equal(expected, np.arange(5_000))
+    usual = order_minhash.sketch(text)
+    # The other way to sort, for texts whose places need more bits.
+    hashes = order_minhash.mix(np.arange(5_000, dtype=np.uint64) % np.uint64(700))
+    content = hashes >> np.uint64(24)
+    place = np.argsort(content, kind="stable")
+    assert np.array_equal(place, packed[0]) and np.array_equal(content[place], packed[1])
+    assert usual.tolist() == sketch_by_definition(text)
+
+
+def test_likeness_does_not_depend_on_the_length_class():
+    draw = random.Random(13)
+    for kmers in (1_023, 2_047, 4_095):
+        text = "".join(draw.choice("abcdefghijklmnop ") for _ in range(kmers + order_minhash.KMER - 1))
+        assert order_minhash.likeness(order_minhash.sketch(text), order_minhash.sketch(text + "#")) >= 0.9
+        assert order_minhash.likeness(order_minhash.sketch(text), order_minhash.sketch(text[:-1])) >= 0.9
+
+
+def test_likeness_falls_with_edits_and_moves():
     text = "abab abcab cabcab ab" * 3
-    grams = [text[i : i + 6] for i in range(len(text) - 5)]
-    assert np.array_equal(order_minhash.sketch(text), order_minhash.sketch(text))
-    assert order_minhash.sketch("").shape == (order_minhash.FUNCTIONS,)
     moved = text[30:] + text[:30]
-    assert Counter(grams) != Counter(moved) and order_minhash.likeness(order_minhash.sketch(text), order_minhash.sketch(moved)) < 1
+    assert order_minhash.likeness(order_minhash.sketch(text), order_minhash.sketch(moved)) < 1
     draw = random.Random(3)
     base = "".join(draw.choice("abcdefghijklmnop ") for _ in range(3_000))
     scores = []
