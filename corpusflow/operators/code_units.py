@@ -8,9 +8,11 @@ no shuffle, no window, and a hot source costs no more than its files.
 2. Each line gets a class (blank, comment, declaration start, other) and a nesting change
    over all three bracket kinds.
 3. One pass over the lines finds the declarations: a start at depth 0 up to the first line
-   that ends at depth 0, with the start of the comment block above it. In a file whose
-   brackets don't balance, a declaration at the beginning of a line starts anew at depth 0,
-   so one stray bracket costs one declaration and not the rest of the file.
+   that ends at depth 0, with the start of the comment block above it. Where all brackets of a
+   file pair up by kind, a counter is the depth. Other files are scanned with a stack of open
+   kinds: a closer closes the nearest opener of its kind, one without an opener does nothing,
+   and a declaration with the least indent of the file starts anew with an empty stack. So a
+   stray bracket costs one declaration at most, and not the rest of the file.
 4. Only the cut-out declarations leave the row, as an exploded array of small structs.
 """
 
@@ -103,50 +105,75 @@ def _nesting_change(bones: Column) -> Column:
     return F.when(bones == "", F.lit(0)).otherwise(without_closers - without_openers)
 
 
-def _line_class(shown: Column, bones: Column, restarts: Column) -> Column:
+def _line_class(shown: Column, bones: Column) -> Column:
     """Class of a line from its text without indent and its part of the skeleton."""
     # A mark behind a blanked comment does not count: the line itself has to start so.
     starts = F.startswith(shown, F.lit("func ")) | F.startswith(shown, F.lit("type "))
     return (
         F.when(shown == "", F.lit(BLANK))
         .when(F.startswith(shown, F.lit("//")), F.lit(COMMENT))
-        .when(F.startswith(bones, F.lit(MARK)) & starts & restarts, F.lit(RESTART))
         .when(F.startswith(bones, F.lit(MARK)) & starts, F.lit(DECLARATION))
         .otherwise(F.lit(OTHER))
     )
 
 
-def _step(state: Column, line: Column) -> Column:
+def _open_kinds(stack: Column, bones: Column) -> Column:
+    """The stack of open brackets, innermost last, after the brackets of one line."""
+
+    def step(held: Column, bracket: Column) -> Column:
+        opener = F.translate(bracket, ")}]", "({[")
+        nearest = F.when(bracket == ")", tx.position_of_last(held, "("))
+        nearest = nearest.when(bracket == "}", tx.position_of_last(held, "{"))
+        nearest = nearest.when(bracket == "]", tx.position_of_last(held, "["))
+        return (
+            F.when(nearest > 0, F.substring(held, F.lit(1), nearest - 1))
+            .when(nearest.isNull() & (bracket != MARK) & (opener == bracket), F.concat(held, bracket))
+            .otherwise(held)
+        )
+
+    return F.aggregate(F.split(bones, ""), stack, step)
+
+
+def _step(state: Column, line: Column, kinds: bool) -> Column:
     """Advance the scan to the next listed line. Line numbers are 0-based, -1 means none.
 
     `top` is the first line of the running comment block. One blank line keeps the block
     open; a second one, or any line of code, closes it. A block is also closed when lines
-    were left out of the list, which `seen` (the line listed before) tells.
+    were left out of the list, which `seen` (the line listed before) tells. `nest` is the depth
+    or, with `kinds`, the stack of open brackets; `lost` counts declarations that another one
+    broke off.
     """
     here, kind = line["at"], line["kind"]
     adjacent = state["seen"] + 1 == here
-    opens = (kind == RESTART) | ((state["start"] < 0) & (state["depth"] == 0) & (kind == DECLARATION))
+    flat = state["nest"] == ("" if kinds else 0)
+    opens = (kind == RESTART) | ((state["start"] < 0) & flat & (kind == DECLARATION))
     start = F.when(opens, here).otherwise(state["start"])
     doc = F.when(opens, F.when(adjacent, state["top"]).otherwise(F.lit(-1))).otherwise(state["doc"])
-    depth = F.greatest(F.when(opens, F.lit(0)).otherwise(state["depth"]) + line["change"], F.lit(0))
-    closes = (depth == 0) & (start >= 0)
-    span = F.struct(start.alias("start"), here.alias("stop"), doc.alias("doc"))
+    if kinds:
+        nest = _open_kinds(F.when(opens, F.lit("")).otherwise(state["nest"]), line["bones"])
+    else:
+        nest = F.greatest(F.when(opens, F.lit(0)).otherwise(state["nest"]) + line["change"], F.lit(0))
     top = (
         F.when(kind == COMMENT, F.when(adjacent & (state["top"] >= 0), state["top"]).otherwise(here))
         .when((kind == BLANK) & state["after"] & adjacent, state["top"])
         .otherwise(F.lit(-1))
     )
-    return F.struct(
-        here.alias("seen"),
-        depth.alias("depth"),
-        F.when(closes, F.lit(-1)).otherwise(start).alias("start"),
-        doc.alias("doc"),
-        top.alias("top"),
-        (kind == COMMENT).alias("after"),
-        F.when(closes, F.concat(state["spans"], F.array(span)))
-        .otherwise(state["spans"])
-        .alias("spans"),
-    )
+
+    def after(nest: Column) -> Column:
+        closes = (nest == ("" if kinds else 0)) & (start >= 0)
+        span = F.struct(start.alias("start"), here.alias("stop"), doc.alias("doc"))
+        return F.struct(
+            here.alias("seen"),
+            nest.alias("nest"),
+            F.when(closes, F.lit(-1)).otherwise(start).alias("start"),
+            doc.alias("doc"),
+            top.alias("top"),
+            (kind == COMMENT).alias("after"),
+            (state["lost"] + F.when(opens & (state["start"] >= 0), 1).otherwise(0)).alias("lost"),
+            F.when(closes, F.concat(state["spans"], F.array(span))).otherwise(state["spans"]).alias("spans"),
+        )
+
+    return bound(nest, after) if kinds else after(nest)
 
 
 def bound(value: Column, use) -> Column:
@@ -155,59 +182,112 @@ def bound(value: Column, use) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
-def is_uneven(bones: Column) -> Column:
-    """Whether a skeleton has more brackets of one direction."""
-    return F.length(F.translate(bones, f"{{([{MARK}", "")) != F.length(F.translate(bones, f"}})]{MARK}", ""))
+#: Levels of nesting that are taken off at once; deeper files are looked at bracket by bracket.
+PEELED = 32
+STUCK = "!"
 
 
-def listed_lines(lines: Column, masked: Column) -> Column:
-    """The lines the scan looks at: (kind, change, at).
+def has_stray_brackets(bones: Column) -> Column:
+    """Whether a skeleton's brackets don't all pair up by kind. Innermost pairs are taken off
+    whole-text first, which leaves nothing of almost every file."""
 
-    Plain code lines that change no nesting are left out; in most files these are the majority.
-    """
-    return bound(
-        skeleton(masked), lambda bones: bound(is_uneven(bones), lambda uneven: _listed(lines, bones, uneven))
-    )
+    def peel(rest: Column, _: Column) -> Column:
+        for pair in ("()", "{}", "[]"):
+            rest = F.replace(rest, F.lit(pair), F.lit(""))
+        return rest
 
+    def step(held: Column, bracket: Column) -> Column:
+        opener = F.translate(bracket, ")}]", "({[")
+        return (
+            F.when(held == STUCK, held)
+            .when(opener == bracket, F.concat(held, bracket))
+            .when(F.endswith(held, opener), F.substring(held, F.lit(1), F.length(held) - 1))
+            .otherwise(F.lit(STUCK))
+        )
 
-def _listed(lines: Column, bones: Column, uneven: Column) -> Column:
-    shown = F.transform(
-        lines,
-        lambda line: F.struct(
-            tx.lstrip(line).alias("shown"),
-            (F.startswith(line, F.lit("func ")) | F.startswith(line, F.lit("type "))).alias("flush"),
-        ),
-    )
-    classified = F.zip_with(
-        shown,
+    flat = F.translate(bones, f"\n{MARK}", "")
+    left = F.aggregate(F.sequence(F.lit(1), F.lit(PEELED)), flat, peel)
+    unpaired = bound(left, lambda rest: F.when(rest == "", F.lit("")).otherwise(F.aggregate(F.split(rest, ""), F.lit(""), step)))
+    return unpaired != ""
+
+
+def _classified(lines: Column, bones: Column, *more) -> Column:
+    """Lines as (kind, …, at). `more` are further fields, made of the line's text without indent,
+    its indent and its part of the skeleton."""
+    paired = F.zip_with(
+        F.transform(lines, lambda line: F.struct(tx.lstrip(line).alias("shown"), F.length(line).alias("chars"))),
         F.split(bones, "\n", -1),
         lambda line, part: F.struct(
-            _line_class(line["shown"], part, line["flush"] & uneven).alias("kind"),
-            _nesting_change(part).alias("change"),
+            _line_class(line["shown"], part).alias("kind"),
+            *[field(line["chars"] - F.length(line["shown"]), part).alias(name) for name, field in more],
         ),
     )
-    placed = F.transform(
-        classified, lambda line, at: F.struct(line["kind"].alias("kind"), line["change"].alias("change"), at.alias("at"))
-    )
-    return F.filter(placed, lambda line: (line["kind"] != OTHER) | (line["change"] != 0))
+    names = ["kind", *[name for name, _ in more]]
+    return F.transform(paired, lambda line, at: F.struct(*[line[n].alias(n) for n in names], at.alias("at")))
 
 
-def declaration_spans(listed: Column) -> Column:
-    """Array of (start, stop, doc) line spans of the top-level declarations.
+def _counted_lines(lines: Column, bones: Column) -> Column:
+    """Without plain code lines that change no nesting, in most files the majority."""
+    listed = _classified(lines, bones, ("change", lambda indent, part: _nesting_change(part)))
+    return F.filter(listed, lambda line: (line["kind"] != OTHER) | (line["change"] != 0))
 
-    The scan runs over parts of bounded length, so a span is copied once per part behind it
-    and not once per declaration.
-    """
+
+def _stacked_lines(lines: Column, bones: Column) -> Column:
+    """Declarations with the least indent of all are restarts."""
+    listed = _classified(lines, bones, ("indent", lambda indent, part: indent), ("bones", lambda indent, part: part))
+
+    def restarted(listed: Column) -> Column:
+        declared = F.filter(listed, lambda line: line["kind"] == DECLARATION)
+        least = F.array_min(F.transform(declared, lambda line: line["indent"]))
+
+        def marked(least: Column) -> Column:
+            def kind(line: Column) -> Column:
+                return F.when((line["kind"] == DECLARATION) & (line["indent"] == least), F.lit(RESTART)).otherwise(line["kind"])
+
+            kept = F.filter(listed, lambda line: (line["kind"] != OTHER) | (line["bones"] != ""))
+            return F.transform(
+                kept, lambda line: F.struct(kind(line).alias("kind"), line["bones"].alias("bones"), line["at"].alias("at"))
+            )
+
+        return bound(least, marked)
+
+    return bound(listed, restarted)
+
+
+def declaration_scan(lines: Column, masked: Column) -> Column:
+    """Struct of `spans`, an array of (start, stop, doc) line spans of the top-level declarations,
+    `lost`, the declarations that never close, and `stray`, whether brackets don't pair up."""
+
+    def scanned(bones: Column, stray: Column) -> Column:
+        """The stack runs in files with stray brackets alone: only the branch taken is evaluated."""
+        return F.when(stray, _scan(_stacked_lines(lines, bones), kinds=True)).otherwise(
+            _scan(_counted_lines(lines, bones), kinds=False)
+        )
+
+    def result(found: Column, stray: Column) -> Column:
+        return F.struct(found["spans"].alias("spans"), found["lost"].alias("lost"), stray.alias("stray"))
+
+    return bound(
+        skeleton(masked),
+        lambda bones: bound(
+            has_stray_brackets(bones), lambda stray: bound(scanned(bones, stray), lambda found: result(found, stray))
+        ),
+    )
+
+
+def _scan(listed: Column, kinds: bool) -> Column:
+    """Spans and lost declarations. The scan runs over parts of bounded length, so a span is
+    copied once per part behind it and not once per declaration."""
     none = F.lit(-1)
     no_spans = F.filter(
         F.array(F.struct(none.alias("start"), none.alias("stop"), none.alias("doc"))),
         lambda s: s["start"] >= 0,
     )
     begin = F.struct(
-        none.alias("seen"), F.lit(0).alias("depth"), none.alias("start"), none.alias("doc"),
-        none.alias("top"), F.lit(False).alias("after"), no_spans.alias("spans"),
+        none.alias("seen"), F.lit("" if kinds else 0).alias("nest"), none.alias("start"), none.alias("doc"),
+        none.alias("top"), F.lit(False).alias("after"), F.lit(0).alias("lost"), no_spans.alias("spans"),
     )
-    fields = ("seen", "depth", "start", "doc", "top", "after")
+    fields = ("seen", "nest", "start", "doc", "top", "after", "lost")
 
     def parts(every: Column) -> Column:
         last = F.greatest(F.lit(0), F.floor((F.size(every) - 1) / SCAN_LINES).cast("int"))
@@ -217,13 +297,17 @@ def declaration_spans(listed: Column) -> Column:
         return F.aggregate(
             part,
             F.struct(*[state[f].alias(f) for f in fields], no_spans.alias("spans")),
-            _step,
+            lambda held, line: _step(held, line, kinds),
             lambda s: F.struct(
                 *[s[f].alias(f) for f in fields], F.concat(state["spans"], s["spans"]).alias("spans")
             ),
         )
 
-    return F.aggregate(bound(listed, parts), begin, scan, lambda s: s["spans"])
+    def ended(state: Column) -> Column:
+        lost = state["lost"] + F.when(state["start"] >= 0, 1).otherwise(0)
+        return F.struct(state["spans"].alias("spans"), lost.alias("lost"))
+
+    return F.aggregate(bound(listed, parts), begin, scan, ended)
 
 
 def _even(head: Column) -> Column:
@@ -308,15 +392,14 @@ def extract_units(files: DataFrame) -> DataFrame:
             F.split("content", "\n", -1).alias("lines"),
             mask(F.col("content")).alias("masked"),
         )
-        .select("*", listed_lines(F.col("lines"), F.col("masked")).alias("listed"))
         .select(
             "source", "path", "module_path", "package_name", "lines",
             F.split("masked", "\n", -1).alias("masked_lines"),
-            declaration_spans(F.col("listed")).alias("spans"),
+            declaration_scan(F.col("lines"), F.col("masked")).alias("scan"),
         )
     )
     cut = F.transform(
-        F.col("spans"),
+        F.col("scan.spans"),
         lambda s: F.struct(
             (s["start"] + 1).alias("line_number"),
             _cut(F.col("lines"), s["start"], s["stop"]).alias("raw"),

@@ -3,6 +3,7 @@
 import random
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from corpusflow.config import CorpusConfig
@@ -270,6 +271,72 @@ def test_one_stray_bracket_costs_one_declaration(spark):
     assert {"A", "C"} <= set(got) and got["C"].doc_comment == "C is." and got["A"].body == "a()"
 
 
+FUNCTIONS = "func A() {\n\ta()\n}\n\nfunc B() {\n\tb()\n}\n"
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "package d\n}\nvar x = (1\n\n" + FUNCTIONS,  # even by count, not by order and kind
+        "package d\n\n(\n\n" + "\n".join("  " + line for line in FUNCTIONS.split("\n")),  # all indented
+        "package d\n\nvar x = ([1)]\n\n" + FUNCTIONS,
+        "package d\n)\n" + FUNCTIONS + "{[(\n",
+        "package d\n\n" + FUNCTIONS.replace("a()", "a(]"),
+        "package d\n\n" + FUNCTIONS.replace("a()", "a([)"),
+        "package d\n\nfunc Lost() {\n\tif x {\n\n" + FUNCTIONS,
+    ],
+)
+def test_brackets_of_wrong_kind_or_order_hide_no_unit(spark, text):
+    got = {u.name: u for u in units_of(spark, text)}
+    assert set(got) == {"A", "B"} and got["B"].body == "b()"
+
+
+PAIRS = {")": "(", "}": "{", "]": "["}
+
+
+def _python_spans(lines):
+    """Spans, declarations that never close and whether brackets pair up, line by line. A closer
+    closes the nearest opener of its kind. The least indented declarations start anew in a file
+    whose brackets don't pair up."""
+    stack, stray = [], False
+    for c in "".join(lines):
+        if c in "({[":
+            stack.append(c)
+        elif c in PAIRS:
+            stray |= not stack or stack.pop() != PAIRS[c]
+    stray |= bool(stack)
+    declares = [bool(re.match(r"\s*(func |type (?!\())", line)) for line in lines]
+    indents = [len(line) - len(line.lstrip()) for line in lines]
+    least = min([i for i, d in zip(indents, declares) if d], default=0)
+    stack, start, spans, lost = "", None, [], 0
+    for at, line in enumerate(lines):
+        anew = stray and declares[at] and indents[at] == least
+        if anew or (start is None and not stack and declares[at]):
+            lost += start is not None
+            stack, start = "", at
+        for c in line:
+            if c in "({[":
+                stack += c
+            elif c in PAIRS and PAIRS[c] in stack:
+                stack = stack[: stack.rindex(PAIRS[c])]
+        if start is not None and not stack:
+            spans.append((start, at))
+            start = None
+    return spans, lost + (start is not None), stray
+
+
+def test_scan_of_any_brackets(spark):
+    rng = random.Random(5)
+    kinds = ["func F() {", "}", "}", "  func G(a [", "] int) {", "type T struct {", "x(", ")", "])", "({", "})", "y", "", "  }", "\ttype U int", "a[{(1)}]"]
+    files = [[rng.choice(kinds) for _ in range(rng.randint(0, 14))] for _ in range(1500)]
+    files += [["func F() {", "x" + "(" * 60, ")" * 60, "}"], ["func F() {"] * 300 + ["}"]]
+    df = spark.createDataFrame([(i, "\n".join(f)) for i, f in enumerate(files)], "i int, content string")
+    scan = cu.declaration_scan(F.split("content", "\n", -1), cu.mask(F.col("content")))
+    for row in df.repartition(8).select("i", scan.alias("scan")).collect():
+        got = [(s.start, s.stop) for s in row.scan.spans], row.scan.lost, row.scan.stray
+        assert got == _python_spans("\n".join(files[row.i]).split("\n")), files[row.i]
+
+
 def test_scan_is_linear_in_declarations(spark):
     """Twice the declarations take about twice the time, and all are found."""
     import time
