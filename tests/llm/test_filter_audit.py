@@ -50,12 +50,13 @@ def failed(m):
     return "".join(x for x, bad in zip("ABCD", (m[0] < 20, 2 * m[1] < m[0], 100 * m[3] > 30 * m[2], m[4] > 0)) if bad)
 
 
-FILTERS = {
-    "A": F.col("m.words") < 20,
-    "B": 2 * F.col("m.distinct_words") < F.col("m.words"),
-    "C": 100 * F.col("m.capitals") > 30 * F.col("m.code_points"),
-    "D": F.col("m.symbols") > 0,
-}
+def filters():
+    return {
+        "A": F.col("m.words") < 20,
+        "B": 2 * F.col("m.distinct_words") < F.col("m.words"),
+        "C": 100 * F.col("m.capitals") > 30 * F.col("m.code_points"),
+        "D": F.col("m.symbols") > 0,
+    }
 
 
 def expected(docs, labels):
@@ -86,7 +87,7 @@ def expected(docs, labels):
 def audited(spark, docs, labels):
     df = spark.createDataFrame(docs, "doc_id bigint, text string, lang string").selectExpr("*", "1 as m", "2 as k", "3 as n", "4 as spread", "5 as failed")
     said = spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int").selectExpr("*", "1 as k", "2 as good", "3 as spread")
-    rows = A.audit(df.repartition(3), said, FILTERS, copies="E").collect()
+    rows = A.audit(df.repartition(3), said, filters(), copies="E").collect()
     found = {tuple(r)[:3]: tuple(r)[3:] for r in rows}
     assert len(found) == len(rows)
     return found
