@@ -12,10 +12,11 @@ Documents with equal words are one node. Nodes that agree in a band meet in a bu
 node is compared with the node of its bucket that meets most others, which links most of a group
 of near copies at once. In buckets that still hold several classes, all pairs of different classes
 are judged by their signatures, in tiles of bounded size; pairs that agree far too little for the
-similarity asked for (fewer equal components than chance gives in one of ten million) are dropped. Nothing is written per pair: a node
-gets one list of partners for each cell, a bounded set of nodes around the same centre. Then cells
-and their visitors meet, and the multisets themselves are compared. No pair of different classes
-is left out.
+similarity asked for (fewer equal components than chance gives in one of ten million) are dropped.
+Nothing is written per pair: a node gets one list of partners for each cell, a bounded set of nodes
+around the same centre. Then cells and their visitors meet, and the multisets themselves are
+compared. No pair of different classes is left out. Groups, cells and visitors are bounded by the
+bytes of their texts as well as by their number.
 """
 
 from __future__ import annotations
@@ -45,6 +46,8 @@ GROUP_NODES = 64
 #: Nodes of a tile's side, and of a cell and its visitors, at most (about, for cells).
 TILE_NODES = 1024
 CELL_NODES = 256
+#: Bytes of texts in a group, a cell or its visitors (about; one text may be longer).
+GROUP_BYTES = 4 << 20
 HUB_JUMPS = 3
 
 
@@ -134,7 +137,7 @@ def content_keys(words: Words, texts: list[bytes]) -> np.ndarray:
     return out
 
 
-SIGNED = "id bigint, k1 bigint, k2 bigint, wordless boolean, bands array<bigint>, sketch binary"
+SIGNED = "id bigint, size bigint, k1 bigint, k2 bigint, wordless boolean, bands array<bigint>, sketch binary"
 
 
 def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -150,9 +153,9 @@ def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array(np.arange(b - a + 1) * found.shape[1], pa.int32()), pa.array(found.reshape(-1))
             )
             yield pa.RecordBatch.from_arrays(
-                [ids[a:b], pa.array(keys[0]), pa.array(keys[1]), pa.array(wordless), lists,
+                [ids[a:b], pa.array([len(t) for t in texts[a:b]], pa.int64()), pa.array(keys[0]), pa.array(keys[1]), pa.array(wordless), lists,
                  pa.array([row.tobytes() for row in small], pa.binary())],
-                ["id", "k1", "k2", "wordless", "bands", "sketch"],
+                ["id", "size", "k1", "k2", "wordless", "bands", "sketch"],
             )
 
 
@@ -240,15 +243,13 @@ def tile_judge(least: float):
 
 
 def links(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """Those of the pairs (centre, id) whose texts (id, t) overlap enough, as (a, b).
+    """Those of the pairs (centre, id, size) whose texts (id, t) overlap enough, as (a, b).
 
     A centre with many partners is dealt out: its text goes to every group of about 64 of them. A
     Bloom filter keeps texts without a pair out of the shuffle.
     """
-    sizes = pairs.groupBy("centre").agg(F.count("*").alias("n"))
-    salted = pairs.join(sizes, "centre").select(
-        "centre", F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / GROUP_NODES)).cast("int").alias("salt"), "id"
-    )
+    sizes = pairs.groupBy("centre").agg(parts_of(GROUP_NODES).alias("parts"))
+    salted = pairs.join(sizes, "centre").select("centre", dealt("parts").alias("salt"), "id")
     heads = salted.select("centre", "salt", F.col("centre").alias("id")).distinct()
     needed = stage(salted.unionByName(heads), "comparisons")
     rows = with_texts(needed, texts).select("centre", "salt", "id", "t")
@@ -256,39 +257,50 @@ def links(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
 
 
 def with_texts(needed: DataFrame, texts: DataFrame) -> DataFrame:
-    bitmap = bloom.build(needed.select("id"), "id")
+    bitmap = bloom.build(needed.select("id").distinct(), "id")
     return needed.join(texts.filter(bloom.may_hold(bitmap, F.col("id"))), "id")
 
 
-def dealt(column: str, size: Column, most: int) -> Column:
-    """Number of the part, of about `most` rows, that a row of a group of `size` rows goes to."""
-    return F.pmod(F.xxhash64(column), F.ceil(size / most)).cast("int")
+def parts_of(most: int) -> Column:
+    """Parts that a group of rows with a size is cut into: of about `most` rows and GROUP_BYTES."""
+    return F.greatest(F.ceil(F.count("*") / most), F.ceil(F.sum("size") / GROUP_BYTES)).cast("int")
+
+
+def dealt(parts: str, *more: Column) -> Column:
+    """The part that a node goes to."""
+    return F.pmod(F.xxhash64("id", *more), F.col(parts)).cast("int")
 
 
 def cell_links(members: DataFrame, hubs: DataFrame, sketched: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     """Links (a, b) between nodes of different labels that share a bucket.
 
-    members: (bucket, id, label); hubs: (id, hub), the centre that a node was compared with.
+    members: (bucket, id, label); hubs: (id, hub, size), hub being the centre that a node was
+    compared with.
     """
-    sized = hubs.groupBy("hub").agg(F.count("*").alias("n"))
-    placed = stage(hubs.join(sized, "hub").select("id", "hub", dealt("id", F.col("n"), CELL_NODES).alias("chunk")), "cells")
+    sized = hubs.groupBy("hub").agg(parts_of(CELL_NODES).alias("parts"))
+    placed = stage(hubs.join(sized, "hub").select("id", "hub", "size", dealt("parts").alias("chunk")), "cells")
     tiles = members.groupBy("bucket").agg(F.ceil(F.count("*") / TILE_NODES).cast("int").alias("k"))
-    part = F.pmod(F.xxhash64("id", F.lit("tile")), F.col("k")).cast("int").alias("part")
-    rows = members.join(stage(tiles, "tiles"), "bucket").select(
-        "bucket", "id", "label", part, F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("other")
+    # Some cells of a hub lie in one part, so that a node meets a cell in one tile of a bucket only.
+    some = F.floor(F.col("chunk") / (TILE_NODES // CELL_NODES))
+    part = F.pmod(F.xxhash64("hub", some, F.lit("tile")), F.col("k")).cast("int").alias("part")
+    rows = members.join(stage(tiles, "tiles"), "bucket").join(placed.drop("size"), "id").select(
+        "bucket", "id", "label", "hub", "chunk", part, F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("other")
     )
-    rows = rows.join(placed, "id").join(sketched, "id").select(
+    rows = rows.join(sketched, "id").select(
         "bucket", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"),
         (F.col("part") > F.col("other")).alias("side"), "id", "label", "hub", "chunk", "sketch", "bands",
     )
     found = rows.groupBy("bucket", "i", "j").applyInArrow(
         tile_judge(least_agreement(similarity)), "id bigint, hub bigint, chunk int, partners array<bigint>"
     )
-    visits = stage(found, "visits")
-    crowd = visits.groupBy("hub", "chunk").agg(F.ceil(F.count("*") / CELL_NODES).cast("int").alias("groups"))
+    # A node's partners in a cell, at most the cell's nodes, from all tiles and buckets.
+    found = found.groupBy("hub", "chunk", "id").agg(F.flatten(F.collect_list("partners")).alias("partners"))
+    visits = stage(found.join(placed.select("id", "size"), "id"), "visits")
+    crowd = visits.groupBy("hub", "chunk").agg(parts_of(CELL_NODES).alias("groups"))
     crowd = stage(crowd, "crowds")
-    salt = F.pmod(F.xxhash64("id", F.lit("visit")), F.col("groups")).cast("int").alias("salt")
-    visitors = visits.join(crowd, ["hub", "chunk"]).select("hub", "chunk", salt, "id", "partners")
+    visitors = visits.join(crowd, ["hub", "chunk"]).select(
+        "hub", "chunk", dealt("groups", F.lit("visit")).alias("salt"), "id", "partners"
+    )
     residents = placed.join(crowd, ["hub", "chunk"]).select(
         "hub", "chunk", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("salt"), "id",
         F.lit(None).cast("array<bigint>").alias("partners"),
@@ -321,7 +333,7 @@ def near_duplicates(
     worded = groups.filter(~F.col("wordless")).select(F.col("node").alias("id"))
     nodes = every.filter(~F.col("wordless")).join(worded, "id", "left_semi")
     buckets = nodes.select("id", F.explode(F.array_distinct("bands")).alias("bucket")).distinct()
-    names = classes(stage(buckets, "buckets"), every.select("id", "sketch", "bands"), texts, similarity)
+    names = classes(stage(buckets, "buckets"), every.select("id", "size", "sketch", "bands"), texts, similarity)
     member = clear.join(groups.select("k1", "k2", "node"), ["k1", "k2"]).select("id", "node", "wordless")
     alone = named.filter("t is null").select("id").distinct().join(every.select("id"), "id", "left_anti")
     found = relabelled(member, "node", names) if names is not None else member
@@ -340,8 +352,10 @@ def classes(buckets: DataFrame, sketched: DataFrame, texts: DataFrame, similarit
         return None
     heads = stage(members.groupBy("bucket").agg(F.max(F.struct("score", "id")).alias("centre")), "centres")
     met = members.join(heads, "bucket").filter(F.col("id") != F.col("centre.id"))
-    pairs = stage(met.groupBy("id", "centre").agg(F.count("*").alias("buckets")), "pairs")
-    names = components(links(pairs.select("centre.id", "id").toDF("centre", "id"), texts, similarity))
+    pairs = stage(met.select("id", "centre").distinct(), "pairs")
+    sizes = sketched.select("id", "size").distinct()
+    sized = pairs.join(sizes, "id").select(F.col("centre.id").alias("centre"), "id", "size")
+    names = components(links(sized, texts, similarity))
     rest = relabelled(members.select("bucket", "id", F.col("id").alias("label")), "label", names)
     mixed = rest.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x < y")
     rest, left = staged(rest.join(stage(mixed.select("bucket"), "mixed-buckets"), "bucket"), "members")
@@ -354,8 +368,8 @@ def classes(buckets: DataFrame, sketched: DataFrame, texts: DataFrame, similarit
     above = compared.select(F.col("id").alias("node"), F.col("hub").alias("root"))
     for _ in range(HUB_JUMPS):
         compared = relabelled(compared, "hub", above)
-    hubs = live.join(compared, "id", "left").select("id", F.coalesce("hub", "id").alias("hub"))
-    sketched = stage(sketched.join(live, "id", "left_semi").dropDuplicates(["id"]), "sketches")
+    hubs = live.join(compared, "id", "left").join(sizes, "id").select("id", F.coalesce("hub", "id").alias("hub"), "size")
+    sketched = stage(sketched.drop("size").join(live, "id", "left_semi").dropDuplicates(["id"]), "sketches")
     found = cell_links(rest, stage(hubs, "hubs"), sketched, texts, similarity)
     more = components(relabelled(relabelled(found, "a", names), "b", names))
     return stage(relabelled(names, "root", more).unionByName(more), "names")

@@ -29,9 +29,21 @@ BATCH_SETTINGS = {
 }
 
 
+#: Memory that a Python worker has freed goes back to the machine. By default the allocators keep
+#: it, and workers live on from stage to stage beside a heap that doesn't shrink either.
+WORKER_ENVIRONMENT = {
+    "ARROW_DEFAULT_MEMORY_POOL": "system",
+    "MALLOC_ARENA_MAX": "1",
+    "MALLOC_TRIM_THRESHOLD_": "1048576",
+    "MALLOC_MMAP_THRESHOLD_": "262144",
+}
+
+
 def prepare(spark: SparkSession) -> None:
     """Make workers ready for texts. Settings that the user changed stay as they are."""
     importable_on_workers(spark)
+    for name, value in WORKER_ENVIRONMENT.items():
+        spark.sparkContext.environment.setdefault(name, value)
     for name, (default, value) in BATCH_SETTINGS.items():
         if spark.conf.get(name, default) == default:
             spark.conf.set(name, value)
