@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import logging
 import os
 from dataclasses import dataclass, field, fields
 from typing import Any
 
+log = logging.getLogger(__name__)
+
 DEFAULT_PROMPT = (
     "You help software engineers. You explain source code, read technical "
     "documents and answer questions about how systems are built."
@@ -30,6 +33,7 @@ MIN_TURNS_WITH_PROMPT = 3
 VALIDATION_SHARE = 0.05
 DEFAULT_SEED = 42
 MAX_SEQ_LENGTH = 2048
+MAX_FILE_BYTES = 2_000_000_000
 
 # Share of each example type that is kept when nothing is configured.
 DEFAULT_WEIGHTS = {
@@ -95,6 +99,9 @@ class DatasetConfig:
     format: str = "code"
     file_format: str = "parquet"
     max_samples: int = 0
+    # Parts of a landed hub dataset: folders below `path`.
+    subset: str | None = None
+    split: str | None = None
     filter_field: str | None = None
     filter_value: Any = None
 
@@ -106,6 +113,10 @@ class CorpusConfig:
     datasets: tuple[DatasetConfig, ...] = ()
     # A Parquet table (source, path, content) with the files of all sources, in place of folders.
     landed_files: str | None = None
+    # Where `run_corpus` writes if it isn't told.
+    output: str = "./data"
+    # Larger files are left out and counted; a row can't hold more than the default.
+    max_file_bytes: int = MAX_FILE_BYTES
     weights: dict[str, float] = field(default_factory=dict)
     max_code_chars: int = MAX_CODE_CHARS
     min_code_chars: int = MIN_CODE_CHARS
@@ -167,11 +178,14 @@ class CorpusConfig:
                 known["type"] = "table"
             known["path"] = placed(known.get("path") or f"{landing}/{known['name']}")
             datasets.append(DatasetConfig(**known))
-        plain = {
-            k: data[k]
-            for k in ("max_code_chars", "min_code_chars", "include_tests", "skip_generated")
-            if k in data
-        }
+        # Names of settings that stand as they are.
+        named = (
+            "max_code_chars", "min_code_chars", "include_tests", "skip_generated",
+            "skip_patterns_at_root", "sample_all", "max_file_bytes",
+        )
+        plain = {k: data[k] for k in named if data.get(k) is not None}
+        if data.get("landed_files"):
+            plain["landed_files"] = placed(data["landed_files"])
         if "seed" in training:
             plain["seed"] = training["seed"]
         if "max_seq_length" in training:
@@ -180,6 +194,7 @@ class CorpusConfig:
             system_prompt=raw.get("system_prompt", DEFAULT_PROMPT),
             sources=sources,
             datasets=tuple(datasets),
+            output=placed(data.get("output_dir") or "./data"),
             weights=dict(data.get("weights") or {}),
             skip_patterns=tuple(data.get("skip_patterns") or ()),
             **plain,
@@ -187,6 +202,10 @@ class CorpusConfig:
 
     @classmethod
     def from_yaml(cls, path: str) -> CorpusConfig:
+        """Settings from a file. Without the file all settings have their defaults."""
+        if not os.path.exists(path):
+            log.warning("settings %s not found, using defaults", path)
+            return cls.from_dict({})
         try:
             import yaml
         except ImportError as missing:

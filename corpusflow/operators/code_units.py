@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from corpusflow.config import CorpusConfig
 from corpusflow.functions import text as tx
 from corpusflow.operators import filters
+from corpusflow.operators.accounts import Accounts
 from corpusflow.operators.rows import keep_where
 
 # Splits any text into comments, string, raw string and rune literals, and the rest.
@@ -380,10 +381,11 @@ def select_files(files: DataFrame, config: CorpusConfig) -> DataFrame:
     return keep_where(chosen, ~tx.is_blank(F.col("content")), *files.columns)
 
 
-def extract_units(files: DataFrame) -> DataFrame:
+def extract_units(files: DataFrame, accounts: Accounts | None = None) -> DataFrame:
     """Files (source, path, content, module_path) to declaration units.
 
-    Bodyless functions and declarations that never close give no unit.
+    Bodyless functions and declarations that never close give no unit. `accounts` gets the files
+    with brackets that don't pair up and the declarations that never close.
     """
     parsed = (
         files.select(
@@ -398,6 +400,10 @@ def extract_units(files: DataFrame) -> DataFrame:
             declaration_scan(F.col("lines"), F.col("masked")).alias("scan"),
         )
     )
+    if accounts:
+        parsed = accounts.watch(
+            parsed, unbalanced_files=F.count_if("scan.stray"), unclosed_declarations=F.sum("scan.lost")
+        )
     cut = F.transform(
         F.col("scan.spans"),
         lambda s: F.struct(
@@ -413,6 +419,20 @@ def extract_units(files: DataFrame) -> DataFrame:
     return _finish(pieces)
 
 
+def file_faults(files: DataFrame) -> DataFrame:
+    """Per source: code files (source, content, sound) read, those with bytes that weren't text,
+    with brackets that don't pair up, and declarations that never close."""
+    scanned = files.select(
+        "source", "sound", declaration_scan(F.split("content", "\n", -1), mask(F.col("content"))).alias("scan")
+    )
+    return scanned.groupBy("source").agg(
+        F.count("*").alias("files"),
+        F.count_if(~F.col("sound")).alias("undecodable_files"),
+        F.count_if("scan.stray").alias("unbalanced_files"),
+        F.sum("scan.lost").alias("unclosed_declarations"),
+    )
+
+
 def _finish(pieces: DataFrame) -> DataFrame:
     """Name, kind, signature and body of each cut-out declaration."""
     raw, code = F.col("raw"), F.col("code")

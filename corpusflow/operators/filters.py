@@ -70,5 +70,16 @@ def field_equals(df: DataFrame, field: str | None, value: object) -> DataFrame:
     return df.filter(actual == F.lit(text).try_cast(kind))
 
 
+def field_equals_by(df: DataFrame, field: str | None, by: str, values: dict[str, object]) -> DataFrame:
+    """`field_equals` with a value for each group, all groups having the field."""
+    if not field:
+        return df
+    actual, kind = F.col(field), df.schema[field].dataType.simpleString()
+    texts = {g: str(v).lower() if isinstance(v, bool) else str(v) for g, v in values.items() if v is not None}
+    entries = [F.lit(x) for pair in texts.items() for x in pair]
+    asked = F.try_element_at(F.create_map(*entries), F.col(by)) if entries else F.lit(None).cast("string")
+    return df.filter(F.when(asked.isNull(), actual.isNull()).otherwise(actual == asked.try_cast(kind)))
+
+
 def size_between(code: Column, low: int, high: int) -> Column:
     return F.length(code).between(low, high)

@@ -65,29 +65,53 @@ def attach_modules(files: DataFrame, manifests: DataFrame) -> DataFrame:
 
     Manifests are few next to directories and files. They are staged and counted; up to
     `MOST_MAPPED` they become one map per source, which every task gets as a constant, and a
-    file looks its ancestors up inside its row: contents are not shuffled. With more of them
-    the lookup runs over distinct directories as an equi-join, and only its result is joined.
+    file looks its ancestors up inside its row: nothing is shuffled. With more of them the
+    lookup runs over distinct directories as an equi-join, and its result is joined to the rows;
+    rows with long contents should then get it later, see `Lookup`.
     """
-    named = manifests.groupBy("source", "dir").agg(F.max("module").alias("module"))
-    named = stage(named, "manifests")
-    placed = files.withColumn("dir", tx.dirname(F.col("path")))
-    own = F.when(F.col("dir") == "", F.lit(".")).otherwise(F.col("dir"))
-    if named.count() <= MOST_MAPPED:
-        found = _mapped(placed, named)
-    else:
-        directories = placed.select("source", "dir").distinct()
-        lookup = stage(directory_modules(directories, named), "modules")
-        found = placed.join(lookup, ["source", "dir"], "left")
-    return found.withColumn("module_path", F.coalesce("module_path", own)).drop("dir")
-
-
-def _mapped(placed: DataFrame, manifests: DataFrame) -> DataFrame:
+    lookup = Lookup(manifests)
+    return lookup.by_map(files) if lookup.fits_map() else lookup.by_join(files, files)
+
+
+class Lookup:
+    """Module paths from manifests (source, dir, module), which are staged once."""
+
+    def __init__(self, manifests: DataFrame):
+        named = manifests.groupBy("source", "dir").agg(F.max("module").alias("module"))
+        self.manifests = stage(named, "manifests")
+
+    def fits_map(self) -> bool:
+        return self.manifests.count() <= MOST_MAPPED
+
+    def by_map(self, files: DataFrame, path: str = "path", source: str = "source") -> DataFrame:
+        """Files with their module_path, looked up inside the row."""
+        placed = files.withColumn("__dir", tx.dirname(F.col(path)))
+        return _named(_mapped(placed, self.manifests, source))
+
+    def by_join(self, rows: DataFrame, files: DataFrame, path: str = "path", source: str = "source") -> DataFrame:
+        """Rows that name a file, with its module_path. Of the files (source, path, …) nothing but
+        distinct directories is looked up, and of the rows whatever columns they have is joined,
+        so this is for rows without file contents."""
+        directories = files.select("source", tx.dirname(F.col("path")).alias("dir")).distinct()
+        found = stage(directory_modules(directories, self.manifests), "modules")
+        placed = rows.withColumn("__dir", tx.dirname(F.col(path)))
+        named = found.select(F.col("source").alias("__source"), F.col("dir").alias("__at"), "module_path")
+        joined = placed.join(named, (F.col(source) == F.col("__source")) & (F.col("__dir") == F.col("__at")), "left")
+        return _named(joined.drop("__source", "__at"))
+
+
+def _named(placed: DataFrame) -> DataFrame:
+    own = F.when(F.col("__dir") == "", F.lit(".")).otherwise(F.col("__dir"))
+    return placed.withColumn("module_path", F.coalesce("module_path", own)).drop("__dir")
+
+
+def _mapped(placed: DataFrame, manifests: DataFrame, source: str) -> DataFrame:
     per_source = manifests.groupBy("source").agg(
         F.map_from_entries(F.collect_list(F.struct("dir", "module"))).alias("modules")
     )
     every = per_source.agg(F.map_from_entries(F.collect_list(F.struct("source", "modules")))).scalar()
-    looked = placed.withColumn("__modules", F.try_element_at(every, F.col("source")))
-    known = F.filter(ancestors(F.col("dir")), lambda a: F.map_contains_key(F.col("__modules"), a))
+    looked = placed.withColumn("__modules", F.try_element_at(every, F.col(source)))
+    known = F.filter(ancestors(F.col("__dir")), lambda a: F.map_contains_key(F.col("__modules"), a))
     looked = looked.withColumn("__above", F.try_element_at(known, F.lit(-1)))
     module = F.try_element_at(F.col("__modules"), F.col("__above"))
-    return looked.withColumn("module_path", _below(F.col("__above"), F.col("dir"), module)).drop("__modules", "__above")
+    return looked.withColumn("module_path", _below(F.col("__above"), F.col("__dir"), module)).drop("__modules", "__above")

@@ -111,19 +111,30 @@ def cap(df: DataFrame, key: str, limit: int, seed: int) -> DataFrame:
 
 
 def cap_per_group(df: DataFrame, by: str, key: str, limit: int, seed: int) -> DataFrame:
-    """At most `limit` rows of each group, chosen by hash.
+    """At most `limit` rows of each group, chosen by hash."""
+    if not limit:
+        return df
+    return _capped(df, by, F.col(key), df.select(by, key), F.lit(limit), seed)
+
+
+def cap_groups(df: DataFrame, by: str, key: Column, among: DataFrame, limits: dict[str, int], seed: int) -> DataFrame:
+    """The rows that caps of the groups in `limits` on the keys `among` (group, key) keep. Other
+    groups keep all. The caps of all groups come from one histogram."""
+    pairs = [F.lit(x) for name, limit in limits.items() for x in (name, int(limit))]
+    no_limit = F.lit((1 << 63) - 1)
+    return _capped(df, by, key, among, F.coalesce(F.try_element_at(F.create_map(*pairs), F.col(by)), no_limit), seed)
 
-    Edges and cuts have one row per group. They are written to the shared folder, so Spark
+
+def _capped(df: DataFrame, by: str, key: Column, among: DataFrame, limit: Column, seed: int) -> DataFrame:
+    """Edges and cuts have one row per group. They are written to the shared folder, so Spark
     knows their size: below its threshold it broadcasts them and no row of `df` moves,
     above it adaptive execution splits a hot group over tasks.
     """
-    if not limit:
-        return df
-    narrow = _hashed(df, key, seed, "cap", (by,))
-    edges = stage(_edges(narrow, F.lit(limit), (by,)), "edges")
+    narrow = _hashed(among, among.columns[1], seed, "cap", (by,))
+    edges = stage(_edges(narrow, limit.cast("bigint"), (by,)), "edges")
     cuts = stage(_cut(narrow.join(edges, [by, "b"]), (by,)), "cuts")
     joined = df.join(cuts, by, "left")
-    place, split = _place(F.col(key), seed, "cap"), F.col("some") < F.col("rows")
+    place, split = _place(key, seed, "cap"), F.col("some") < F.col("rows")
     at_cut = F.coalesce((place == F.col("cut")) & split, F.lit(False))
     kept = joined.filter((F.col("cut").isNull() | (place <= F.col("cut"))) & ~at_cut)
     if not cuts.filter("some < rows").isEmpty():

@@ -145,16 +145,37 @@ def pairs(origin: str) -> str:
       AND trim(u.text, {SPACE}) <> '' AND trim(a.text, {SPACE}) <> ''"""
 
 
-def landed_pairs() -> str:
-    """Ids of the landed turn pairs, from all fields of their rows; some rows come twice."""
+def landed_fields() -> str:
+    """All fields of a landed turn pair as text, from which its key is made."""
     fields = []
     for side in ("u.text", "a.text"):
         for i in range(3):
             value = f"CASE WHEN u.conv_id % 3 = {i} THEN ' ' || {side} || {NL} WHEN u.conv_id % 3 > {i} THEN early END"
             fields.append(f"CASE WHEN ({value}) IS NULL THEN '-' ELSE length({value}) || ':' || ({value}) END")
+    return " || ".join(fields)
+
+
+def capped_pairs(name: str, last: str, language: str, cap: int) -> str:
+    """Question and answer of the pairs with this value of the filter field, `cap` of them by the
+    hash of their ids."""
+    early = "CASE WHEN conv_id % 7 = 3 THEN ' ' || chr(9) WHEN conv_id % 2 = 0 THEN '' END"
+    return f"""
+    SELECT question, answer FROM (
+      SELECT *, row_number() OVER (ORDER BY {hashed('cap', 'example_id')}, example_id) AS r FROM (
+        SELECT '{name}|' || md5({landed_fields()} || '{len(language)}:{language}') AS example_id,
+          trim(u.text, {SPACE}) AS question, trim(a.text, {SPACE}) AS answer
+        FROM (SELECT *, {early} AS early FROM conversations) u JOIN conversations a
+          ON a.conv_id = u.conv_id AND a.turn = u.turn + 1 AND a.role = 'assistant'
+        WHERE u.role = 'user' AND NOT (u.conv_id % 3 > 0 AND u.conv_id % 7 = 3) AND u.turn % 10 IN ({last})
+          AND trim(u.text, {SPACE}) <> '' AND trim(a.text, {SPACE}) <> ''))
+    WHERE r <= {cap}"""
+
+
+def landed_pairs() -> str:
+    """Ids of the landed turn pairs, from all fields of their rows; some rows come twice."""
     early = "CASE WHEN conv_id % 7 = 3 THEN ' ' || chr(9) WHEN conv_id % 2 = 0 THEN '' END"
     return f"""
-    SELECT 'landed|' || md5({' || '.join(fields)}) AS example_id
+    SELECT 'landed|' || md5({landed_fields()}) AS example_id
     FROM (SELECT *, {early} AS early FROM conversations) u JOIN conversations a
       ON a.conv_id = u.conv_id AND a.turn = u.turn + 1 AND a.role = 'assistant',
       range(2) AS copies(copy)
@@ -358,12 +379,13 @@ type_doc AS (
       {fill(W.members, count='sz', label=f"(CASE WHEN kind = 'type_struct' THEN '{W.fields_label}' ELSE '{W.methods_label}' END)")} END AS answer
   FROM sized WHERE kind LIKE 'type_%' AND doc_comment <> ''
     AND {kept('type_documentation', 'uid', CFG.weight('type_documentation'))})"""
+FIRST_LINE = "file_path || '|' || lpad(line_number::varchar, 12, '0')"
 PACKAGES = f"""
 packed AS (
   SELECT project_name, module_path, package_name, count(*) AS n,
     count(*) FILTER (WHERE exported AND kind LIKE 'type_%') AS n_types,
     count(*) FILTER (WHERE exported AND kind IN ('func', 'method')) AS n_functions,
-    arg_min(doc_comment, file_path || '|' || lpad(line_number::varchar, 12, '0')) FILTER (WHERE doc_comment <> '') AS doc,
+    arg_min(doc_comment, (CASE WHEN kind = 'func' AND name = 'init' THEN '' ELSE '|' END) || {FIRST_LINE}) FILTER (WHERE doc_comment <> '') AS doc,
     list_sort(list(DISTINCT file_path)) AS paths,
     list(name ORDER BY file_path, line_number) FILTER (WHERE exported AND kind LIKE 'type_%') AS types,
     list(name ORDER BY file_path, line_number) FILTER (WHERE exported AND kind IN ('func', 'method')) AS functions
@@ -393,6 +415,17 @@ CODE_SQL = {
     "complete_code": f"WITH {UNITS}, {COMPLETE} SELECT * FROM complete",
     "document_type": f"WITH {UNITS}, {TYPE_DOC} SELECT * FROM type_doc",
     "package_overview": f"WITH {UNITS}, {PACKAGES} SELECT * FROM overview",
+    "wide_packages": f"""
+        WITH base AS (SELECT p_partkey AS k, p_type, p_name, p_partkey % 997 = 0 AND length(p_type) % 2 = 0 AS init FROM part),
+        units AS (
+          SELECT CASE WHEN init THEN 'func' ELSE ['func', 'method', 'type_struct', 'type_interface', 'type_alias'][k % 5 + 1] END AS kind,
+            CASE WHEN init THEN 'init' ELSE 'N' || k END AS name, 'wide' AS package_name,
+            'example.org/' || lower(p_type) AS module_path,
+            'wide/' || CASE WHEN init THEN 'z' ELSE 'f' END || lpad((k % 40)::varchar, 2, '0') || '.go' AS file_path,
+            p_type AS project_name, CASE WHEN init OR k % 3 = 0 THEN 'About ' || p_name || ' ' || k ELSE '' END AS doc_comment,
+            k AS line_number, NOT init AND k % 7 <> 0 AS exported
+          FROM base), {PACKAGES}
+        SELECT * FROM overview""",
 }
 
 # ---- paths, sources ----
@@ -473,6 +506,12 @@ everything AS (
   UNION ALL {_triples('section_examples', 'section', 'spec_explanation')}
   UNION ALL {_triples('qa', 'qa', 'qa')}
   UNION ALL SELECT example_id, 'chats', 'messages', text FROM rendered)"""
+DATASETS = f"""
+dataset_rows AS (
+  SELECT origin, {CHAT_TEXT} AS text FROM (
+    SELECT 'capped' AS origin, question, answer FROM ({capped_pairs('capped', '0, 4', 'go', q.CAP_PAIRS)})
+    UNION ALL SELECT 'other', question, answer FROM ({pairs('other')}) WHERE turn % 10 = 2
+    UNION ALL SELECT 'plain', question, answer FROM ({pairs('plain')}) WHERE turn % 10 = 6))"""
 CORPUS_SQL = {
     "origin_totals": f"""
         WITH {ALL} SELECT CASE WHEN grouping(origin) = 1 THEN 'total' ELSE origin END AS origin, count(*) AS examples
@@ -480,6 +519,20 @@ CORPUS_SQL = {
     "corpus_build": f"""
         WITH {ALL} SELECT example_id, origin, example_type, split, text FROM ({split_of('example_id', 'everything')})""",
     "corpus_job": f"WITH {ALL} SELECT text FROM everything WHERE origin <> 'chats'",
+    "corpus_datasets": f"""
+        WITH {ALL}, {DATASETS} SELECT text FROM everything WHERE origin <> 'qa'
+        UNION ALL SELECT text FROM dataset_rows""",
+    "corpus_counts": f"""
+        WITH {ALL}, {DATASETS}, made AS (
+          SELECT origin FROM everything WHERE origin <> 'qa' UNION ALL SELECT origin FROM dataset_rows),
+        total AS (SELECT count(*) AS n, greatest(1, floor({c.VALIDATION_SHARE} * count(*))::bigint) AS val FROM made)
+        SELECT 'examples' AS part, CASE WHEN grouping(origin) = 1 THEN 'total' ELSE origin END AS name, count(*) AS rows
+        FROM made GROUP BY ROLLUP (origin)
+        UNION ALL SELECT 'written', 'train', n - val FROM total
+        UNION ALL SELECT 'written', 'val', val FROM total
+        UNION ALL SELECT 'written', 'units', count(*) FROM units
+        UNION ALL SELECT 'files', 'code_files', count(DISTINCT (p_type, p_brand, p_partkey // {PART_KEYS_PER_FILE})) FROM part
+        UNION ALL SELECT 'files', unnest(['unbalanced_files', 'unclosed_declarations', 'undecodable_files']), 0""",
     "corpus_stats": f"""
         WITH {UNITS}, {SECTIONS}
         SELECT 'units' AS what, count(DISTINCT project_name) AS sources, count(*) AS found FROM units
@@ -505,6 +558,27 @@ TEXT_SQL = {
     "tree_scan": """
         SELECT 'source=' || source AS dir, line, count(*) AS n
         FROM (SELECT source, unnest(string_split(text, chr(10))) AS line FROM documents) WHERE line <> '' GROUP BY ALL""",
+    "tree_corpus": f"""
+        WITH {UNITS}, {SECTIONS},
+        moved(package_name, here, there) AS (VALUES
+          ('brand21', 'pkg/brand_21', 'pkg/_brand_21'), ('brand31', 'pkg/brand_31', '.ci/brand_31'),
+          ('brand41', '/part', '/_part'), ('brand32', '/part', '/.part'))
+        SELECT 'unit' AS what, project_name AS source, replace(file_path, coalesce(here, '?'), coalesce(there, '?')) AS path,
+          replace(module_path, coalesce(here, '?'), coalesce(there, '?')) AS owner, kind, name, line_number AS place
+        FROM units LEFT JOIN moved USING (package_name)
+        UNION ALL SELECT DISTINCT 'unit', p_type, 'pkg/open.go',
+          CASE WHEN p_type = 'PROMO' THEN 'pkg' ELSE 'example.org/' || lower(p_type) || '/pkg' END, 'func', 'Kept', 8 FROM part
+        UNION ALL SELECT 'section', 'handbook', source_name || '/' || CASE WHEN file_path LIKE '%3.md'
+            THEN '_more/' || file_path[6:-4] || '.MD' ELSE file_path END, 'handbook', 'h' || level, title, position FROM sections""",
+    "tree_faults": f"""
+        WITH files AS (SELECT DISTINCT p_type, p_brand, p_partkey // {PART_KEYS_PER_FILE} AS n FROM part),
+        planted AS (SELECT count(DISTINCT p_type) AS n FROM part)
+        SELECT 'code_files' AS what, (SELECT count(*) FROM files) + 2 * n AS files FROM planted
+        UNION ALL SELECT 'undecodable_files', count(*) FROM files WHERE p_brand = 'Brand#12'
+        UNION ALL SELECT 'unbalanced_files', n FROM planted
+        UNION ALL SELECT 'unclosed_declarations', n FROM planted
+        UNION ALL SELECT 'oversized_files', n FROM planted
+        UNION ALL SELECT unnest(['unreadable_files', 'unreadable_folders']), 0""",
 }
 
 METRICS = """

@@ -27,6 +27,7 @@ from corpusflow.operators import (
     stats,
     turns,
 )
+from corpusflow.operators.accounts import Accounts
 from corpusflow.plans import corpus, rendered
 from corpusflow.sources import catalog, files, rows, sinks
 from corpusflow.sources.scratch import scratch_dir, stage
@@ -56,6 +57,7 @@ KEEP_WEIGHT = 0.3
 CAP_PER_SOURCE = 20
 CAP_TOTAL = 300
 CAP_DATASET = 120
+CAP_PAIRS = 25
 PREFIX_ROWS = 150
 CHUNK = 100_000
 
@@ -338,6 +340,12 @@ def package_overview(spark, sf_dir):
     return _question_answer(packages.package_examples(units, CONFIG))
 
 
+@query
+def wide_packages(spark, sf_dir):
+    """Packages with more files and names than an overview lists, some with a documented init."""
+    return _question_answer(packages.package_examples(rendered.package_units(spark, sf_dir), CONFIG))
+
+
 # ---- paths, sources ----
 
 
@@ -469,6 +477,55 @@ def corpus_job(spark, sf_dir):
     return spark.read.schema("text string").json(f"{root}/views/text").select("text")
 
 
+def _landed_job(spark: SparkSession, sf_dir: str, root: str) -> CorpusConfig:
+    """Files with foreign newlines, chats and four datasets, landed; the settings that read them."""
+    code = rendered.source_tree(spark, sf_dir).select("source", "path", "content")
+    folded = code.withColumn("content", F.replace("content", F.lit("\n"), F.lit("\r\n")))
+    manifest = rendered.manifests(spark, sf_dir).select("source", "path", "content")
+    text = rendered.markdown(spark, sf_dir).select("source", "path", "content")
+    folded.unionByName(manifest).unionByName(text).write.parquet(f"{root}/files")
+    pair_rows = rendered.pair_rows(spark, sf_dir, "qa").withColumn("last", F.substring("row_key", -1, 1))
+    language = F.when(F.col("last").isin("0", "4"), F.lit("go")).when(F.col("last") == "2", F.lit("rs"))
+    for name in ("capped", "other", "plain"):
+        chosen = pair_rows.filter(F.col("last") == "6") if name == "plain" else pair_rows.withColumn("lang", language)
+        chosen.drop("row_key", "last").write.json(f"{root}/{name}")
+    turns_in = rendered.table(spark, sf_dir, "conversations")
+    normalize.nest_turns(turns_in, "conv_id", "turn", "role", "text").select("messages").write.json(f"{root}/chats")
+    datasets = (
+        DatasetConfig("capped", f"{root}/capped", "table", "qa", "json", CAP_PAIRS, filter_field="lang", filter_value="go"),
+        DatasetConfig("other", f"{root}/other", "table", "qa", "json", filter_field="lang", filter_value="rs"),
+        DatasetConfig("plain", f"{root}/plain", "table", "qa", "json"),
+        DatasetConfig("odd", f"{root}/plain", "graph"),
+        DatasetConfig("chats", f"{root}/chats", "table", "messages", "json"),
+    )
+    names = rendered.table(spark, sf_dir, "part").select("p_type").distinct().collect()
+    listed = tuple(SourceConfig(name=r["p_type"], path="") for r in names)
+    specs = tuple(SourceConfig(f"src{i}", "", "spec", f"Handbook src{i}") for i in range(20))
+    return replace(CONFIG, sources=listed + specs, datasets=datasets, landed_files=f"{root}/files")
+
+
+@query
+def corpus_datasets(spark, sf_dir):
+    """The whole job in its default order with datasets of all kinds: capped and filtered, filtered,
+    plain, unknown, chats. It runs twice into one folder; the second run replaces the first."""
+    root = scratch_dir(spark, "job")
+    config = _landed_job(spark, sf_dir, root)
+    corpus.run_corpus(spark, replace(config, sources=()), f"{root}/out", ordered=False)
+    corpus.run_corpus(spark, config, f"{root}/out")
+    corpus.run_training_views(spark, f"{root}/out", f"{root}/views")
+    return spark.read.schema("text string").json(f"{root}/views/text").select("text")
+
+
+@query
+def corpus_counts(spark, sf_dir):
+    """What the job says it made: examples per origin, rows written, and files that looked odd."""
+    root = scratch_dir(spark, "job")
+    accounts = Accounts()
+    made = corpus.run_corpus(spark, _landed_job(spark, sf_dir, root), f"{root}/out", ordered=False, accounts=accounts)
+    rows_out = [(part, name, n) for part, counts in {**made, "files": accounts.totals()}.items() for name, n in counts.items()]
+    return spark.createDataFrame(rows_out, "part string, name string, rows bigint")
+
+
 @query
 def corpus_stats(spark, sf_dir):
     units = stats.code_stats(_units(spark, sf_dir)).select("source", F.col("units").alias("found"))
@@ -526,6 +583,40 @@ def tree_scan(spark, sf_dir):
     return found.filter(F.col("line") != "").groupBy("dir", "line").agg(F.count("*").alias("n"))
 
 
+def _tree_config(spark: SparkSession, sf_dir: str) -> CorpusConfig:
+    """The rendered tree written as files, and the settings that read it."""
+    root = scratch_dir(spark, "trees")
+    rendered.write_files(rendered.odd_tree(spark, sf_dir), f"{root}/code")
+    rendered.write_files(rendered.odd_documents(spark, sf_dir), f"{root}/docs")
+    names = rendered.table(spark, sf_dir, "part").select("p_type").distinct().collect()
+    code = [SourceConfig(r["p_type"], f"{root}/code/{r['p_type']}") for r in names]
+    sources = (*code, SourceConfig("handbook", f"{root}/docs", "spec"), SourceConfig("gone", f"{root}/gone"))
+    return replace(CONFIG, sources=sources, max_file_bytes=rendered.TREE_FILE_BYTES)
+
+
+@query
+def tree_corpus(spark, sf_dir):
+    """Units and sections of written trees with hidden, blank, broken, too large and foreign files."""
+    units, found = corpus.read_sources(spark, _tree_config(spark, sf_dir))
+    code = units.select(
+        F.lit("unit").alias("what"), F.col("project_name").alias("source"), F.col("file_path").alias("path"),
+        F.col("module_path").alias("owner"), "kind", "name", F.col("line_number").cast("bigint").alias("place"),
+    )
+    text = found.select(
+        F.lit("section"), "source_name", "file_path", "domain", F.concat(F.lit("h"), "level"), "title", F.col("position").cast("bigint")
+    )
+    return code.union(text)
+
+
+@query
+def tree_faults(spark, sf_dir):
+    """What the statistics job counts in those trees besides units."""
+    accounts = Accounts()
+    code, _ = corpus.run_stats(spark, _tree_config(spark, sf_dir), accounts)
+    stage(code, "stats")
+    return spark.createDataFrame(list(accounts.totals().items()), "what string, files bigint")
+
+
 @query
 def split_sink(spark, sf_dir):
     """Split examples written as JSON lines and read back."""

@@ -6,9 +6,13 @@ that every query reads whole tables and grows with them.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusflow.sources import walk
+
 # Rows of a rendered code file come from at most this many consecutive part keys.
 PART_KEYS_PER_FILE = 3000
 
@@ -149,6 +153,89 @@ def manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nested.unionByName(root)
 
 
+#: Planted files of a written tree are larger than this.
+TREE_FILE_BYTES = 4_000_000
+# A bracket that stays open, a function that never closes, and one that does.
+BROKEN_FILE = "package open\n\nvar x = (1\n\nfunc Broken() {\n\tif x {\n\nfunc Kept() {\n\tkept()\n}\n"
+
+
+def odd_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The source tree as files (source, path, content as bytes) of all kinds: some in folders or
+    under names that begin with '_' or '.', some with other newlines or a bad byte, manifests, and
+    in each source a blank file, one with broken brackets and one that is too large."""
+    path, code = F.col("path"), F.col("content")
+    moved = path
+    for here, there in (
+        ("pkg/brand_21/", "pkg/_brand_21/"), ("pkg/brand_31/", ".ci/brand_31/"),
+        ("brand_41/part", "brand_41/_part"), ("brand_32/part", "brand_32/.part"),
+    ):
+        moved = F.replace(moved, F.lit(here), F.lit(there))
+    folded = F.when(path.contains("brand_51/"), F.replace(code, F.lit("\n"), F.lit("\r\n"))).otherwise(code)
+    bad = F.when(path.contains("brand_12/"), F.unhex(F.lit("2F2FFF0A"))).otherwise(F.unhex(F.lit("")))
+    made = source_tree(spark, sf_dir).select(
+        "source", moved.alias("path"), F.concat(F.encode(folded, "UTF-8"), bad).alias("content")
+    )
+    planted = F.array(
+        F.struct(F.lit("pkg/blank.go").alias("path"), F.lit(" \n\t\n").alias("text")),
+        F.struct(F.lit("pkg/open.go").alias("path"), F.lit(BROKEN_FILE).alias("text")),
+        F.struct(F.lit("pkg/large.go").alias("path"), F.repeat(F.lit("// large\n"), F.lit(TREE_FILE_BYTES // 9 + 1)).alias("text")),
+    )
+    sources = table(spark, sf_dir, "part").select(F.col("p_type").alias("source")).distinct()
+    more = sources.select("source", F.inline(planted)).select("source", "path", F.encode("text", "UTF-8").alias("content"))
+    found = manifests(spark, sf_dir).select("source", "path", F.encode("content", "UTF-8").alias("content"))
+    return made.unionByName(more).unionByName(found)
+
+
+def odd_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The Markdown documents as files, each tenth in a folder and under a suffix of its own."""
+    path = F.when(
+        F.col("path").rlike(r"3\.md$"), F.regexp_replace("path", r"^docs/(.*)\.md$", "_more/$1.MD")
+    ).otherwise(F.col("path"))
+    return markdown(spark, sf_dir).select("source", path.alias("path"), F.encode("content", "UTF-8").alias("content"))
+
+
+def write_files(files: DataFrame, root: str) -> int:
+    """Files (source, path, content) written below a folder the executors share, each by the task
+    that has its row. Returns their number."""
+    address, base = walk.arrow_path(root)
+
+    def written(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+        from pyarrow import fs
+
+        system = fs.FileSystem.from_uri(address)[0] if address else fs.LocalFileSystem()
+        for batch in batches:
+            for source, path, content in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                place = f"{base}/{source}/{path}"
+                system.create_dir(place.rsplit("/", 1)[0], recursive=True)
+                with system.open_output_stream(place) as out:
+                    out.write(content)
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], ["files"])
+
+    done = files.select("source", "path", "content").mapInArrow(written, "files bigint")
+    return done.agg(F.coalesce(F.sum("files"), F.lit(0)).alias("n")).first()["n"]
+
+
+def package_units(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """part as units of few packages, each with many files and names. Every other package has a
+    documented init function, in its last file."""
+    k, rank = F.col("p_partkey"), F.col("p_partkey") % 40
+    is_init = (F.col("p_partkey") % 997 == 0) & (F.length("p_type") % 2 == 0)
+    kinds = ["func", "method", "type_struct", "type_interface", "type_alias"]
+    kind = F.element_at(F.array(*[F.lit(x) for x in kinds]), (k % 5 + 1).cast("int"))
+    return table(spark, sf_dir, "part").select(
+        F.when(is_init, F.lit("func")).otherwise(kind).alias("kind"),
+        F.when(is_init, F.lit("init")).otherwise(F.concat(F.lit("N"), k)).alias("name"),
+        F.lit("wide").alias("package_name"),
+        F.concat(F.lit("example.org/"), F.lower("p_type")).alias("module_path"),
+        F.concat(F.lit("wide/"), F.when(is_init, F.lit("z")).otherwise(F.lit("f")), F.lpad(rank.cast("string"), 2, "0"), F.lit(".go")).alias("file_path"),
+        F.col("p_type").alias("project_name"),
+        F.when(is_init | (k % 3 == 0), F.concat_ws(" ", F.lit("About"), "p_name", k)).otherwise(F.lit("")).alias("doc_comment"),
+        k.cast("int").alias("line_number"),
+        (~is_init & (k % 7 != 0)).alias("exported"),
+    )
+
+
 def turn_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each user turn with the assistant turn right after it (conv_id, turn, asked, told)."""
     turns = table(spark, sf_dir, "conversations")

@@ -19,6 +19,8 @@ def source_table(spark: SparkSession, sources: Iterable[SourceConfig]) -> DataFr
         )
         for s in sources
     ]
+    if not entries:
+        return spark.createDataFrame([], "source string, type string, domain string")
     return spark.range(1).select(F.inline(F.array(*entries)))
 
 

@@ -1,4 +1,8 @@
-"""Source trees as rows (source, path, content), one row per file."""
+"""Source trees as rows (source, path, content), one row per file.
+
+Spark's own reader lists and reads what it sees. Files it leaves out for their names are listed
+and read inside tasks; see `walk`.
+"""
 
 from __future__ import annotations
 
@@ -7,13 +11,15 @@ import fnmatch
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusflow.config import MAX_FILE_BYTES
 from corpusflow.functions import text as tx
 from corpusflow.operators.filters import is_markdown_path
 from corpusflow.operators.modules import MANIFEST, read_manifests
+from corpusflow.sources import walk
 from corpusflow.sources.scratch import scratch_dir
 
 FILE_SCHEMA = "source string, path string, content string"
-MAX_FILE_BYTES = 2_000_000_000
+CODE, MARKDOWN = "*.go", "*.[mM][dD]"
 #: Put before hidden names in scratch copies.
 HIDDEN = "corpusflow-hidden-"
 
@@ -48,11 +54,14 @@ def hidden_entries(spark: SparkSession, root: str) -> tuple[list[str], list[str]
         escaped += "/*"
 
 
-def oversized_files(spark: SparkSession, root: str) -> DataFrame:
+def oversized_files(spark: SparkSession, root: str, most_bytes: int | None = None) -> DataFrame:
     """Paths and lengths of the files that a scan skips because one row can't hold them."""
-    folders, _ = hidden_entries(spark, root)
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
-    return reader.load([root, *folders]).select("path", "length").filter(F.col("length") > MAX_FILE_BYTES)
+    if walk.can_open(qualified(spark, root)):
+        listed = walk.walk(spark, qualified(spark, root)).select("path", "length")
+    else:
+        folders, _ = hidden_entries(spark, root)
+        listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load([root, *folders]).select("path", "length")
+    return listed.filter(F.col("length") > (most_bytes or MAX_FILE_BYTES))
 
 
 def _visible_copies(spark: SparkSession, plain: list[str], root: str, glob: str | None) -> list[str]:
@@ -74,29 +83,58 @@ def _visible_copies(spark: SparkSession, plain: list[str], root: str, glob: str
     return [base]
 
 
-def scan_tree(spark: SparkSession, root: str, source: str, glob: str | None = None) -> DataFrame:
+def scan_tree(
+    spark: SparkSession,
+    root: str,
+    source: str,
+    glob: str | None = None,
+    listed: DataFrame | None = None,
+    most_bytes: int | None = None,
+    sound: bool = False,
+) -> DataFrame:
     """All files below a folder, text decoded tolerantly, path relative to the folder.
 
-    The name glob is applied while listing. Content is read only if a later step uses it.
-    Folders whose name starts with '_' or '.' are scanned too. Spark's reader refuses files with
-    such names; those that fit the glob are copied under a visible name first. Files longer than
-    a row can be (2 GB) are skipped; `oversized_files` lists them.
+    The name glob is applied while listing. Content is read only if a later step uses it. Folders
+    and files with names that Spark's reader leaves out are listed and read by tasks; `listed` is
+    the result of `walk.walk` where several scans share it. On file systems that only Spark can
+    open such folders are passed to it by name, and such files are copied to a visible name first.
+
+    Files longer than `most_bytes` (by default what a row can hold) are skipped, and so are files
+    that are gone or broken when they are read; `listed_counts` tells how many there are. `sound` adds a column
+    that is false where bytes weren't valid UTF-8.
     """
-    folders, plain = hidden_entries(spark, root)
+    base, most_bytes = qualified(spark, root), most_bytes or MAX_FILE_BYTES
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    reader = reader.option("ignoreMissingFiles", True).option("ignoreCorruptFiles", True)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    made = _relative(spark, reader.load([root, *folders]), root, source)
-    if copies := _visible_copies(spark, plain, root, glob):
-        reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
-        shown = _relative(spark, reader.load(copies), copies[0], source)
-        made = made.unionByName(shown.withColumn("path", F.regexp_replace("path", HIDDEN, "")))
-    return made
+    if not walk.can_open(base):
+        folders, plain = hidden_entries(spark, root)
+        made = _relative(spark, reader.load([root, *folders]), root, source, most_bytes, sound)
+        if copies := _visible_copies(spark, plain, root, glob):
+            reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+            shown = _relative(spark, reader.load(copies), copies[0], source, most_bytes, sound)
+            made = made.unionByName(shown.withColumn("path", F.regexp_replace("path", HIDDEN, "")))
+        return made
+    made = _relative(spark, reader.load([root]), root, source, most_bytes, sound)
+    listed = walk.walk(spark, base) if listed is None else listed
+    unseen = listed.filter(F.col("hidden") & (F.col("status") == walk.LISTED) & (F.col("length") <= most_bytes))
+    if glob:
+        unseen = unseen.filter(tx.basename(F.col("path")).rlike(tx.glob_regex([glob])))
+    if unseen.isEmpty():
+        return made
+    read = walk.read_listed(spark, base, unseen, most_bytes).filter(F.col("status") == walk.READ)
+    return made.unionByName(read.select(F.lit(source).alias("source"), "path", *_decoded(sound)))
+
 
+def _decoded(sound: bool) -> list:
+    text = [tx.decode_text(F.col("content")).alias("content")]
+    return [*text, F.is_valid_utf8(F.col("content").cast("string")).alias("sound")] if sound else text
 
-def _relative(spark: SparkSession, found: DataFrame, root: str, source: str) -> DataFrame:
+
+def _relative(spark: SparkSession, found: DataFrame, root: str, source: str, most_bytes: int, sound: bool) -> DataFrame:
     base = qualified(spark, root)
-    return found.filter(F.col("length") <= MAX_FILE_BYTES).select(
+    return found.filter(F.col("length") <= most_bytes).select(
         F.lit(source).alias("source"),
         # Spark reports 'file:/x' and Hadoop may say 'file:///x'; both have one '/' + the rest.
         F.substring(
@@ -104,8 +142,21 @@ def _relative(spark: SparkSession, found: DataFrame, root: str, source: str) ->
             F.lit(len(_single_slash(base)) + 2),
             F.length("path"),
         ).alias("path"),
-        tx.decode_text(F.col("content")).alias("content"),
+        *_decoded(sound),
+    )
+
+
+def listed_counts(listed: DataFrame, glob: str, most_bytes: int | None = None) -> dict[str, int]:
+    """Of listed names (see `walk.walk`) that fit the glob: `readable` ones, those that are
+    `oversized`, and folders that couldn't be listed, `unreadable`."""
+    fits = tx.basename(F.col("path")).rlike(tx.glob_regex([glob])) & (F.col("status") == walk.LISTED)
+    large = F.col("length") > (most_bytes or MAX_FILE_BYTES)
+    counted = listed.agg(
+        F.count_if(fits & ~large).alias("readable"),
+        F.count_if(fits & large).alias("oversized"),
+        F.count_if(F.col("status") == walk.UNREADABLE).alias("unreadable"),
     )
+    return counted.first().asDict()
 
 
 def _single_slash(path: str) -> str:
@@ -113,14 +164,14 @@ def _single_slash(path: str) -> str:
     return f"{scheme}:/{rest.lstrip('/')}" if colon else path
 
 
-def scan_code(spark: SparkSession, root: str, source: str) -> DataFrame:
-    return scan_tree(spark, root, source, "*.go")
+def scan_code(spark: SparkSession, root: str, source: str, **options) -> DataFrame:
+    return scan_tree(spark, root, source, CODE, **options)
 
 
-def scan_manifests(spark: SparkSession, root: str, source: str) -> DataFrame:
-    return read_manifests(scan_tree(spark, root, source, MANIFEST))
+def scan_manifests(spark: SparkSession, root: str, source: str, **options) -> DataFrame:
+    return read_manifests(scan_tree(spark, root, source, MANIFEST, **options))
 
 
-def scan_markdown(spark: SparkSession, root: str, source: str) -> DataFrame:
+def scan_markdown(spark: SparkSession, root: str, source: str, **options) -> DataFrame:
     """Markdown files; the suffix may be in any case, which the listing glob can spell out."""
-    return scan_tree(spark, root, source, "*.[mM][dD]").filter(is_markdown_path(F.col("path")))
+    return scan_tree(spark, root, source, MARKDOWN, **options).filter(is_markdown_path(F.col("path")))
