@@ -313,20 +313,79 @@ def cell_links(members: DataFrame, hubs: DataFrame, sketched: DataFrame, texts:
 def near_duplicates(
     docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY
 ) -> DataFrame:
-    """(key bigint, class_id bigint, wordless boolean): the class is named by its smallest key.
+    """One row for each key and text: key (bigint), class_id (bigint), wordless, kept (boolean),
+    digest and class_digest (string).
 
     Two documents are linked if the weighted Jaccard similarity of their multisets of five-word
     shingles is at least `similarity`; classes are the connected components. Documents with the
     same words are always of one class; documents without a word are so if their texts are equal.
-    A null text is a class of its own. Rows with a null key are left out, and so are rows whose
-    key also names a different text; equal rows give one row. A pair at the threshold is missed with
-    probability 1e-7 at most: 7e-10 by 40 bands of 4 components, the rest by the comparison of 160.
+    A null text is a class of its own. A pair at the threshold is missed with probability 1e-7 at
+    most: 7e-10 by 40 bands of 4 components, the rest by the comparison of 160.
+
+    One row of each class is `kept`: that with the smallest key, of several such rows, or without
+    any key, that with the smallest digest. A class is named by that row: its key is the class_id,
+    its digest the class_digest. `digest`, the SHA-256 of the text, is there where the key alone
+    doesn't name the text: with null keys, and keys that several texts have. Rows alike in key and
+    text give one row. Further columns are not read.
     """
-    named = docs.select(F.col(key).cast("bigint").alias("id"), F.col(text).alias("t")).filter("id is not null")
-    texts = named.filter("t is not null")
+    named = docs.select(F.col(key).cast("bigint").alias("id"), F.col(text).alias("t"))
+    texts = named.filter("id is not null and t is not null")
     every = stage(texts.mapInArrow(signed, SIGNED), "signatures")
-    unclear = every.groupBy("id").agg(F.min("k1").alias("x"), F.max("k1").alias("y")).filter("x <> y").select("id")
-    clear = every.select("id", "k1", "k2", "wordless").distinct().join(unclear, "id", "left_anti")
+    several = every.groupBy("id").agg(F.min("k1").alias("x"), F.max("k1").alias("y")).filter("x <> y").select("id")
+    several = stage(several, "several-texts")
+    nameless = named.filter("id is null and t is not null")
+    if several.isEmpty() and nameless.isEmpty():
+        found = _found(every, texts, similarity)
+        kept = (F.col("id") == F.col("node")).alias("kept")
+        found = found.select("id", F.col("node").alias("class_id"), "wordless", kept, _none("digest"), _none("class_digest"))
+    else:
+        found = _found_by_content(named, every, texts, several, nameless, similarity)
+    alone = named.filter("t is null").distinct().select(
+        "id", F.col("id").alias("class_id"), F.lit(True).alias("wordless"), F.lit(True).alias("kept"), _none("digest"), _none("class_digest")
+    )
+    return found.unionByName(alone).withColumnRenamed("id", key)
+
+
+def _none(name: str) -> Column:
+    return F.lit(None).cast("string").alias(name)
+
+
+def _found_by_content(
+    named: DataFrame, every: DataFrame, texts: DataFrame, several: DataFrame, nameless: DataFrame, similarity: float
+) -> DataFrame:
+    """The same where some keys don't name a text: each text of theirs gets a number as its key,
+    beyond all keys there are."""
+    odd = texts.join(several, "id", "left_semi").unionByName(nameless).distinct()
+    odd = odd.withColumn("digest", F.sha2("t", 256))
+    low, high = named.agg(F.min("id"), F.max("id")).first()
+    number = F.monotonically_increasing_id()
+    if high is None or high < (1 << 62):
+        number = number + F.lit((high or 0) + 1)
+    elif low > -(1 << 62):
+        number = F.lit(low - 1) - number
+    else:
+        raise ValueError("no keys are left to number texts with")
+    odd = stage(odd.withColumn("number", number), "odd-texts")
+    numbered = odd.select(F.col("number").alias("id"), "t")
+    clear = every.join(several, "id", "left_anti")
+    signed_all = stage(clear.unionByName(numbered.mapInArrow(signed, SIGNED)), "signatures")
+    texts_all = texts.join(several, "id", "left_anti").unionByName(numbered)
+    found = _found(signed_all, texts_all, similarity).join(
+        odd.select(F.col("number").alias("id"), F.col("id").alias("own"), "digest"), "id", "left"
+    )
+    own = F.when(F.col("digest").isNull(), F.col("id")).otherwise(F.col("own"))
+    found = stage(found.select(own.alias("id"), "node", "wordless", "digest"), "members")
+    first = F.struct(F.col("id").isNull().alias("a"), F.col("id").alias("b"), F.coalesce("digest", F.lit("")).alias("c"))
+    names = found.groupBy("node").agg(F.min(first).alias("first"))
+    return found.withColumn("rank", first).join(names, "node").select(
+        "id", F.col("first.b").alias("class_id"), "wordless", (F.col("rank") == F.col("first")).alias("kept"), "digest",
+        F.nullif(F.col("first.c"), F.lit("")).alias("class_digest"),
+    )
+
+
+def _found(every: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """(id, node, wordless) of texts whose ids name them: node is the smallest id of the class."""
+    clear = every.select("id", "k1", "k2", "wordless").distinct()
     groups = stage(
         clear.groupBy("k1", "k2").agg(F.min("id").alias("node"), F.max("wordless").alias("wordless")), "nodes"
     )
@@ -335,11 +394,7 @@ def near_duplicates(
     buckets = nodes.select("id", F.explode(F.array_distinct("bands")).alias("bucket")).distinct()
     names = classes(stage(buckets, "buckets"), every.select("id", "size", "sketch", "bands"), texts, similarity)
     member = clear.join(groups.select("k1", "k2", "node"), ["k1", "k2"]).select("id", "node", "wordless")
-    alone = named.filter("t is null").select("id").distinct().join(every.select("id"), "id", "left_anti")
-    found = relabelled(member, "node", names) if names is not None else member
-    return found.unionByName(alone.select("id", F.col("id").alias("node"), F.lit(True).alias("wordless"))).select(
-        F.col("id").alias(key), F.col("node").alias("class_id"), "wordless"
-    )
+    return relabelled(member, "node", names) if names is not None else member
 
 
 def classes(buckets: DataFrame, sketched: DataFrame, texts: DataFrame, similarity: float) -> DataFrame | None:

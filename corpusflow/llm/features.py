@@ -81,18 +81,27 @@ def encoded(texts: pd.Series) -> list[bytes]:
 
 
 def scored(
-    df: DataFrame, text: str, into: str, extract: Extractor, weights: np.ndarray, link, known: np.ndarray | None = None
+    df: DataFrame, text: str, into: str, extract: Extractor, weights: np.ndarray, link, buckets: np.ndarray | None = None, bits: int = 0
 ) -> DataFrame:
-    """Add `link(text numbers, features, weights, texts)` of every text. Row-local."""
+    """Add `link(text numbers, features, weights, texts)` of every text. Row-local.
+
+    With `buckets`, the weights are those of these features alone, of 2 ** bits; they are sent as
+    pairs and spread out in the worker, and other features are not looked at.
+    """
 
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        known, table = None, weights
+        if buckets is not None:
+            table = np.zeros(1 << bits)
+            table[buckets] = weights
+            known = table != 0
         for texts in batches:
             data = encoded(texts)
             out = np.zeros(len(data))
             for a, b in slices([len(t) for t in data], BLOCK_BYTES):
                 owner, found = extract(data[a:b], known)
-                out[a:b] = link(owner, found, weights, b - a)
+                out[a:b] = link(owner, found, table, b - a)
             yield pd.Series(out)
 
     return df.withColumn(into, score(F.col(text)))

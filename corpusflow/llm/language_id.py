@@ -1,8 +1,14 @@
 """Language identification by compression: the language whose sample shrinks a text most.
 
 Each language has a raw-content zstandard dictionary, cut from a bounded sample of labelled rows.
-A text, in lower case, is compressed once with each; the smallest result names the language. Where the runner-up
-is nearly as small the answer is marked as rejected.
+A text, in lower case, is compressed once with each; the smallest result names the language. Where
+the runner-up is nearly as small the answer is marked as rejected.
+
+A longer dictionary holds more of any text, so results compare only between dictionaries of one
+size. Languages with enough labelled text have one size. A rare language, with less than half of
+the longest sample, challenges the best of the others: that one's dictionary is cut to the rare
+one's size for this comparison alone, so rare languages change nothing for the rest. A dictionary of a
+few rows tells little; below `LEAST_BYTES` it has to win clearly.
 """
 
 from __future__ import annotations
@@ -11,11 +17,12 @@ import functools
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 UNDETERMINED = "und"
 LEAST_BYTES = 16_384
+CLEAR_MARGIN = 0.05
 
 
 def learn(
@@ -40,9 +47,8 @@ def learn(
     if not rows:
         return {}
     draw = F.pmod(F.xxhash64(F.col("k"), F.lit("language sample")), F.lit(1 << 30))
-    share: Column = F.lit(0)
-    for name, n in rows.items():
-        share = F.when(F.col("l") == name, int(min(1.0, sample_rows / n) * (1 << 30))).otherwise(share)
+    shares = [F.lit(x) for name, n in rows.items() for x in (name, int(min(1.0, sample_rows / n) * (1 << 30)))]
+    share = F.try_element_at(F.create_map(*shares), F.col("l"))
     start = F.pmod(F.xxhash64(F.col("k"), F.lit("offset")), F.greatest(F.lit(1), F.length("t") - slice_chars)) + 1
     sample = usable.withColumn("d", draw).filter(F.col("d") < share)
     sample = sample.select("l", "d", F.substring("t", start.cast("int"), F.lit(slice_chars)).alias("t"))
@@ -50,24 +56,53 @@ def learn(
     for row in sorted(sample.collect(), key=lambda r: (r["l"], r["d"], r["t"])):
         parts[row["l"]].append(row["t"])
     contents = {name: "\n".join(texts).lower().encode("utf-8") for name, texts in sorted(parts.items())}
-    # A longer dictionary holds more of any text, so all get the size of the smallest.
-    size = max(LEAST_BYTES, min(map(len, contents.values())))
-    return {name: content[:size] for name, content in contents.items()}
+    longest = max(map(len, contents.values()))
+    size = min(len(c) for c in contents.values() if 2 * len(c) >= longest)
+    return {name: content[:size] for name, content in contents.items() if content}
+
+
+class Judge:
+    """Finds the language of texts by dictionary contents. Compressors are made when needed."""
+
+    def __init__(self, contents: tuple[tuple[str, bytes], ...], level: int):
+        self.contents, self.level = dict(contents), level
+        self.size = max((len(c) for c in self.contents.values()), default=0)
+        self.common = sorted(n for n, c in self.contents.items() if len(c) == self.size)
+        self.rare = sorted((n for n in self.contents if n not in self.common), key=lambda n: (-len(self.contents[n]), n))
+        self.made: dict[tuple[str, int], object] = {}
+
+    def length(self, data: bytes, name: str, size: int) -> int:
+        """Compressed length with the first `size` bytes of a language's content."""
+        import zstandard
+
+        if (name, size) not in self.made:
+            content = self.contents[name][:size]
+            if len(content) < 8:  # too short for a dictionary
+                self.made[name, size] = zstandard.ZstdCompressor(level=self.level)
+            else:
+                held = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+                held.precompute_compress(level=self.level)
+                self.made[name, size] = zstandard.ZstdCompressor(level=self.level, dict_data=held)
+        return len(self.made[name, size].compress(data))
+
+    def name(self, text: str) -> tuple[str, float]:
+        """The language, and the least margin by which it won."""
+        data = text.lower().encode("utf-8")
+        sizes = sorted((self.length(data, n, self.size), n) for n in self.common)
+        best, margin = sizes[0][1], 1.0 - sizes[0][0] / sizes[1][0] if len(sizes) > 1 else 1.0
+        for other in self.rare:
+            size = len(self.contents[other])
+            own, theirs = self.length(data, best, size), self.length(data, other, size)
+            if theirs < own * (1.0 if size >= LEAST_BYTES else 1.0 - CLEAR_MARGIN):
+                best, margin = other, 1.0 - theirs / own
+            else:
+                margin = min(margin, max(0.0, 1.0 - own / theirs))
+        return best, margin
 
 
 @functools.lru_cache(maxsize=4)
-def compressors(contents: tuple[tuple[str, bytes], ...], level: int) -> list:
-    import zstandard
-
-    made = []
-    for name, content in contents:
-        if len(content) < 8:  # too short for a dictionary
-            made.append((name, zstandard.ZstdCompressor(level=level)))
-            continue
-        data = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-        data.precompute_compress(level=level)
-        made.append((name, zstandard.ZstdCompressor(level=level, dict_data=data)))
-    return made
+def judge_of(contents: tuple[tuple[str, bytes], ...], level: int) -> Judge:
+    return Judge(contents, level)
 
 
 def identify(
@@ -80,18 +115,16 @@ def identify(
 ) -> DataFrame:
     """Add a struct (lang string, score double, rejected boolean).
 
-    score = 1 - smallest size / second smallest size, from 0 to 1; with a single language it is
-    1. `rejected` is true where the score is below `least_margin`. Null texts and texts without a
+    score = 1 - smallest size / second smallest size, from 0 to 1, and the least of these where rare
+    languages were compared too; with a single language it is 1. `rejected` is true where the score is below `least_margin`. Null texts and texts without a
     letter are `und`, score 0, rejected; so is every text if nothing was learned. Ties go to the
     first name in order. A column called `into` is replaced, others pass through. Row-local.
     """
     packed = tuple(sorted(contents.items()))
 
     def name(text: str) -> tuple[str, float, bool]:
-        data = text.lower().encode("utf-8")
-        sizes = sorted((len(c.compress(data)), lang) for lang, c in compressors(packed, level))
-        score = 1.0 - sizes[0][0] / sizes[1][0] if len(sizes) > 1 else 1.0
-        return sizes[0][1], score, score < least_margin
+        lang, score = judge_of(packed, level).name(text)
+        return lang, score, score < least_margin
 
     @F.pandas_udf("lang string, score double, rejected boolean")
     def language_of(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:

@@ -3,7 +3,8 @@
 A batch of pre-tokens lies in one flat array of symbols. Each round looks up the ranks of all
 neighbouring pairs at once, finds every sequence's lowest rank with a segmented minimum, merges
 that pair in all sequences together, and drops the sequences that are done. What survives is
-counted; a character outside the vocabulary counts its UTF-8 bytes.
+counted; a character outside the vocabulary counts its UTF-8 bytes. Long sequences are merged in
+rounds of one rank as well, but only what a merge has changed is looked up again.
 
 Texts are cut before a space mark that follows another character. No piece holds a space mark
 after another character, so no merge crosses such a cut.
@@ -12,6 +13,7 @@ after another character, so no merge crosses such a cut.
 from __future__ import annotations
 
 import functools
+import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,7 +26,8 @@ from corpusflow.llm.runtime import slices
 SPACE = "▁"
 CACHE_ENTRIES = 300_000
 CACHED_CHARS = 64
-LONG_SYMBOLS = 256
+#: Sequences up to so many symbols are merged by whole rounds; both ways give the same counts.
+SHORT_SYMBOLS = 64
 NONE = np.iinfo(np.int64).max
 
 
@@ -69,11 +72,9 @@ class PieceMerges:
         more = np.array([len(c.encode()) - 1 if s < 0 else 0 for c, s in zip(joined, symbols)], np.int64)
         owner = np.repeat(np.arange(len(words)), lengths)
         counts = np.bincount(owner, more, len(words)).astype(np.int64)
-        long = lengths > LONG_SYMBOLS
-        for w in np.flatnonzero(long):
-            counts[w] += self.merge_long(symbols[owner == w])
-        short = ~long[owner]
+        short = (lengths <= SHORT_SYMBOLS)[owner]
         self.merge_together(symbols[short], owner[short], counts)
+        self.merge_by_rank(symbols[~short], owner[~short], counts)
         return counts
 
     def merge_together(self, symbols: np.ndarray, owner: np.ndarray, counts: np.ndarray) -> None:
@@ -93,31 +94,80 @@ class PieceMerges:
             keep[first + 1] = False
             symbols, owner = symbols[keep], owner[keep]
 
-    def merge_long(self, symbols: np.ndarray) -> int:
-        """One long sequence: all places of the lowest pair at once, up to the first place whose
-        merge makes a pair that would have to be merged before the next place."""
-        while len(symbols) > 1:
-            ranks, at = self.look_up(symbols[:-1], symbols[1:])
-            lowest = ranks.min()
-            if lowest == NONE:
-                break
-            places = []
-            for p in np.flatnonzero(ranks == lowest).tolist():
-                if not places or p >= places[-1] + 2:
-                    places.append(p)
-            places = np.array(places)
-            made = self.merged[at[places]]
-            before = np.where(places > 0, symbols[places - 1], -1)
-            touching = np.append(False, places[1:] == places[:-1] + 2)
-            before[touching] = made[:-1][touching[1:]]
-            after = np.where(places + 2 < len(symbols), symbols[np.minimum(places + 2, len(symbols) - 1)], -1)
-            new = np.minimum(self.look_up(before, made)[0], self.look_up(made, after)[0])
-            unsafe = np.flatnonzero((new <= lowest) | (made != made[0]))
-            if len(unsafe):
-                places, made = places[: unsafe[0] + 1], made[: unsafe[0] + 1]
-            symbols[places] = made
-            symbols = np.delete(symbols, places + 1)
-        return len(symbols)
+    def merge_by_rank(self, symbols: np.ndarray, owner: np.ndarray, counts: np.ndarray) -> None:
+        """The same for long sequences, all of them together, without looking at what didn't change.
+
+        Places wait in buckets by the rank of their pair. A round takes the lowest rank: all its
+        places are merged at once, the left one of two that share a symbol first. Only the pairs
+        around merged places get new ranks. Where a merge makes a pair of the same or a lower rank,
+        the sequence's later places wait, since that pair comes first.
+        """
+        size = len(symbols)
+        if not size:
+            return
+        following = np.append(np.where(owner[1:] == owner[:-1], np.arange(1, size), -1), -1)
+        preceding = np.append(-1, np.where(owner[1:] == owner[:-1], np.arange(size - 1), -1))
+        alive = np.ones(size, bool)
+        rank, at = np.full(size, NONE), np.zeros(size, np.int64)
+        waiting: dict[int, list[np.ndarray]] = {}
+        ranks: list[int] = []
+
+        def look_again(places: np.ndarray) -> None:
+            places = places[following[places] >= 0]
+            if not len(places):
+                return
+            rank[places], at[places] = self.look_up(symbols[places], symbols[following[places]])
+            places = places[rank[places] != NONE]
+            by_rank = places[np.argsort(rank[places], kind="stable")]
+            for some in np.split(by_rank, np.flatnonzero(np.diff(rank[by_rank])) + 1):
+                if len(some):
+                    wait(int(rank[some[0]]), some)
+
+        def wait(lowest: int, places: np.ndarray) -> None:
+            if lowest not in waiting:
+                waiting[lowest] = []
+                heapq.heappush(ranks, lowest)
+            waiting[lowest].append(places)
+
+        look_again(np.arange(size))
+        while ranks:
+            lowest = heapq.heappop(ranks)
+            places = np.unique(np.concatenate(waiting.pop(lowest)))
+            places = places[alive[places] & (rank[places] == lowest)]
+            if not len(places):
+                continue
+            # Of places in a row, each sharing a symbol with the next, every other one is merged.
+            joined = np.append(False, following[places[:-1]] == places[1:])
+            run = np.arange(len(places))
+            run -= np.maximum.accumulate(np.where(joined, 0, run))
+            chosen = places[run % 2 == 0]
+            made = self.merged[at[chosen]]
+            right = following[chosen]
+            before, after = preceding[chosen], following[right]
+            left = np.where(before >= 0, symbols[before], -1)
+            touching = np.append(False, right[:-1] == before[1:])
+            left[touching] = made[:-1][touching[1:]]
+            new = np.minimum(
+                self.look_up(left, made)[0], self.look_up(made, np.where(after >= 0, symbols[after], -1))[0]
+            )
+            first = np.flatnonzero(new <= lowest)
+            if len(first):
+                # Per sequence: the first place that makes such a pair; what lies behind it waits.
+                hasty, where = np.unique(owner[chosen[first]], return_index=True)
+                last = chosen[first[where]]
+                seat = np.minimum(np.searchsorted(hasty, owner[places]), len(hasty) - 1)
+                later = (hasty[seat] == owner[places]) & (places > last[seat])
+                wait(lowest, places[later])
+                seat = np.minimum(np.searchsorted(hasty, owner[chosen]), len(hasty) - 1)
+                now = ~((hasty[seat] == owner[chosen]) & (chosen > last[seat]))
+                chosen, made, right, after = chosen[now], made[now], right[now], after[now]
+            symbols[chosen] = made
+            alive[right], rank[right], rank[chosen] = False, NONE, NONE
+            following[chosen] = after
+            preceding[after[after >= 0]] = chosen[after >= 0]
+            around = preceding[chosen]
+            look_again(np.unique(np.concatenate((chosen, around[around >= 0]))))
+        counts += np.bincount(owner[alive], minlength=len(counts)).astype(np.int64)
 
 
 class TokenCounter:

@@ -29,9 +29,16 @@ BATCH_SETTINGS = {
 }
 
 
-#: Memory that a Python worker has freed goes back to the machine. By default the allocators keep
-#: it, and workers live on from stage to stage beside a heap that doesn't shrink either.
-WORKER_ENVIRONMENT = {
+def prepare(spark: SparkSession) -> None:
+    """Make workers ready for texts. Settings that the user changed stay as they are."""
+    importable_on_workers(spark)
+    for name, (default, value) in BATCH_SETTINGS.items():
+        if spark.conf.get(name, default) == default:
+            spark.conf.set(name, value)
+
+
+#: Memory that a Python worker has freed goes back to the machine at once.
+LEAN_ENVIRONMENT = {
     "ARROW_DEFAULT_MEMORY_POOL": "system",
     "MALLOC_ARENA_MAX": "1",
     "MALLOC_TRIM_THRESHOLD_": "1048576",
@@ -39,14 +46,13 @@ WORKER_ENVIRONMENT = {
 }
 
 
-def prepare(spark: SparkSession) -> None:
-    """Make workers ready for texts. Settings that the user changed stay as they are."""
-    importable_on_workers(spark)
-    for name, value in WORKER_ENVIRONMENT.items():
+def prepare_lean(spark: SparkSession) -> None:
+    """`prepare` for several operators in one session. Workers live on from one to the next, beside
+    a heap that doesn't shrink either, and by default keep what they have freed. Giving it back
+    costs time, so an operator by itself does without. What the user has set stays as it is."""
+    prepare(spark)
+    for name, value in LEAN_ENVIRONMENT.items():
         spark.sparkContext.environment.setdefault(name, value)
-    for name, (default, value) in BATCH_SETTINGS.items():
-        if spark.conf.get(name, default) == default:
-            spark.conf.set(name, value)
 
 
 def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
@@ -82,3 +88,18 @@ BROADCAST_BYTES = 16 << 20
 def is_small(table: DataFrame) -> bool:
     """Whether a staged table may be broadcast, by the size of its files."""
     return int(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) <= BROADCAST_BYTES
+
+
+def packed(docs: DataFrame, *shown: str) -> DataFrame:
+    """All columns in one, `given`, beside those in `shown`: nothing that is added later can clash
+    with a name of theirs."""
+    given = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in shown], F.lit(0).alias(" "))
+    return docs.select(given.alias("given"), *shown)
+
+
+def unpacked(df: DataFrame, docs: DataFrame, **fresh: Column) -> list[Column]:
+    """The columns of `docs`, from a table made of `packed(docs, …)`; those in `fresh` are new."""
+    return [
+        (fresh[c] if c in fresh else F.col(c) if c in df.columns and c != "given" else F.col("given").getField(c)).alias(c)
+        for c in docs.columns
+    ]

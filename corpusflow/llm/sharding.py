@@ -139,7 +139,8 @@ def assign(
     interchangeable. `weight` (default: 1 a row) counts against the bound, which is (1 + slack)
     shares; without slack, all shards differ by one row at most. A shard takes rows until it
     reaches its bound, so with weights it may pass it by one row's weight. Pass narrow rows: they
-    are written once, and texts can be joined afterwards. An empty table gives no rows.
+    are written once, and texts can be joined afterwards. Columns called shard or slot are replaced.
+    An empty table gives no rows.
     """
     if {"shard", "slot"} & set(df.columns):
         df = df.drop("shard", "slot")
@@ -181,15 +182,28 @@ def assign(
 
 
 def with_slots(placed: DataFrame, order: str, count: int) -> DataFrame:
-    """Number the rows of each shard in their order, without a window over a whole shard."""
+    """Number the rows of each shard in their order.
+
+    Rows are numbered within a shard's range of the order and the task that wrote them, so neither
+    a whole shard nor many rows alike in `order` meet in one window. In a range with several
+    tasks' rows at one moment those of the first task come first.
+    """
     buckets = max(6, int(np.ceil(np.log2(max(1, count // ROWS_PER_SLOT_BUCKET)))))
     placed = placed.withColumn("bucket", F.shiftright(order, ORDER_BITS - min(buckets, 40)))
-    sizes = placed.groupBy("shard", "bucket").agg(F.count("*").alias("n"))
-    before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("shard", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
-    within = Window.partitionBy("shard", "bucket").orderBy(order, "row")
+    # A range holds about ROWS_PER_SLOT_BUCKET rows, unless many are alike; those are cut by task.
+    crowded = placed.groupBy("bucket").agg(F.count("*").alias("rows")).filter(F.col("rows") > MOST_ROWS)
+    crowded = stage(crowded.select("bucket", F.lit(True).alias("crowded")), "crowded-ranges")
+    placed = placed.join(crowded, "bucket", "left")
+    task = F.when(F.col("crowded"), F.shiftright("row", 33)).otherwise(F.lit(0)).alias("task")
+    moment = F.when(F.col("crowded"), F.col(order)).otherwise(F.lit(0)).alias("moment")
+    placed = placed.select("*", moment, task)
+    group = ["shard", "bucket", "moment", "task"]
+    sizes = placed.groupBy(*group).agg(F.count("*").alias("n"))
+    before = Window.partitionBy("shard").orderBy("bucket", "moment", "task").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(*group, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    within = Window.partitionBy(*group).orderBy(order, "row")
     return (
         placed.withColumn("number", F.row_number().over(within))
-        .join(offsets, ["shard", "bucket"])
+        .join(offsets, group)
         .withColumn("slot", F.col("before") + F.col("number") - 1)
     )

@@ -21,7 +21,9 @@ them first, and lose nothing:
 4. Where a core is shared by different cells, one copy of each is opened into its suffixes, which
    are grouped by their 200-byte buckets, the pair of 100-byte identifiers 100 apart.
 
-Only a text's own bytes are looked at in a task; matches never cross documents.
+Only a text's own bytes are looked at in a task; matches never cross documents. Equality is that of
+identifiers, of 128 bits where runs, blocks and cells are told apart: of n different ones two are
+taken for one with a probability below n^2 / 2^129, and then a run too many is removed.
 """
 
 from __future__ import annotations
@@ -35,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusflow.llm import bloom
-from corpusflow.llm.runtime import is_small, slices
+from corpusflow.llm.runtime import is_small, packed, slices, unpacked
 from corpusflow.llm.wordhash import mix, seeded
 from corpusflow.sources.scratch import stage
 
@@ -70,13 +72,22 @@ def buckets(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return gram, mix(refine(gram, gram, 50, 818))
 
 
+#: Values are compared by their upper 40 bits; the lower ones give way to the place.
+PLACE_BITS = 24
+
+
 def sliding_last_minimum(values: np.ndarray, width: int) -> np.ndarray:
     """Index of the smallest value (the last of equal ones) of each `width` values in a row.
 
-    Values count by their high bits; the low ones hold the place.
+    Values count by their upper 40 bits, however many there are, so equal runs have their minimum
+    at the same offset wherever they lie.
     """
-    bits = np.uint64(int(len(values)).bit_length())
-    mask = (np.uint64(1) << bits) - np.uint64(1)
+    most = 1 << PLACE_BITS
+    if len(values) > most:
+        step = most - width + 1
+        parts = range(0, len(values) - width + 1, step)
+        return np.concatenate([a + sliding_last_minimum(values[a : a + most], width) for a in parts])
+    mask = np.uint64(most - 1)
     n = len(values)
     rows = -(-n // width)
     packed = np.full(rows * width, np.iinfo(np.uint64).max)
@@ -325,24 +336,24 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
     Every byte covered by a run of 200 bytes that also begins elsewhere is removed, from all its
     places; runs are judged on the input. Null and empty texts keep nothing. Columns that have the
-    names of the new ones are replaced. A small table of spans goes to the texts. Otherwise texts
+    names of the new ones are replaced; all others pass through, whatever their names. A small table of spans goes to the texts. Otherwise texts
     that hold no repeat, by a Bloom filter of fixed size, stay where they are, and the others are
     shuffled to their spans.
     """
-    columns = [c for c in docs.columns if c not in NEW]
-    spans = stage(repeated_spans(docs, key, text), "spans")
-    source = _keyed(docs.select(*columns), key, text)
+    columns = docs.drop(*NEW)
+    whole = packed(columns.withColumn(" key", F.col(key)), text, " key")
+    spans = stage(repeated_spans(whole, " key", text), "spans")
+    source, shown = _keyed(whole, " key", text), ["given", text]
     lists = spans.select(F.col("d").alias("_d"), F.col("t").alias("_t"), F.col("spans").alias("_spans"))
     if is_small(spans):
-        found = source.join(F.broadcast(lists), ["_d", "_t"], "left").select(*columns, "_x", "_spans")
+        found = source.join(F.broadcast(lists), ["_d", "_t"], "left").select(*shown, "_x", "_spans")
     else:
         source = source.withColumn("_m", bloom.may_hold(bloom.build(spans, "t"), F.col("_t")))
         none = F.lit(None).cast("array<struct<s:int,e:int>>").alias("_spans")
-        found = source.filter(~F.col("_m")).select(*columns, "_x", none)
-        found = found.unionByName(source.filter("_m").join(lists, ["_d", "_t"], "left").select(*columns, "_x", "_spans"))
-    schema = docs.select(*columns).schema
+        found = source.filter(~F.col("_m")).select(*shown, "_x", none)
+        found = found.unionByName(source.filter("_m").join(lists, ["_d", "_t"], "left").select(*shown, "_x", "_spans"))
+    schema = whole.select(*shown).schema
     for name, kind in zip(NEW, (T.BinaryType(), T.StringType(), T.LongType(), T.LongType())):
         schema = schema.add(name, kind)
-    return found.mapInArrow(cutter(columns), schema)
-
-
+    made = found.mapInArrow(cutter(shown), schema)
+    return made.select(*unpacked(made.select(*shown), columns), *NEW)

@@ -90,11 +90,10 @@ def fit(
 
 def score(df: DataFrame, model: ToxicityModel, text: str = "text", into: str = "score") -> DataFrame:
     """Add P(label 1) from 0 to 1. Null and empty texts are scored by the constant alone."""
-    weights, constant = np.zeros(1 << model.bits), model.constant
-    weights[model.buckets] = model.weights
+    constant = model.constant
 
     def link(owner: np.ndarray, found: np.ndarray, weights: np.ndarray, texts: int) -> np.ndarray:
         return features.sigmoid(np.bincount(owner, weights[found], texts) + constant)
 
     extract = features.toxicity_features(model.bits)
-    return features.scored(df, text, into, extract, weights, link, weights != 0)
+    return features.scored(df, text, into, extract, model.weights, link, model.buckets, model.bits)

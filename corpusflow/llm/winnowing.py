@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusflow.llm import bloom
-from corpusflow.llm.runtime import slices
+from corpusflow.llm.runtime import packed, slices, unpacked
 from corpusflow.llm.wordhash import BLOCK_BYTES, LOWER, Words, ngrams, read_words
 from corpusflow.sources.scratch import stage
 
@@ -182,16 +182,21 @@ def covered(spans: Column) -> Column:
 def contamination(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """Each document's columns but the text, with n_words, n_hit (bigint) and item_ids (array).
 
-    What is gathered for a document is its own spans and items.
+    Columns that have the names of the new ones are replaced; all others pass through, whatever
+    their names. What is gathered for a document is its own spans and items.
     """
-    rows, spans = hits(docs, items, text, item_id, item_text)
+    kept = docs.drop(text, "n_words", "n_hit", "item_ids")
+    whole = packed(docs.select(*[f"`{c}`" for c in kept.columns], F.col(f"`{text}`").alias(f" {text}")), f" {text}")
+    rows, spans = hits(whole, items, f" {text}", item_id, item_text)
     found = spans.groupBy("row").agg(
         F.array_sort(F.collect_set(F.struct("s", "e"))).alias("spans"),
         F.array_sort(F.collect_set("item_id")).alias("item_ids"),
     )
     found = found.select("row", covered(F.col("spans")).alias("n_hit"), "item_ids")
-    return (
-        rows.join(found, "row", "left")
-        .withColumn("n_hit", F.coalesce("n_hit", F.lit(0)))
-        .withColumn("item_ids", F.coalesce("item_ids", F.array().cast("array<string>")))
+    joined = rows.join(found, "row", "left")
+    return joined.select(
+        *unpacked(joined.select("given"), kept),
+        "n_words",
+        F.coalesce("n_hit", F.lit(0)).alias("n_hit"),
+        F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"),
     )

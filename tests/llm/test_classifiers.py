@@ -142,3 +142,30 @@ def test_language_odd_rows(workers, edge, table):
         assert (r.language.lang == "und") == (not any(c.isalpha() for c in r.text or ""))
     assert language_id.learn(taught.limit(0)) == {}
     assert {r.language.lang for r in language_id.identify(edge, {}).collect()} == {"und"}
+
+
+def test_a_rare_language_changes_nothing_for_the_others(workers):
+    docs = workers.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "text", "lang")
+    rare = workers.createDataFrame([(10**6 + i, f"zwukx qolp vrint {i} dluk zwukx mepf", "xx") for i in range(5)], docs.schema)
+    plain, more = language_id.learn(docs), language_id.learn(docs.unionByName(rare))
+    assert {n: c for n, c in more.items() if n != "xx"} == plain and "xx" in more
+    held = docs.filter(fold(F.col("doc_id"), 4) == 2).limit(150)
+    before = {r.doc_id: r.language for r in language_id.identify(held, plain).collect()}
+    after = {r.doc_id: r.language for r in language_id.identify(held, more).collect()}
+    known = {r.doc_id: r.lang for r in held.collect()}
+    right = lambda found: np.mean([found[i].lang == known[i] for i in known])
+    assert right(after) >= right(before) - 0.01
+    own = language_id.identify(rare.limit(2), more).collect()
+    assert {r.language.lang for r in own} == {"xx"}
+
+
+def test_rare_languages_are_compared_at_their_size():
+    """Dictionaries of three sizes; a text of each language, and one that none knows."""
+    words = {n: [f"{n}{i * i % 997}" for i in range(4_000)] for n in ("aa", "bb", "cc", "dd")}
+    sizes = {"aa": 4_000, "bb": 3_000, "cc": 900, "dd": 60}
+    contents = {n: " ".join(words[n][: sizes[n]]).encode() for n in words}
+    judge = language_id.Judge(tuple(contents.items()), 5)
+    assert judge.rare == ["bb", "cc", "dd"] or judge.rare == ["cc", "dd"]
+    for n in words:
+        assert judge.name(" ".join(words[n][20:50]))[0] == n
+    assert 0 <= judge.name("?! 0")[1] <= 1

@@ -10,6 +10,7 @@ from math import comb
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from corpusflow.llm import bag_minhash, order_minhash, suffix_buckets, winnowing
 from corpusflow.llm.components import components
@@ -103,15 +104,38 @@ def test_chains_groups_and_odd_rows(table):
         texts[300 + i] = " ".join(text)
     texts |= {1: None, 2: "", 3: "", 4: "!!!", 5: "...", 6: "One two", 7: "one TWO!", 8: "a " * 50, 9: "a " * 49, 10: None}
     rows = [*texts.items(), (6, "One two"), (None, "one two"), (50, "this"), (50, "that"), (51, "this")]
+    rows += [(52, " ".join(base)), (52, "that"), (None, "one two"), (None, "ONE  two"), (None, " ".join(base[::-1])), (None, None), (10, None), (2, None)]
     found = bag_minhash.near_duplicates(table(rows, lang="x").withColumnRenamed("lang", "class_id")).collect()
-    got = {r.doc_id: r.class_id for r in found}
-    assert len(found) == len(got) and 50 not in got  # an id of two texts has no class
-    assert got == near_classes({**texts, 51: "this"})
+    assert_classes(found, rows)
     assert bag_minhash.near_duplicates(table([])).count() == 0
-
-
-def test_centres_are_dealt_out(table, monkeypatch):
-    monkeypatch.setattr(bag_minhash, "GROUP_NODES", 3)
+    # Copies of a text are found whatever becomes of their ids.
+    found = bag_minhash.near_duplicates(table([(1, "A b"), (1, "C d"), (2, "A b"), (None, "A b")])).collect()
+    assert sorted((r.doc_id or 9, r.class_id, r.kept) for r in found) == [(1, 1, True), (1, 1, True), (2, 1, False), (9, 1, False)]
+    assert {r.class_digest for r in found if r.doc_id != 1} == {hashlib.sha256(b"A b").hexdigest()}
+    for rows in ([(None, "x y"), (None, "X y"), (None, "z")], [(2**63 - 1, "x"), (2**63 - 1, "y"), (None, "x"), (None, None)]):
+        assert_classes(bag_minhash.near_duplicates(table(rows)).collect(), rows)
+
+
+def assert_classes(found, rows):
+    """One row for each id and text, in the class of a brute-force comparison."""
+    digest = lambda t: hashlib.sha256(t.encode()).hexdigest() if t is not None else ""
+    each = sorted(set(rows), key=lambda r: (r[0] is None, r[0] or 0, digest(r[1])))
+    classes = near_classes({n: t for n, (_, t) in enumerate(each)})
+    texts_of = defaultdict(set)
+    for i, t in each:
+        if t is not None:
+            texts_of[i].add(t)
+    expected = Counter()
+    for n, (i, t) in enumerate(each):
+        own, first = digest(t), each[classes[n]]
+        named = lambda r: r[1] is None or (r[0] is not None and len(texts_of[r[0]]) == 1)
+        expected[i, None if named((i, t)) else own, first[0], classes[n] == n] += 1
+    assert Counter((r.doc_id, r.digest, r.class_id, r.kept) for r in found) == expected
+
+
+@pytest.mark.parametrize("bound, size", [("GROUP_NODES", 3), ("GROUP_BYTES", 2_000)])
+def test_centres_are_dealt_out(table, monkeypatch, bound, size):
+    monkeypatch.setattr(bag_minhash, bound, size)
     base = " ".join(f"w{i}" for i in range(100))
     texts = {i: f"{base} tail{i}" for i in range(20)}
     assert {r.class_id for r in bag_minhash.near_duplicates(table(list(texts.items()))).collect()} == {0}
@@ -365,6 +389,80 @@ def test_pipeline(workers, small_dir, small):
     assert tokens(workers, left, small_dir).count() == left.count()
 
 
+#: Names that operators and stages use inside, or for their results.
+INSIDE = (
+    "marks n_words n_hit item_ids row _text words given _d _t _x _m _spans kept kept_text n_removed n_spans _score score id t k y"
+    " class_id class_digest digest wordless node label bucket ids bytes n_tokens ids_sha256 decoded_sha256 item_id h p s e d"
+).split()
+
+
+def with_clashes(docs):
+    """A column of each such name, with contents of its own."""
+    return docs.select("*", *[F.concat_ws("|", F.lit(name), "doc_id", F.length("text")).alias(name) for name in INSIDE])
+
+
+def test_further_columns_keep_their_contents(workers, small_dir, edge):
+    import corpus_pipeline
+
+    docs = edge.unionByName(workers.read.parquet(f"{small_dir}/documents.parquet").limit(60).select(edge.columns))
+    docs = docs.withColumn("text0", F.col("text"))
+    wide = with_clashes(docs)
+    given = {tuple(r[c] for c in INSIDE) for r in wide.collect()}
+    for _, work in corpus_pipeline.STAGES[:4]:
+        made = work(workers, wide, small_dir)
+        assert made.columns == wide.columns and made.dtypes == wide.dtypes
+        rows = made.collect()
+        assert rows and all(tuple(r[c] for c in INSIDE) in given for r in rows)
+        plain = work(workers, docs, small_dir).collect()
+        own = lambda rs: Counter((r.doc_id, r.text, r.n_chars, r.text0) for r in rs)
+        assert own(rows) == own(plain)
+    last = corpus_pipeline.STAGES[4][1]
+    made = last(workers, wide, small_dir)
+    new = ["n_tokens", "ids", "ids_sha256", "decoded_sha256"]
+    assert made.columns == [c for c in wide.columns if c not in ("text", "n_chars", *new)] + new
+    assert all(r.marks == f"marks|{r.doc_id}|{len(r.text0)}" for r in made.collect() if r.doc_id and r.text0)
+    bare = last(workers, docs.select("doc_id", "text"), small_dir)
+    assert bare.columns == ["doc_id", *new] and bare.count() == docs.count()
+
+    items = workers.read.parquet(f"{small_dir}/benchmark.parquet")
+    found = winnowing.contamination(wide, items)
+    assert found.columns == [c for c in wide.columns if c not in ("text", "n_words", "n_hit", "item_ids")] + ["n_words", "n_hit", "item_ids"]
+    assert all(r.marks == f"marks|{r.doc_id}|{len(r.text0)}" and r.row.startswith("row|") for r in found.collect() if r.doc_id and r.text0)
+    found = suffix_buckets.without_repeats(wide)
+    assert all(r._x == f"_x|{r.doc_id}|{len(r.text0)}" for r in found.collect() if r.doc_id and r.text0)
+
+
+def test_anchors_do_not_depend_on_the_block():
+    """Equal runs have their minimum at one offset, in blocks of any length, ties included."""
+    draw = np.random.default_rng(5)
+    run = draw.integers(0, 4, 400).astype(np.uint64) << np.uint64(30)
+    run |= draw.integers(0, 2, 400).astype(np.uint64) << np.uint64(23)  # beyond what is compared
+    expected = suffix_buckets.sliding_last_minimum(run, 151)
+    for before, after in ((0, 10), (5_000, 3), (70_000, 70_000)):
+        high = np.full(before, 2**63, np.uint64), np.full(after, 2**63, np.uint64)
+        whole = suffix_buckets.sliding_last_minimum(np.concatenate((high[0], run, high[1])), 151)
+        assert np.array_equal(whole[before : before + len(expected)] - before, expected)
+
+
+def test_blocks_of_any_length_have_the_same_anchors(monkeypatch):
+    values = np.random.default_rng(6).integers(0, 50, 5_000).astype(np.uint64) << np.uint64(40)
+    whole = suffix_buckets.sliding_last_minimum(values, 30)
+    assert all(values[m] == values[i : i + 30].min() and values[m + 1 : i + 30].min(initial=2**63) > values[m] for i, m in enumerate(whole.tolist()))
+    monkeypatch.setattr(suffix_buckets, "PLACE_BITS", 8)
+    assert np.array_equal(suffix_buckets.sliding_last_minimum(values, 30), whole)
+
+
+@pytest.mark.parametrize("bound", [0, 1 << 30])
+def test_sent_and_shuffled_tables_give_the_same(workers, small_dir, small, monkeypatch, bound):
+    """Both sides of the size that decides whether a table is sent to the texts."""
+    from corpusflow.llm import runtime
+
+    monkeypatch.setattr(runtime, "BROADCAST_BYTES", bound)
+    docs = workers.read.parquet(f"{small_dir}/documents.parquet")
+    got = {r.doc_id: (r.n_removed, r.n_spans, bytes(r.kept)) for r in suffix_buckets.without_repeats(docs).collect()}
+    assert got == {i: (e[0], e[1], e[2]) for i, e in repeats(small.items()).items()}
+
+
 def test_pipeline_on_odd_rows(workers, small_dir, edge):
     import corpus_pipeline
 

@@ -77,3 +77,14 @@ def test_query_and_odd_rows(workers, small_dir, edge):
     assert placed.columns == ["doc_id", "text", "source", "n_chars", "shard", "slot"]
     assert Counter(r.shard for r in placed.collect()) == {0: 4, 1: 4, 2: 4}
     assert sharding.assign(edge.limit(0), 3, [F.col("doc_id")], [F.col("doc_id")]).count() == 0
+
+
+@pytest.mark.parametrize("most", [20_000, 10])
+def test_rows_alike_in_order_are_numbered_without_gaps(workers, monkeypatch, most):
+    """A third of all rows arrives at one moment; no window holds them all."""
+    monkeypatch.setattr(sharding, "MOST_ROWS", most)
+    df = workers.range(900).select(F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("k"), F.col("id").alias("n"))
+    rows = sharding.assign(df.repartition(6), 4, [F.col("k")], [F.col("k")]).collect()
+    assert sorted(r.n for r in rows) == list(range(900))
+    for s in range(4):
+        assert sorted(r.slot for r in rows if r.shard == s) == list(range(225))

@@ -103,8 +103,9 @@ def test_long_sequences_with_unordered_ranks():
                 break
             k = scores.index(max(scores))
             symbols[k : k + 2] = [symbols[k] + symbols[k + 1]]
-        ids = np.array([merges.ids[c] for c in word], np.int64)
-        assert merges.count([word])[0] == merges.merge_long(ids) == len(symbols)
+        ids, counts = np.array([merges.ids[c] for c in word], np.int64), np.zeros(1, np.int64)
+        merges.merge_by_rank(ids, np.zeros(len(ids), np.int64), counts)
+        assert merges.count([word])[0] == counts[0] == len(symbols)
 
 
 def test_count_column(edge, table):
@@ -128,3 +129,53 @@ def test_queries(workers, small_dir, reference):
     for row in QUERIES["op10_piece_counts"](workers, small_dir).collect():
         assert row.n_tokens == len(model.encode(texts[row.doc_id]))
         assert row.n_bytes == len(texts[row.doc_id].encode()) and row.over_limit == (row.n_tokens > 4096)
+
+
+def test_long_words_are_those_of_the_library():
+    """Long sequences with few and many distinct pairs, several at once, and what can't merge."""
+    draw = random.Random(8)
+    model = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    counter = piece_counts.TokenCounter(piece_counts.counter_of(MODEL).merges)
+    some = ["".join(draw.choice(a) for _ in range(n)) for a in ("ab", "aeinrst", "abcdefghijklmnopqrstuvwxyz", "é漢th字😀") for n in (65, 130, 700, 5_000)]
+    some += ["a" * n for n in (63, 64, 65, 66, 1_001, 4_096)] + ["ab" * 999, "aab" * 700, "thethe" * 300, "😀" * 300, "x😀" * 300]
+    assert counter.count(some) == [len(model.encode(t)) for t in some]
+    together = " ".join(some)
+    assert counter.count([together]) == [len(model.encode(together))]
+
+
+def test_both_ways_to_merge_agree(monkeypatch):
+    """Ranks that don't follow the order of merges: merges that make lower pairs than their own."""
+    draw = random.Random(9)
+    for round_ in range(60):
+        tokens = {c: 0.0 for c in "abc"}
+        while len(tokens) < 14:
+            tokens.setdefault(draw.choice(list(tokens)) + draw.choice(list(tokens)), -float(draw.randint(1, 9)))
+        merges = piece_counts.PieceMerges(tokens)
+        some = ["".join(draw.choice("abc") for _ in range(draw.randint(1, 90))) for _ in range(12)]
+        monkeypatch.setattr(piece_counts, "SHORT_SYMBOLS", 10_000)
+        expected = merges.count(some).tolist()
+        monkeypatch.setattr(piece_counts, "SHORT_SYMBOLS", 0)
+        assert merges.count(some).tolist() == expected
+
+
+def test_long_words_take_no_longer_than_text():
+    import time
+
+    draw = random.Random(10)
+    merges = piece_counts.counter_of(MODEL).merges
+    letters = "".join(draw.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(300_000))
+    start = time.perf_counter()
+    merges.count([letters[:200_000]])
+    one = time.perf_counter() - start
+    merges.count([letters[i : i + 300] for i in range(0, 300_000, 300)])
+    many = time.perf_counter() - start - one
+    assert one < 6 and many < 9  # seconds, on a machine that is doing something else as well
+
+
+def test_a_long_pre_token_is_decoded_again(reference):
+    encode = byte_bpe.encoder_of(RANKS, P.PATTERN)
+    letters = "".join(random.Random(2).choice("abcdefghij") for _ in range(60_000))
+    for text in (letters, "b" * 50_000, "漢字" * 20_000):
+        ids = np.frombuffer(encode(text), np.int32)
+        assert byte_bpe.tree_of(RANKS).decode(ids) == text.encode()
+    assert np.frombuffer(encode(letters), np.int32).tolist() == reference.encode_ordinary(letters)
