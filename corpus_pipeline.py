@@ -5,8 +5,10 @@ ids. `run` writes each stage's result to the shared folder and reads it again, s
 computed once and a lost executor costs no earlier stage.
 
 Nulls: a null text is an empty one for the classifier, the removal of repeats, decontamination and
-tokens; the near-duplicate stage keeps every null text. Rows with a null doc_id pass that stage
-unchanged, since they can't be named in a class. Further columns of documents pass through.
+tokens; the near-duplicate stage keeps every null text. A null doc_id, or one that names several
+texts, is no hindrance: a row counts by its doc_id and text. Further columns of documents pass
+through all stages as they are, whatever their names; the last one leaves out text and n_chars, and
+its own columns replace others of their names.
 """
 
 from __future__ import annotations
@@ -15,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusflow.llm import bag_minhash, byte_bpe, quality, suffix_buckets, winnowing
-from corpusflow.llm.runtime import fold, prepare
+from corpusflow.llm.runtime import fold, packed, prepare_lean, unpacked
 from corpusflow.sources.scratch import stage
 
 ACCEPTED = 0.7
@@ -23,26 +25,30 @@ ACCEPTED = 0.7
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier scores at 0.7 or more."""
-    prepare(spark)
+    prepare_lean(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = quality.fit(docs, labels, taught=fold(F.col("k"), 4) != 2)
-    return quality.score(docs, model, into="_score").filter(F.col("_score") >= ACCEPTED).select(*docs.columns)
+    scored = quality.score(packed(docs, "text"), model)
+    return scored.filter(F.col("score") >= ACCEPTED).select(*unpacked(scored.drop("score"), docs))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near-duplicates: the one with the smallest id.
+    """One document of each class of near-duplicates: the one with the smallest id, see `bag_minhash`.
 
-    Rows that repeat a doc_id and its text are one document. A doc_id that names different texts
-    is in no class; all its rows stay.
+    Rows that repeat a doc_id and its text are one document; rows without a text all stay.
     """
-    prepare(spark)
-    found = bag_minhash.near_duplicates(docs)
-    gone = stage(found.filter("doc_id <> class_id").select("doc_id"), "duplicates")
-    left = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    ids = docs.filter("doc_id is not null").select("doc_id")
-    if ids.groupBy("doc_id").count().filter("count > 1").isEmpty():
-        return left
-    return left.filter("doc_id is null").unionByName(left.filter("doc_id is not null").dropDuplicates(["doc_id", "text"]))
+    prepare_lean(spark)
+    found = stage(bag_minhash.near_duplicates(docs), "classes")
+    gone = found.filter("not kept and digest is null").select("doc_id")
+    left = packed(docs, "doc_id", "text").join(gone, "doc_id", "left_anti")
+    odd = stage(found.filter("not kept and digest is not null").select(F.col("doc_id").alias("id"), "digest"), "odd-duplicates")
+    if not odd.isEmpty():
+        same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.sha2("text", 256) == F.col("digest"))
+        left = left.join(odd, same, "left_anti")
+    ids = docs.filter("text is not null").groupBy("doc_id").count().filter("count > 1")
+    if not ids.isEmpty():
+        left = left.filter("text is null").unionByName(left.filter("text is not null").dropDuplicates(["doc_id", "text"]))
+    return left.select(*unpacked(left, docs))
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,42 +56,41 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Bytes of a character that is cut in two are dropped with it; n_chars is counted anew.
     """
-    prepare(spark)
-    cut = suffix_buckets.without_repeats(docs)
+    prepare_lean(spark)
+    cut = suffix_buckets.without_repeats(packed(docs, "doc_id", "text"))
     text = F.when(F.col("n_removed") == 0, F.col("text")).otherwise(F.col("kept_text"))
     fresh = {"text": text}
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        fresh["n_chars"] = F.when(F.col("n_removed") == 0, F.col("n_chars")).otherwise(F.length("text").cast(kind))
-    for name, column in fresh.items():
-        cut = cut.withColumn(name, column)
-    return cut.select(*docs.columns)
+        fresh["n_chars"] = F.when(F.col("n_removed") == 0, F.col("given.n_chars")).otherwise(F.length(text).cast(kind))
+    return cut.select(*unpacked(cut.select("given", "doc_id", "text"), docs, **fresh))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no ten words in a row of a benchmark item (or all of a shorter item)."""
-    prepare(spark)
+    prepare_lean(spark)
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    numbered = docs.withColumns({"_text": F.col("text")})
-    return winnowing.contamination(numbered, items, text="_text").filter("n_hit = 0").select(*docs.columns)
+    whole = packed(docs, "text").select("given", "text", F.col("text").alias("words"))
+    clean = winnowing.contamination(whole, items, text="words").filter("n_hit = 0")
+    return clean.select(*unpacked(clean.select("given", "text"), docs))
 
 
 def encode_bytes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, with digests of the ids and of the bytes they decode to."""
     import public_tokenizers
 
-    prepare(spark)
+    prepare_lean(spark)
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    coded = byte_bpe.decode(byte_bpe.encode(docs, ranks, public_tokenizers.PATTERN), ranks)
-    return coded.select(
-        "doc_id",
-        "lang",
-        "source",
-        F.size("ids").cast("bigint").alias("n_tokens"),
-        "ids",
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
-        F.sha2(F.col("bytes"), 256).alias("decoded_sha256"),
-    )
+    coded = byte_bpe.encode(packed(docs, "text"), ranks, public_tokenizers.PATTERN)
+    coded = byte_bpe.decode(coded.drop("text"), ranks)
+    new = {
+        "n_tokens": F.size("ids").cast("bigint"),
+        "ids": F.col("ids"),
+        "ids_sha256": F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256),
+        "decoded_sha256": F.sha2(F.col("bytes"), 256),
+    }
+    kept = docs.drop("text", "n_chars", *new)
+    return coded.select(*unpacked(coded.select("given"), kept), *[c.alias(name) for name, c in new.items()])
 
 
 STAGES = [
