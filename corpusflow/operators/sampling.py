@@ -14,7 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from corpusflow.config import VALIDATION_SHARE
-from corpusflow.functions.hashing import bucket, stable_hash
+from corpusflow.functions.hashing import HASH_BITS, bucket, stable_hash
 from corpusflow.sources.scratch import stage
 
 
@@ -157,13 +157,17 @@ def holdout(df: DataFrame, key: str, seed: int, share: float = VALIDATION_SHARE)
 
 
 def shuffled(df: DataFrame, key: str, seed: int, *first: str) -> DataFrame:
-    """Seeded random order as a range sort on the hash, which spreads evenly by itself.
+    """Seeded random order. The hash is uniform, so a row's partition follows from it directly:
+    partitions are ranges of the hash, rows are sorted within them, and nothing is sampled.
 
-    Columns in `first` sort before the hash. A writer that partitions by them then keeps
-    the order inside each of its files.
+    Columns in `first` sort before the hash within a partition. A writer that partitions by them
+    then keeps the order inside each of its files, and from file to file.
     """
     place = _place(F.col(key), seed, "order")
-    return df.orderBy(*first, place["h"], place["k"])
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # The top 31 bits times the partitions fit a bigint.
+    part = F.shiftright(F.shiftright(place["h"], HASH_BITS - 31) * parts, 31).cast("int")
+    return df.repartitionById(parts, part).sortWithinPartitions(*first, place["h"], place["k"])
 
 
 def with_position(df: DataFrame, key: str, seed: int) -> DataFrame:

@@ -269,6 +269,8 @@ section_examples AS (
          replace(replace({wording_of('sid')}, '{{domain}}', domain), '{{title}}', title) AS question, content AS answer
   FROM sections WHERE {kept('spec_explanation', 'sid', CFG.weight('spec_explanation'))})"""
 
+ROW_SQL["stream_jsonl"] = ROW_SQL["jsonl_dataset"]
+
 MARKDOWN_SQL = {
     "md_sections": f"""
         WITH {SECTIONS} SELECT title, content, domain, source_name, file_path, level, position FROM sections""",
@@ -594,6 +596,13 @@ metrics AS (
 LOG_SQL = {
     "log_metrics": f"WITH {METRICS} SELECT * FROM metrics",
     "stream_log_metrics": f"WITH {METRICS} SELECT iteration, train_loss, it_per_sec, val_loss, message FROM metrics",
+    "stream_log_progress": f"""
+        WITH {METRICS}, numbered AS (
+          SELECT user_id % 10 AS run, event_id AS line_no,
+            row_number() OVER (PARTITION BY user_id % 10 ORDER BY event_id) AS line FROM events)
+        SELECT run, line, iteration,
+          iteration - coalesce(lag(iteration) OVER (PARTITION BY run ORDER BY line_no), 0) AS advance
+        FROM metrics JOIN numbered USING (run, line_no) WHERE iteration IS NOT NULL""",
     "log_progress": f"""
         WITH {METRICS} SELECT run, line_no, iteration,
           iteration - coalesce(lag(iteration) OVER (PARTITION BY run ORDER BY line_no), 0) AS advance

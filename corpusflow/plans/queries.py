@@ -202,14 +202,16 @@ def code_pairs(spark, sf_dir):
     return _question_answer(normalize.normalize(made, "code", CONFIG, "pairs", F.col("row_key")))
 
 
-@query
-def jsonl_dataset(spark, sf_dir):
-    """Chat rows and code rows in one folder of JSON lines, read back as a dataset."""
+def _land_jsonl(spark: SparkSession, sf_dir: str) -> str:
+    """Chat rows and code rows in one folder of JSON lines."""
     path = scratch_dir(spark, "jsonl")
     _chats(spark, sf_dir).select("conversations").write.json(path)
     code = rendered.code_rows(spark, sf_dir)
     code.select(*schemas.JSONL_CODE_KEYS, *schemas.JSONL_DOC_KEYS).write.mode("append").json(path)
-    made = corpus.dataset_examples(spark, DatasetConfig(name="landed", path=path), CONFIG)
+    return path
+
+
+def _ends(made: DataFrame) -> DataFrame:
     said = F.col("conversations")
     return _bigint(
         made.select(
@@ -221,6 +223,13 @@ def jsonl_dataset(spark, sf_dir):
     )
 
 
+@query
+def jsonl_dataset(spark, sf_dir):
+    """Those rows read back as a dataset."""
+    dataset = DatasetConfig(name="landed", path=_land_jsonl(spark, sf_dir))
+    return _ends(corpus.dataset_examples(spark, dataset, CONFIG))
+
+
 @query
 def table_dataset(spark, sf_dir):
     """A landed table with a row filter, normalised, without a cap."""
@@ -683,6 +692,27 @@ def stream_log_metrics(spark, sf_dir):
     return spark.read.parquet(f"{root}/out")
 
 
+@query
+def stream_log_progress(spark, sf_dir):
+    """Logs landed as one file a run, streamed, numbered by file and line, and compared line by line."""
+    root = scratch_dir(spark, "run-logs")
+    lines = rendered.log_lines(spark, sf_dir).repartition("run").sortWithinPartitions("run", "line_no")
+    lines.select("run", "value").write.partitionBy("run").text(f"{root}/in")
+    jobs.run_available(jobs.line_stream(spark, f"{root}/in"), f"{root}/out")
+    landed = logs.numbered(spark.read.parquet(f"{root}/out"))
+    run = F.regexp_extract("file", r"run=(\d+)", 1).cast("bigint").alias("run")
+    metrics = logs.parse_log(landed.select(run, "line", "value"))
+    return logs.progress(metrics, "run", "line", CHUNK).select("run", "line", "iteration", "advance")
+
+
+@query
+def stream_jsonl(spark, sf_dir):
+    """Chats and code rows landed as JSON lines, normalised as a stream."""
+    root = scratch_dir(spark, "jsonl-stream")
+    jobs.run_available(jobs.jsonl_stream(spark, _land_jsonl(spark, sf_dir), CONFIG, "landed"), root)
+    return _ends(spark.read.parquet(root))
+
+
 @query
 def stream_normalize(spark, sf_dir):
     """Conversations landed as JSON files, normalised as a stream."""

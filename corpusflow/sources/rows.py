@@ -143,6 +143,15 @@ def dataset_of(spark: SparkSession, datasets: list[DatasetConfig]) -> Column:
     return F.try_element_at(names, F.try_element_at(known, F.lit(-1)))
 
 
+def parsed_lines(lines: DataFrame) -> DataFrame:
+    """Lines (value, …) to rows of a JSON lines dataset with their text and key. Blank lines drop
+    out, a malformed line fails the job."""
+    more = [c for c in lines.columns if c != "value"]
+    parsed = F.from_json("value", schemas.JSONL_ROW, {"mode": "FAILFAST"}).alias("row")
+    table = lines.filter(F.col("value").rlike(r"\S")).select(parsed, F.col("value").alias("raw"), *more)
+    return table.select("row.*", "raw", *more, F.md5("raw").alias(ROW_KEY))
+
+
 def read_kind(spark: SparkSession, kind: Kind, filtered: bool = True) -> DataFrame:
     """Rows of all datasets of a kind with their dataset's name and a repeatable `row_key`, if
     `filtered` those that meet their dataset's filter. Columns the files lack read as null.
@@ -153,10 +162,7 @@ def read_kind(spark: SparkSession, kind: Kind, filtered: bool = True) -> DataFra
     paths = [d.path for d in kind.datasets]
     name = dataset_of(spark, kind.datasets).alias(DATASET)
     if kind.type == "jsonl":
-        lines = spark.read.text(paths).select("value", name).filter(F.col("value").rlike(r"\S"))
-        parsed = F.from_json("value", schemas.JSONL_ROW, {"mode": "FAILFAST"})
-        table = lines.select(parsed.alias("row"), F.col("value").alias("raw"), DATASET).select("row.*", "raw", DATASET)
-        return table.withColumn(ROW_KEY, F.md5("raw"))
+        return parsed_lines(spark.read.text(paths).select("value", name))
     reader = spark.read.format(kind.file_format).schema(kind.schema)
     if kind.file_format == "json":
         reader = reader.option("mode", "FAILFAST")

@@ -246,6 +246,74 @@ def test_log_stream(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out")).count() == 4
 
 
+def test_lines_are_numbered_by_file(spark, tmp_path):
+    """Batch and stream, files of several splits, and progress on what the stream has landed."""
+    expected = {}
+    for n in range(3):
+        lines = [f"Iter {i * 3}: Train loss 1.5, It/sec 2.0" if i % 5 else "" for i in range(400 * n + 7)]
+        write(tmp_path, f"in/run {n}.log", "\n".join(lines) + "\n")
+        expected |= {(f"run%20{n}.log", i + 1): line for i, line in enumerate(lines)}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        jobs.run_available(jobs.line_stream(spark, str(tmp_path / "in")), str(tmp_path / "out"))
+        spark.read.text(str(tmp_path / "in")).select(*logs.landed_line()).write.parquet(str(tmp_path / "batch"))
+        landed = spark.read.parquet(str(tmp_path / "out"))
+        assert landed.select("file", "block").distinct().count() > 6
+        name = F.substring_index("file", "/", -1).alias("file")
+        for folder in ("out", "batch"):
+            found = logs.numbered(spark.read.parquet(str(tmp_path / folder))).select(name, "line", "value").collect()
+            assert {(r.file, r.line): r.value for r in found} == expected and len(found) == len(expected)
+        metrics = logs.parse_log(logs.numbered(landed).select(name, "line", "value"))
+        rows_out = logs.progress(metrics, "file", "line", 50).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    # Each fifth line is blank, so progress is 3 from line to line and 6 over the blank ones.
+    assert {(r.line - 1) % 5: r.advance for r in rows_out if r.line > 7} == {1: 6, 2: 3, 3: 3, 4: 3}
+
+
+def test_jsonl_stream_equals_batch_after_restarts(spark, tmp_path):
+    def arrive(name, ids):
+        data = [{"conversations": [{"from": "human", "value": f"q{i}", "w": i}], "id": i} if i % 2 else {"code": f"func f{i}() {{ {'y' * 40} }}"} for i in ids]
+        write(tmp_path, f"land/{name}", "\n".join(map(json.dumps, data)) + "\n\n")
+
+    def run():
+        stream = jobs.jsonl_stream(spark, str(tmp_path / "land"), CorpusConfig(), "own", max_files_per_trigger=1)
+        jobs.run_available(stream, str(tmp_path / "out"), str(tmp_path / "check"))
+        return sorted((r.example_id, r.raw) for r in spark.read.parquet(str(tmp_path / "out")).collect())
+
+    arrive("a.jsonl", range(6))
+    arrive("b.jsonl", range(6, 9))
+    first = run()
+    assert len(first) == 9 and run() == first
+    # A restart that has lost its last commit does the batch again, and nothing comes twice.
+    commit = max((tmp_path / "check/commits").glob("[0-9]*"), key=lambda p: int(p.name))
+    os.remove(commit)
+    for crc in (tmp_path / "check/commits").glob(f".{commit.name}.crc"):
+        os.remove(crc)
+    arrive("c.jsonl", range(9, 12))
+    got = run()
+    batch = corpus.dataset_examples(spark, DatasetConfig("own", str(tmp_path / "land")), CorpusConfig())
+    assert got == sorted((r.example_id, r.raw) for r in batch.collect()) and len(got) == 12
+
+
+def test_parquet_stream(spark, tmp_path):
+    rows_in = spark.createDataFrame([(i, [("user", f"q{i}"), ("assistant", "a")]) for i in range(5)], "conv int, messages array<struct<role string, content string>>")
+    rows_in.write.parquet(str(tmp_path / "in"))
+    stream = jobs.normalize_stream(spark, str(tmp_path / "in"), rows_in.schema, "messages", CorpusConfig(), "s", "conv", file_format="parquet")
+    jobs.run_available(stream, str(tmp_path / "out"))
+    assert sorted(r.example_id for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [f"s|{i}" for i in range(5)]
+
+
+def test_progress_crosses_groups_of_chunks(spark, monkeypatch):
+    monkeypatch.setattr(logs, "FAN", 3)
+    metrics = spark.createDataFrame([("r", i, i * i if i % 11 == 0 else None) for i in range(400)], "run string, line int, iteration bigint")
+    for chunk in (1, 4):
+        got = {r.line: r.advance for r in logs.progress(metrics, "run", "line", chunk).collect()}
+        assert got == {i: i * i - (i - 11) ** 2 if i else 0 for i in range(0, 400, 11)}
+
+
 def test_progress_crosses_chunks(spark):
     values = [(("hot" if i % 3 else "cold"), i, (i * 7) % 50 if i % 4 else None) for i in range(200)]
     metrics = spark.createDataFrame(values, "run string, line int, iteration bigint")

@@ -127,3 +127,8 @@ def test_rows_of_one_key_stay_spread(spark):
             assert len({r.task for r in rows}) > 2
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_order_needs_no_range_sample(spark):
+    plan = sampling.shuffled(ids(spark, 700), "key", SEED, "key")._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan and plan.count("Exchange") == 1
