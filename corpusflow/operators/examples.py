@@ -104,14 +104,14 @@ def type_documentation(w: Wording) -> tuple[Column, Column, Column]:
     return applies, paragraphs(question, fenced(F.col("code"), w.fence)), answer
 
 
-def unit_examples(units: DataFrame, config: CorpusConfig) -> DataFrame:
-    """Examples of single units: size filter, weights, then the generators' own filters."""
-    uid, w, seed = unit_id(), config.wording, config.seed
+def _makers(config: CorpusConfig, only: tuple[str, ...] | None) -> dict[str, tuple[Column, tuple[Column, Column, Column]]]:
+    """Per example type: whether its weight keeps a unit; when it applies, question and answer."""
+    w = config.wording
 
     def kept(example_type: str, sampled: bool) -> Column:
         weight = config.weight(example_type)
         if sampled or config.sample_all:
-            return keep_share(uid, seed, example_type, weight)
+            return keep_share(unit_id(), config.seed, example_type, weight)
         return F.lit(weight > 0)
 
     makers = {
@@ -119,25 +119,49 @@ def unit_examples(units: DataFrame, config: CorpusConfig) -> DataFrame:
         "code_completion": (kept("code_completion", True), completion(w)),
         "type_documentation": (kept("type_documentation", True), type_documentation(w)),
     }
-    named = F.array(
-        *[F.when(keep & applies, F.lit(name)) for name, (keep, (applies, _, _)) in makers.items()]
-    )
-    sized = units.filter(
-        size_between(F.col("code"), config.min_code_chars, config.max_code_chars)
-    )
+    return {name: maker for name, maker in makers.items() if only is None or name in only}
+
+
+def unit_examples(units: DataFrame, config: CorpusConfig, only: tuple[str, ...] | None = None) -> DataFrame:
+    """Examples of single units: size filter, weights, then the generators' own filters. `only`
+    names the types to make; by default all."""
+    makers = _makers(config, only)
+    named = F.array(*[F.when(keep & applies, F.lit(name)) for name, (keep, (applies, _, _)) in makers.items()])
+    sized = units.filter(size_between(F.col("code"), config.min_code_chars, config.max_code_chars))
     rows = sized.select("*", F.explode(F.array_compact(named)).alias("example_type"))
     question = answer = F.lit(None)
     for name, (_, (_, asked, told)) in makers.items():
         question = F.when(F.col("example_type") == name, asked).otherwise(question)
         answer = F.when(F.col("example_type") == name, told).otherwise(answer)
     return rows.select(
-        F.concat_ws("|", F.lit("code"), uid, "example_type").alias("example_id"),
+        F.concat_ws("|", F.lit("code"), unit_id(), "example_type").alias("example_id"),
         F.lit("code").alias("origin"),
         "example_type",
         chat.triple(config.system_prompt, question, answer).alias("conversations"),
     )
 
 
+#: What counts of examples need of a unit; of its long texts only the lengths decide.
+COUNTED = ("project_name", "module_path", "package_name", "file_path", "line_number", "kind", "name", "exported", "doc_comment")
+
+
+def counted_units(units: DataFrame) -> DataFrame:
+    return units.select(*COUNTED, F.length("code").alias("code_chars"), F.length("body").alias("body_chars"))
+
+
+def unit_example_types(counted: DataFrame, config: CorpusConfig) -> DataFrame:
+    """(origin, example_type) of the examples that `unit_examples` makes, from `counted_units`."""
+    documented, code = F.col("doc_comment") != "", F.col("kind").isin("func", "method")
+    applies = {
+        "code_explanation": code & documented,
+        "code_completion": code & (F.col("body_chars") >= MIN_BODY_CHARS),
+        "type_documentation": F.startswith("kind", F.lit("type_")) & documented,
+    }
+    named = F.array(*[F.when(keep & applies[name], F.lit(name)) for name, (keep, _) in _makers(config, None).items()])
+    sized = counted.filter(F.col("code_chars").between(config.min_code_chars, config.max_code_chars))
+    return sized.select(F.lit("code").alias("origin"), F.explode(F.array_compact(named)).alias("example_type"))
+
+
 def section_examples(sections: DataFrame, config: CorpusConfig) -> DataFrame:
     """One example per kept section: a question in one of the wordings, the text as answer."""
     sid = F.concat_ws(

@@ -148,17 +148,21 @@ def read_sources(
     return units, found
 
 
-def code_examples(units: DataFrame, config: CorpusConfig) -> DataFrame:
-    made = examples.unit_examples(units, config)
-    if config.weight("package_overview") <= 0:
-        return made
+def code_overviews(units: DataFrame, config: CorpusConfig) -> DataFrame:
     overviews = packages.package_examples(units, config)
     if config.sample_all:
         weight = config.weight("package_overview")
         overviews = overviews.filter(
             keep_share(F.col("example_id"), config.seed, "package_overview", weight)
         )
-    return made.unionByName(overviews)
+    return overviews
+
+
+def code_examples(units: DataFrame, config: CorpusConfig) -> DataFrame:
+    made = examples.unit_examples(units, config)
+    if config.weight("package_overview") <= 0:
+        return made
+    return made.unionByName(code_overviews(units, config))
 
 
 def dataset_examples(
@@ -194,9 +198,12 @@ def _kind_examples(spark: SparkSession, kind: rows.Kind, config: CorpusConfig) -
     if not caps:
         return made_from(table)
     # Only ids are staged for the caps, and only kept rows are converted in the end.
+    name = normalize.example_id(origin, key)
+    if len(kind.datasets) == 1:
+        ids = stage(made_from(table).select("example_id"), "ids")
+        return made_from(sampling.cap_by(table, name, ids, *caps.values(), config.seed))
     capped = table.filter(origin.isin(list(caps))) if len(caps) < len(kind.datasets) else table
     ids = stage(made_from(capped).select(F.col("origin").alias(rows.DATASET), "example_id"), "ids")
-    name = normalize.example_id(origin, key)
     return made_from(sampling.cap_groups(table, rows.DATASET, name, ids, caps, config.seed))
 
 
@@ -212,6 +219,18 @@ def build_examples(
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), every)
 
 
+def example_counts(units: DataFrame, found_sections: DataFrame, config: CorpusConfig) -> DataFrame:
+    """(origin, example_type) of the examples `build_examples` makes of units and sections, for
+    counting: no text of an example is made, and units are staged by their lengths."""
+    counted = stage(examples.counted_units(units), "counted-units")
+    parts = [examples.unit_example_types(counted, config)]
+    if config.weight("package_overview") > 0:
+        parts.append(code_overviews(counted, config).select("origin", "example_type"))
+    if config.weight("spec_explanation") > 0:
+        parts.append(examples.section_examples(found_sections, config).select("origin", "example_type"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def run_corpus(
     spark: SparkSession,
     config: CorpusConfig,

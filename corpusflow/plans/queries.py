@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -307,8 +306,7 @@ def _units(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _unit_examples(spark: SparkSession, sf_dir: str, example_type: str) -> DataFrame:
-    made = examples.unit_examples(_units(spark, sf_dir), CONFIG)
-    return _question_answer(made.filter(F.col("example_type") == example_type))
+    return _question_answer(examples.unit_examples(_units(spark, sf_dir), CONFIG, only=(example_type,)))
 
 
 @query
@@ -344,8 +342,7 @@ def document_type(spark, sf_dir):
 @query
 def package_overview(spark, sf_dir):
     # Two branches read the units; staging the narrow columns keeps it at one extraction.
-    needed = [*packages.PACKAGE, "file_path", "line_number", "kind", "name", "exported", "doc_comment"]
-    units = stage(_units(spark, sf_dir).select(*needed), "units")
+    units = stage(_units(spark, sf_dir).select(*examples.COUNTED), "units")
     return _question_answer(packages.package_examples(units, CONFIG))
 
 
@@ -445,18 +442,12 @@ def _all_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def origin_totals(spark, sf_dir):
-    """Counts only: units without texts that no filter or id needs, chats as turn rows."""
-    units = _units(spark, sf_dir)
-    needed = [*packages.PACKAGE, "file_path", "line_number", "kind", "name", "exported", "doc_comment"]
-    # Two branches read the units. Of their long texts only lengths decide.
-    narrow = stage(units.select(*needed, F.length("code").alias("code_chars"), F.length("body").alias("body_chars")), "units")
-    sized = narrow.withColumns({"code": F.repeat(F.lit(" "), F.col("code_chars")), "body": F.repeat(F.lit(" "), F.col("body_chars"))})
-    made = examples.unit_examples(sized.withColumns({"signature": F.lit(""), "receiver_type": F.lit("")}), CONFIG)
-    parts = [made, packages.package_examples(narrow, CONFIG), examples.section_examples(_sections(spark, sf_dir), CONFIG)]
-    parts.append(_chat_turns(spark, sf_dir).filter("turn = 0").withColumn("origin", F.lit("chats")))
+    """Counts only: units by the lengths of their texts, chats as turn rows."""
+    made = corpus.example_counts(_units(spark, sf_dir), _sections(spark, sf_dir), CONFIG)
+    chats = _chat_turns(spark, sf_dir).filter("turn = 0").select(F.lit("chats").alias("origin"))
     pairs = rendered.pair_rows(spark, sf_dir, "qa")
-    parts.append(normalize.normalize(pairs, "qa", CONFIG, "qa", F.col("row_key")))
-    return stats.totals(reduce(DataFrame.unionByName, [p.select("origin") for p in parts]), "origin", "examples")
+    qa = normalize.normalize(pairs, "qa", CONFIG, "qa", F.col("row_key")).select("origin")
+    return stats.totals(made.select("origin").unionByName(chats).unionByName(qa), "origin", "examples")
 
 
 @query
