@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 LEAF_BYTES = 8
 CACHE_ENTRIES = 150_000
-PIECE_ENTRIES = 400_000
+PIECE_ENTRIES = 150_000
 CACHED_BYTES = 64
 
 
