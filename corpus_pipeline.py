@@ -39,7 +39,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """
     prepare_lean(spark)
     found = stage(bag_minhash.near_duplicates(docs), "classes")
-    gone = found.filter("not kept and digest is null").select("doc_id")
+    # A table of its own, so that Spark knows how small it is and leaves the texts where they are.
+    gone = stage(found.filter("not kept and digest is null").select("doc_id"), "duplicates")
     left = packed(docs, "doc_id", "text").join(gone, "doc_id", "left_anti")
     odd = stage(found.filter("not kept and digest is not null").select(F.col("doc_id").alias("id"), "digest"), "odd-duplicates")
     if not odd.isEmpty():
