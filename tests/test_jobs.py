@@ -2,6 +2,7 @@
 
 import json
 import os
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -406,3 +407,25 @@ def test_unknown_sources_are_counted(spark):
     listed = catalog.source_table(spark, [SourceConfig("a", "")])
     rows_in = spark.createDataFrame([("a",), ("b",), ("b",)], "source string")
     assert [tuple(r) for r in catalog.unknown_sources(rows_in, listed).collect()] == [("b", 2)]
+
+
+def sizes_of(path):
+    return {p.removeprefix(path): os.path.getsize(p) for p in _parts(path)}
+
+
+def test_compressed_outputs(spark, trees):
+    """Compressed parts hold the rows of plain ones in fewer bytes, also where chats keep their line."""
+    root, config = trees
+    packed = CorpusConfig.from_dict({"data": {"output_compression": "gzip"}})
+    assert packed.output_compression == "gzip" and config.output_compression is None
+    made = corpus.run_corpus(spark, config, f"{root}/plain")
+    assert corpus.run_corpus(spark, replace(config, output_compression="gzip"), f"{root}/packed") == made
+    corpus.run_training_views(spark, f"{root}/plain", f"{root}/plain-views")
+    views = corpus.run_training_views(spark, f"{root}/packed", f"{root}/packed-views", "gzip")
+    assert sum(views.values()) == made["written"]["train"] + made["written"]["val"]
+    for part in ("/examples/split=train", "/examples/split=val", "/units", "-views/messages", "-views/text"):
+        plain, small = sizes_of(f"{root}/plain{part}"), sizes_of(f"{root}/packed{part}")
+        assert all(p.endswith(".gz") for p in small) and not any(p.endswith(".gz") for p in plain)
+        lines = [sorted(r.value for r in spark.read.text(f"{root}/{name}{part}").collect()) for name in ("plain", "packed")]
+        assert lines[0] == lines[1] and lines[0]
+    assert sum(sizes_of(f"{root}/packed").values()) < sum(sizes_of(f"{root}/plain").values())
