@@ -298,3 +298,35 @@ def test_many_manifests_move_no_contents(spark, monkeypatch):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert {r[4]: r[3] for r in few if r[5] == "s"} == {"a/b/c.go": "ma/b", "a/x.go": "ma", "y.go": "top", "q/r/s.go": "mq"}
+
+
+def test_listed_trees_are_read_by_tasks_alone(spark, tmp_path, monkeypatch):
+    """Scans that share a listing read all names by tasks, leave the same files out, and give the
+    rows of a scan by itself; modules are looked up without a read of contents."""
+    for name in NAMES:
+        write(tmp_path, f"code/{name}", f"package p\n\nfunc F() {{\n\tf()\n}}\n// {name}\n")
+    write(tmp_path, "code/go.mod", "module example.org/top\n")
+    write(tmp_path, "code/d/go.mod", "module example.org/inner\n")
+    write(tmp_path, "code/large.go", "// large\n" * 100)
+    write(tmp_path, "code/bad.go", b"package p\n// \xff\n")
+    for i in range(40):
+        write(tmp_path, f"docs/{i}.md", f"## Title {i}\n\n" + "text that is long enough " * 9)
+    code = str(tmp_path / "code")
+    listed = walk.walk(spark, files.qualified(spark, code))
+    alone = files.scan_code(spark, code, "s", most_bytes=500, sound=True)
+    shared = files.scan_code(spark, code, "s", listed=listed, most_bytes=500, sound=True)
+    assert sorted(map(tuple, shared.collect())) == sorted(map(tuple, alone.collect()))
+    assert "large.go" not in {r.path for r in shared.collect()}
+    named = files.listed_paths(listed, "s", files.CODE, 500)
+    assert sorted(r.path for r in named.collect()) == sorted(r.path for r in shared.collect())
+    sources = (SourceConfig("code", code), SourceConfig("docs", str(tmp_path / "docs"), "spec"))
+    config = CorpusConfig(sources=sources, max_file_bytes=500)
+    made = []
+    for most in (20_000, 0):
+        monkeypatch.setattr(modules, "MOST_MAPPED", most)
+        units, found = corpus.read_sources(spark, config)
+        for table in (units, found):
+            assert "binaryFile" not in table._jdf.queryExecution().executedPlan().toString()
+        assert found.count() == 40
+        made.append(sorted((r.file_path, r.name, r.module_path) for r in units.collect()))
+    assert made[0] == made[1] and {m for _, _, m in made[0]} >= {"example.org/top", "example.org/inner"}
