@@ -82,8 +82,9 @@ def encode_bytes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
     prepare_lean(spark)
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    coded = byte_bpe.encode(packed(docs, "text"), ranks, public_tokenizers.PATTERN)
-    coded = byte_bpe.decode(coded.drop("text"), ranks)
+    # Workers live on into later stages and runs, so they keep nothing beyond a task.
+    coded = byte_bpe.encode(packed(docs, "text"), ranks, public_tokenizers.PATTERN, remember=False)
+    coded = byte_bpe.decode(coded.drop("text"), ranks, remember=False)
     new = {
         "n_tokens": F.size("ids").cast("bigint"),
         "ids": F.col("ids"),

@@ -114,37 +114,52 @@ class BytePairTree:
         return b"".join(self.bytes_of[ids].tolist())
 
 
-@functools.lru_cache(maxsize=4)
-def tree_of(path: str) -> BytePairTree:
+def read_tree(path: str) -> BytePairTree:
     with open(path, "rb") as lines:
         return BytePairTree({base64.b64decode(t): int(r) for t, r in map(bytes.split, lines)})
 
 
-@functools.lru_cache(maxsize=4)
-def encoder_of(path: str, pattern: str):
+def made_encoder(path: str, pattern: str):
     """Text to ids, each an int32 of a byte string."""
     import regex
 
-    tree = tree_of(path)
+    tree = read_tree(path)
     split = regex.compile(pattern).findall
     known = Memo(lambda piece: np.array(tree.encode(piece.encode("utf-8")), np.int32).tobytes(), PIECE_ENTRIES)
     return lambda text: b"".join(map(known.__getitem__, split(text)))
 
 
+@functools.lru_cache(maxsize=4)
+def tree_of(path: str) -> BytePairTree:
+    """The tree that a worker keeps from one task to the next."""
+    return read_tree(path)
+
+
+@functools.lru_cache(maxsize=4)
+def encoder_of(path: str, pattern: str):
+    """The encoder that a worker keeps from one task to the next, with the pieces it remembers."""
+    return made_encoder(path, pattern)
+
+
 def offsets_of(lengths: list[int]) -> pa.Array:
     return pa.array(np.concatenate(([0], np.cumsum(lengths))), pa.int32())
 
 
-def encode(df: DataFrame, ranks_path: str, pattern: str, text: str = "text", into: str = "ids") -> DataFrame:
+def encode(
+    df: DataFrame, ranks_path: str, pattern: str, text: str = "text", into: str = "ids", remember: bool = True
+) -> DataFrame:
     """Add the array of token ids. Null and empty texts give an empty array.
 
     Each match of `pattern` is encoded by itself. A column that is already called `into` is
-    replaced; all others pass through. Row-local: no shuffle, memory bounded by one batch.
+    replaced; all others pass through. Row-local: no shuffle, memory bounded by one batch and the
+    pieces remembered. Workers keep those for their next tasks; without `remember` they start anew
+    in each task and hold none when other work follows.
     """
+    encoder = encoder_of if remember else made_encoder
 
     @F.arrow_udf("array<int>")
     def ids_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encode_text = encoder_of(ranks_path, pattern)
+        encode_text = encoder(ranks_path, pattern)
         for texts in batches:
             ids = [encode_text(t) if t else b"" for t in texts.to_pylist()]
             values = pa.array(np.frombuffer(b"".join(ids), np.int32))
@@ -153,12 +168,13 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, text: str = "text", int
     return df.withColumn(into, ids_of(F.col(text)))
 
 
-def decode(df: DataFrame, ranks_path: str, ids: str = "ids", into: str = "bytes") -> DataFrame:
+def decode(df: DataFrame, ranks_path: str, ids: str = "ids", into: str = "bytes", remember: bool = True) -> DataFrame:
     """Add the bytes that the ids stand for. A null array gives no bytes."""
+    table = tree_of if remember else read_tree
 
     @F.arrow_udf("binary")
     def bytes_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        tree = tree_of(ranks_path)
+        tree = table(ranks_path)
         for arrays in batches:
             values = arrays.flatten().to_numpy()
             ends = np.cumsum([0 if n is None else n for n in pc.list_value_length(arrays).to_pylist()]).tolist()

@@ -179,3 +179,22 @@ def test_a_long_pre_token_is_decoded_again(reference):
         ids = np.frombuffer(encode(text), np.int32)
         assert byte_bpe.tree_of(RANKS).decode(ids) == text.encode()
     assert np.frombuffer(encode(letters), np.int32).tolist() == reference.encode_ordinary(letters)
+
+
+def test_the_pipeline_leaves_no_encoder_in_workers(workers, monkeypatch):
+    """The same ids without what workers keep from task to task; the pipeline's stage does without."""
+    import corpus_pipeline
+
+    rows = list(enumerate(["", "plain words, plain words", "ünïcode 漢字 \n\n  x", None, "a" * 300]))
+    docs = workers.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    kept = byte_bpe.decode(byte_bpe.encode(docs, RANKS, P.PATTERN), RANKS).collect()
+
+    def unwanted(*_):
+        raise AssertionError("kept beyond a task")
+
+    monkeypatch.setattr(byte_bpe, "encoder_of", unwanted)
+    monkeypatch.setattr(byte_bpe, "tree_of", unwanted)
+    anew = byte_bpe.decode(byte_bpe.encode(docs, RANKS, P.PATTERN, remember=False), RANKS, remember=False).collect()
+    assert sorted((r.doc_id, r.ids, bytes(r.bytes)) for r in anew) == sorted((r.doc_id, r.ids, bytes(r.bytes)) for r in kept)
+    staged = {r.doc_id: r.ids for r in corpus_pipeline.encode_bytes(workers, docs, "").collect()}
+    assert staged == {r.doc_id: r.ids for r in kept} and staged[1]
